@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from barsmith.operators import quality
 from barsmith.sources import lineitem_bars as lb
+from barsmith.sources import payloads
 from barsmith.sources.tables import table
 
 
@@ -29,3 +30,9 @@ def company_list(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def ticker_reference(spark: SparkSession, data_dir: str) -> DataFrame:
     return lb.ticker_reference_from_supplier(table(spark, data_dir, "supplier"))
+
+
+def landed_bars(spark: SparkSession, data_dir: str) -> DataFrame:
+    """RAW bars as they come out of the landed-envelope scan."""
+    lines = lb.payload_lines_from_bars(bars(spark, data_dir))
+    return payloads.bars_from_payloads(payloads.parse_payload_lines(lines), lb.DERIVED_INGESTED_AT)

@@ -6,6 +6,7 @@ SQL in ``oracle/sql.py``.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,10 @@ from pyspark.sql import functions as F
 from barsmith.functions.dates import week_monday
 from barsmith.operators import quality
 from barsmith.operators.anchors import first_last_window
-from barsmith.plans import analytics, inputs
+from barsmith.plans import analytics, inputs, portfolio
+from barsmith.operators import bars as bars_ops
+from barsmith.session import ensure_checkpoint_dir
+from barsmith.sources import bar_store, company_list, payloads
 from barsmith.sources import lineitem_bars as lb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +72,14 @@ def q_week_day_counts(spark, d):
                    F.max("n_trading_days").alias("n_trading_days")))
 
 
+def q_portfolio_detail(spark, d):
+    return portfolio.portfolio_detail(inputs.valid_bars(spark, d))
+
+
+def q_portfolio_summary(spark, d):
+    return portfolio.portfolio_summary(inputs.valid_bars(spark, d))
+
+
 def _flagged(spark, d):
     return quality.flag(inputs.raw_bars(spark, d))
 
@@ -88,6 +100,52 @@ def q_validation_metrics(spark, d):
     return quality.metrics(_flagged(spark, d))
 
 
+def q_bars_from_json(spark, d):
+    return inputs.landed_bars(spark, d).drop("ingested_at")
+
+
+def q_fetch_failures(spark, d):
+    return payloads.fetch_failures(inputs.company_list(spark, d), inputs.landed_bars(spark, d))
+
+
+def q_bars_per_symbol(spark, d):
+    return payloads.bars_per_symbol(inputs.landed_bars(spark, d))
+
+
+def _scratch(spark, name):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_raw_roundtrip(spark, d):
+    """RAW bars -> symbol-partitioned parquet -> read back with the schema."""
+    path = _scratch(spark, "raw")
+    bar_store.write_bars(inputs.raw_bars(spark, d), path)
+    return bar_store.read_bars(spark, path).drop("ingested_at")
+
+
+def q_restrict_dates(spark, d):
+    return bars_ops.restrict_dates(inputs.valid_bars(spark, d), "1997-01-01", "1997-12-31").drop("ingested_at")
+
+
+def q_dedupe_bars(spark, d):
+    """Bars delivered twice: the first copy, and a re-delivery one day later
+    with corrected closes.  Dedupe keeps the re-delivery."""
+    first = inputs.bars(spark, d)
+    again = first.withColumn("ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 DAY")) \
+                 .withColumn("close", F.col("close") + F.lit(0.01))
+    return bars_ops.dedupe_bars(first.unionByName(again)).drop("ingested_at")
+
+
+def q_inspect_symbol(spark, d):
+    return bars_ops.inspect_symbol(inputs.raw_bars(spark, d), "AAB", "1997-01-01", "1997-12-31")
+
+
+def q_company_list(spark, d):
+    path = _scratch(spark, "companies")
+    company_list.write_company_list(inputs.company_list(spark, d), path)
+    return company_list.read_company_list(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     "bars": q_bars,
     "relative_increase": q_relative_increase,
@@ -98,6 +156,16 @@ QUERIES: dict[str, Query] = {
     "weekly_returns": q_weekly_returns,
     "worst_week": q_worst_week,
     "week_day_counts": q_week_day_counts,
+    "portfolio_detail": q_portfolio_detail,
+    "portfolio_summary": q_portfolio_summary,
+    "bars_from_json": q_bars_from_json,
+    "fetch_failures": q_fetch_failures,
+    "bars_per_symbol": q_bars_per_symbol,
+    "raw_roundtrip": q_raw_roundtrip,
+    "restrict_dates": q_restrict_dates,
+    "dedupe_bars": q_dedupe_bars,
+    "inspect_symbol": q_inspect_symbol,
+    "company_list": q_company_list,
     "validate_valid": q_validate_valid,
     "validate_quarantine": q_validate_quarantine,
     "quarantine_reasons": q_quarantine_reasons,

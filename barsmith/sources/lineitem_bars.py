@@ -95,3 +95,35 @@ def ticker_reference_from_supplier(supplier: DataFrame, as_of: str = "1995-01-01
         .otherwise(F.col("s_name")).alias("name"),
         F.lit(as_of).cast("date").alias("as_of"),
     )
+
+
+# Planted envelope faults, chosen by the symbol's last letter.
+ERROR_ENVELOPE_LETTER = "C"  # status ERROR with a message
+NOT_JSON_LETTER = "D"  # the landed line is not JSON at all
+NO_RESULTS_LETTER = "E"  # status OK but ``results`` missing
+
+
+def payload_lines_from_bars(bars: DataFrame) -> DataFrame:
+    """Landed response lines (column ``value``): one envelope per
+    (symbol, calendar month), so an envelope never holds more than 31 bars
+    whatever the size of a symbol's history."""
+    month = F.date_trunc("month", F.col("date"))
+    bar = F.struct(
+        F.unix_millis(F.col("date").cast("timestamp")).alias("t"),
+        F.col("open").alias("o"), F.col("high").alias("h"), F.col("low").alias("l"), F.col("close").alias("c"),
+        F.col("volume").alias("v"), F.col("vwap").alias("vw"), F.col("transactions").alias("n"),
+    )
+    grouped = bars.groupBy("symbol", month.alias("_month")).agg(F.array_sort(F.collect_list(bar)).alias("results"))
+    last = F.substring("symbol", -1, 1)
+    ok = F.to_json(F.struct(F.col("symbol").alias("ticker"), F.lit("OK").alias("status"),
+                            F.size("results").cast("long").alias("resultsCount"), "results"))
+    return grouped.select(
+        F.when(last == ERROR_ENVELOPE_LETTER,
+               F.to_json(F.struct(F.col("symbol").alias("ticker"), F.lit("ERROR").alias("status"),
+                                  F.lit("Unknown API Key").alias("error"))))
+        .when(last == NOT_JSON_LETTER, F.lit("<html>504 Gateway Time-out</html>"))
+        .when(last == NO_RESULTS_LETTER,
+              F.to_json(F.struct(F.col("symbol").alias("ticker"), F.lit("OK").alias("status"),
+                                 F.lit(0).cast("long").alias("resultsCount"))))
+        .otherwise(ok).alias("value")
+    )

@@ -96,6 +96,31 @@ t4 as (select symbol, cast(year(week_monday) as integer) as year, cast(weekofyea
        from t4_anchor where n_trading_days >= 2 and start_price > 0)"""
 
 
+# T2 in DuckDB: decimal money, whole shares by integer division of micro-units.
+T2 = VALID + """,
+t2_anchor as (select symbol, arg_min(close, date) as start_price, arg_max(close, date) as end_price
+              from valid group by symbol),
+t2_base as (
+  select symbol, start_price, end_price, cast(start_price as decimal(20,6)) as sp, cast(end_price as decimal(20,6)) as ep,
+         cast(10000000000 // cast(cast(start_price as decimal(20,6)) * 1000000 as hugeint) as bigint) as base
+  from t2_anchor where start_price > 0),
+t2_rem as (select *, cast(10000 as decimal(20,6)) - base * sp as rem from t2_base),
+t2_run as (select sum(rem) as pool, arg_min(symbol, row(sp, symbol)) as cheapest from t2_rem),
+t2_alloc as (
+  select r.*, case when r.symbol = run.cheapest
+                   then cast(cast(run.pool * 1000000 as hugeint) // cast(r.sp * 1000000 as hugeint) as bigint)
+                   else 0 end as extra,
+         run.pool as pool, r.symbol = run.cheapest as is_cheapest
+  from t2_rem r, t2_run run),
+t2 as (
+  select symbol, start_price, end_price, base + extra as shares_purchased,
+         cast((base + extra) * sp as decimal(20,6)) as capital_invested,
+         cast(greatest(rem - extra * sp, 0) as decimal(20,6)) as uninvested_cash,
+         cast(round((base + extra) * ep, 4) as decimal(20,6)) as current_value,
+         cast(pool - extra * sp as decimal(20,6)) as residual_if_cheapest, is_cheapest
+  from t2_alloc)"""
+
+
 def with_(ctes: str, select: str) -> str:
     return f"with {ctes.strip()}\n{select}"
 
@@ -115,6 +140,39 @@ ORACLE: dict[str, str] = {
         select symbol, cast(date_trunc('week', date) as date) as week_monday, min(date) as week_start,
                max(date) as week_end, count(date) as n_trading_days
         from valid group by 1, 2"""),
+    "portfolio_detail": with_(T2, """
+        select symbol, start_price, end_price, shares_purchased, cast(capital_invested as double) as capital_invested,
+               cast(uninvested_cash as double) as uninvested_cash, cast(current_value as double) as current_value,
+               cast(current_value - capital_invested as double) as pnl
+        from t2"""),
+    "portfolio_summary": with_(T2, """,
+        t2_sum as (select coalesce(sum(capital_invested), 0) as inv, coalesce(sum(uninvested_cash), 0) as cash,
+                          coalesce(sum(current_value), 0) as val, coalesce(sum(current_value - capital_invested), 0) as pnl,
+                          coalesce(max(case when is_cheapest then residual_if_cheapest end), 0) as resid
+                   from t2)
+        select cast(round(inv, 2) as double) as total_capital_invested, cast(round(cash, 2) as double) as total_uninvested_cash,
+               cast(round(val, 2) as double) as total_current_value, cast(round(pnl, 2) as double) as total_pnl,
+               case when inv = 0 then 0.0
+                    else round((cast(val as double) - cast(inv as double)) / cast(inv as double) * 100, 4) end as total_return_pct,
+               cast(round(resid, 2) as double) as residual_cash
+        from t2_sum"""),
+    "bars_from_json": with_(BARS, """
+        select symbol, strftime(date, '%Y-%m-%d') as date, open, high, low, close, volume, vwap, transactions
+        from bars where right(symbol, 1) not in ('C', 'D', 'E')"""),
+    "fetch_failures": with_(BARS, f"""
+        select distinct {sym('s_suppkey')} as symbol from supplier
+        except select symbol from bars where right(symbol, 1) not in ('C', 'D', 'E')"""),
+    "bars_per_symbol": with_(BARS, """
+        select symbol, count(*) as n_bars from bars where right(symbol, 1) not in ('C', 'D', 'E') group by symbol"""),
+    "raw_roundtrip": with_(RAW, "select * exclude (ingested_at) from raw_bars"),
+    "restrict_dates": with_(VALID, """
+        select * exclude (ingested_at) from valid where date between date '1997-01-01' and date '1997-12-31'"""),
+    "dedupe_bars": with_(BARS, """
+        select symbol, date, open, high, low, close + 0.01 as close, volume, vwap, transactions from bars"""),
+    "inspect_symbol": with_(RAW, """
+        select symbol, date, open, high, low, close, volume from raw_bars
+        where symbol = 'AAB' and date >= '1997-01-01' and date <= '1997-12-31' order by date limit 100"""),
+    "company_list": f"select s_name || ' Inc.' as company_name, {sym('s_suppkey')} as symbol from supplier",
     "validate_valid": with_(VALID, "select * exclude (ingested_at) from valid"),
     "validate_quarantine": with_(FLAGGED, """
         select symbol, date, open, high, low, close, volume, vwap, transactions, date_raw, failure_reason

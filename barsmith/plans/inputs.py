@@ -36,3 +36,8 @@ def landed_bars(spark: SparkSession, data_dir: str) -> DataFrame:
     """RAW bars as they come out of the landed-envelope scan."""
     lines = lb.payload_lines_from_bars(bars(spark, data_dir))
     return payloads.bars_from_payloads(payloads.parse_payload_lines(lines), lb.DERIVED_INGESTED_AT)
+
+
+def listings(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Company list with positions plus the hand-made edge listings."""
+    return lb.with_edge_listings(company_list(spark, data_dir))

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barsmith.functions.dates import week_monday
-from barsmith.operators import quality
+from barsmith.functions import names
+from barsmith.operators import quality, tickers
 from barsmith.operators.anchors import first_last_window
 from barsmith.plans import analytics, inputs, portfolio
 from barsmith.operators import bars as bars_ops
@@ -146,6 +147,37 @@ def q_company_list(spark, d):
     return company_list.read_company_list(spark, path)
 
 
+def q_ticker_vetting(spark, d):
+    return tickers.vet_tickers(inputs.listings(spark, d), inputs.ticker_reference(spark, d), as_of="1997-01-01")
+
+
+def q_ticker_duplicates(spark, d):
+    return tickers.duplicates(inputs.listings(spark, d))
+
+
+def q_ticker_report(spark, d):
+    return tickers.report(q_ticker_vetting(spark, d))
+
+
+def q_name_match(spark, d):
+    """Expected (listing) vs actual (reference) name for every supplier."""
+    companies = inputs.company_list(spark, d)
+    ref = inputs.ticker_reference(spark, d).select("symbol", F.col("name").alias("actual_name"))
+    pairs = companies.join(ref, "symbol", "inner")
+    words = lambda c: F.array_join(F.array_sort(names.name_words(F.col(c))), " ")
+    return pairs.select(
+        "symbol",
+        words("company_name").alias("expected_words"),
+        words("actual_name").alias("actual_words"),
+        names.names_match(F.col("company_name"), F.col("actual_name"), F.col("symbol")).alias("names_match"),
+    )
+
+
+def q_bars_for_valid_tickers(spark, d):
+    valid = tickers.valid_symbols(q_ticker_vetting(spark, d))
+    return bars_ops.for_symbols(inputs.bars(spark, d), valid).select(*lb.BAR_COLUMNS)
+
+
 QUERIES: dict[str, Query] = {
     "bars": q_bars,
     "relative_increase": q_relative_increase,
@@ -166,6 +198,11 @@ QUERIES: dict[str, Query] = {
     "dedupe_bars": q_dedupe_bars,
     "inspect_symbol": q_inspect_symbol,
     "company_list": q_company_list,
+    "ticker_vetting": q_ticker_vetting,
+    "ticker_duplicates": q_ticker_duplicates,
+    "ticker_report": q_ticker_report,
+    "name_match": q_name_match,
+    "bars_for_valid_tickers": q_bars_for_valid_tickers,
     "validate_valid": q_validate_valid,
     "validate_quarantine": q_validate_quarantine,
     "quarantine_reasons": q_quarantine_reasons,

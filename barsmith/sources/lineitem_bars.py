@@ -127,3 +127,28 @@ def payload_lines_from_bars(bars: DataFrame) -> DataFrame:
                                  F.lit(0).cast("long").alias("resultsCount"))))
         .otherwise(ok).alias("value")
     )
+
+
+# Hand-made listing rows for the format / blank / duplicate
+# paths that supplier-derived symbols never reach: (company_name, symbol).
+EDGE_LISTINGS = (
+    ("Apple Inc.", " aapl "),
+    ("Apple Inc.", "AAPL"),
+    ("Berkshire Hathaway Inc. Class B", "BRK.B"),
+    ("Too Long Corp", "TOOLONG"),
+    ("Numbers Inc", "123"),
+    ("Blank Co", ""),
+    ("Null Co", None),
+    ("Bad Class Inc", "A.BCD"),
+)
+EDGE_POSITION_BASE = 1_000_000_000_000
+
+
+def with_edge_listings(companies: DataFrame) -> DataFrame:
+    """Append :data:`EDGE_LISTINGS` after every supplier row."""
+    spark = companies.sparkSession
+    edges = spark.createDataFrame(
+        [(EDGE_POSITION_BASE + i, n, s) for i, (n, s) in enumerate(EDGE_LISTINGS)],
+        "position bigint, company_name string, symbol string",
+    )
+    return companies.unionByName(edges)

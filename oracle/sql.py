@@ -185,3 +185,101 @@ ORACLE: dict[str, str] = {
                case when count(*) = 0 then 1.0 else count_if(failure_reason is null) / count(*) end as pass_rate
         from flagged"""),
 }
+
+
+# ----------------------------------------------------------------- tickers
+LEGAL = r"\b(inc|incorporated|corp|corporation|co|company|ltd|limited|plc|llc|group|holdings|international|class\s+[a-c]|the)\b"
+
+
+def words(x: str) -> str:
+    return (f"list_distinct(list_filter(string_split_regex(trim(regexp_replace(regexp_replace("
+            f"lower(coalesce({x}, '')), '[^a-z0-9\\s]', ' ', 'g'), '{LEGAL}', ' ', 'gi')), '\\s+'), lambda w: length(w) >= 3))")
+
+
+def names_match(e: str, a: str, s: str) -> str:
+    return (f"(case when len({words(e)}) = 0 then true when len({words(a)}) = 0 then false "
+            f"when list_has_any({words(e)}, {words(a)}) then true "
+            f"when coalesce({s}, '') <> '' then coalesce(regexp_matches({a}, '(?i)\\b' || regexp_escape({s}) || '\\b'), false) "
+            f"else false end)")
+
+
+EDGES = """(values (1000000000000, 'Apple Inc.', ' aapl '), (1000000000001, 'Apple Inc.', 'AAPL'),
+  (1000000000002, 'Berkshire Hathaway Inc. Class B', 'BRK.B'), (1000000000003, 'Too Long Corp', 'TOOLONG'),
+  (1000000000004, 'Numbers Inc', '123'), (1000000000005, 'Blank Co', ''), (1000000000006, 'Null Co', null),
+  (1000000000007, 'Bad Class Inc', 'A.BCD')) as v(position, company_name, symbol)"""
+
+K = "s_suppkey"
+TICKERS = f"""
+companies as (
+  select {K} as position, s_name || ' Inc.' as company_name, {sym(K)} as symbol from supplier
+  union all select * from {EDGES}),
+ref as (
+  select {sym(K)} as symbol,
+         cast(case when {K} % 20 = 0 then 404 when {K} % 20 = 1 then 403 when {K} % 20 = 2 then 500
+                   when {K} % 20 = 3 then null when {K} % 20 = 4 then 429 else 200 end as integer) as http_status,
+         {K} % 11 <> 0 as active,
+         case when {K} % 13 = 0 then 'ETF' when {K} % 17 = 0 then null else 'cs' end as type,
+         case when {K} % 21 = 0 then {sym(K)} || ' Aerospace' when {K} % 7 = 0 then 'Unrelated Trading Corp'
+              when {K} % 9 = 0 then 'The Group Inc' else s_name end as name
+  from supplier),
+lrows as (select position, company_name as expected_name, coalesce(upper(trim(symbol)), '') as symbol from companies),
+firsts as (select symbol, min(position) as position from lrows where symbol <> '' group by symbol),
+vj as (
+  select r.*, f.position is not null as is_first, ref.symbol is not null as has_record, ref.http_status, ref.active,
+         ref.type, ref.name as actual_name
+  from lrows r left join firsts f on r.symbol = f.symbol and r.position = f.position
+  left join ref on r.symbol = ref.symbol)"""
+
+_BRANCHES = [
+    ("symbol = ''", "invalid", "'Empty symbol'", None),
+    ("not is_first", "duplicate", None, "'Duplicate symbol: ' || symbol"),
+    ("not regexp_matches(symbol, '^[A-Z]{1,5}(\\.[A-Z]{1,2})?$')", "invalid",
+     "'Invalid format ''' || symbol || ''' — expected 1-5 uppercase letters'", None),
+    ("not has_record or http_status is null", "valid", None, "'API unreachable: no reference record'"),
+    ("http_status = 404", "invalid", "'Ticker not found on Polygon — may be delisted or renamed'", None),
+    ("http_status = 403", "valid", None, "'Could not verify (API permission issue)'"),
+    ("not (http_status between 200 and 299)", "valid", None, "'API returned ' || http_status"),
+    ("active is null and type is null and actual_name is null", "invalid", "'No reference data returned by Polygon'", None),
+    ("not coalesce(active, true)", "invalid", "'Ticker is inactive/delisted (was: ''' || coalesce(actual_name, '') || ''')'", None),
+    ("coalesce(type, '') <> '' and upper(type) <> 'CS'", "invalid",
+     "'''' || coalesce(actual_name, '') || ''' is not a stock (Polygon type: ''' || type || ''')'", None),
+    (f"coalesce(expected_name, '') <> '' and coalesce(actual_name, '') <> '' "
+     f"and not {names_match('expected_name', 'actual_name', 'symbol')}", "invalid",
+     "'Company name mismatch — expected ''' || expected_name || ''' but Polygon returned ''' || actual_name || "
+     "'''. This ticker may have been reused by a different company.'", None),
+]
+
+
+def _case(i: int, default: str) -> str:
+    arms = " ".join(f"when {c} then {b[i] if b[i] is not None else 'null'}"
+                    for c, *b in [(x[0], f"'{x[1]}'", x[2], x[3]) for x in _BRANCHES])
+    return f"case {arms} else {default} end"
+
+
+VETTING = TICKERS + f""",
+vetting as (
+  select position, symbol, outcome, reason, warning,
+         case when outcome = 'valid' and warning is null then actual_name end as matched_name
+  from (select *, {_case(0, "'valid'")} as outcome, {_case(1, 'null')} as reason, {_case(2, 'null')} as warning
+        from vj))"""
+
+ORACLE.update({
+    "ticker_vetting": with_(VETTING, "select * from vetting"),
+    "ticker_duplicates": with_(TICKERS, """
+        select symbol, count(*) as n, min(position) as first_position from lrows where symbol <> ''
+        group by symbol having count(*) > 1"""),
+    "ticker_report": with_(VETTING, """
+        select cast(count_if(outcome in ('valid', 'invalid')) as bigint) as total,
+               cast(count_if(outcome = 'valid') as bigint) as valid,
+               cast(count_if(outcome = 'invalid') as bigint) as invalid,
+               cast(count_if(warning is not null) as bigint) as warnings
+        from vetting"""),
+    "name_match": with_(TICKERS, f"""
+        select c.symbol, array_to_string(list_sort({words('c.company_name')}), ' ') as expected_words,
+               array_to_string(list_sort({words('ref.name')}), ' ') as actual_words,
+               {names_match('c.company_name', 'ref.name', 'c.symbol')} as names_match
+        from companies c join ref on c.symbol = ref.symbol"""),
+    "bars_for_valid_tickers": with_(BARS + "," + VETTING, """
+        select symbol, date, open, high, low, close, volume, transactions from bars
+        where symbol in (select symbol from vetting where outcome = 'valid')"""),
+})

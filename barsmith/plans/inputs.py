@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from barsmith.operators import quality
 from barsmith.sources import lineitem_bars as lb
 from barsmith.sources import payloads
-from barsmith.sources.tables import table
+from barsmith.sources.tables import spread, table
 
 
 def bars(spark: SparkSession, data_dir: str) -> DataFrame:
     """Validated-layout bars: one per (supplier ticker, ship day), whole table."""
-    return lb.bars_from_lineitem(table(spark, data_dir, "lineitem"))
+    return lb.bars_from_lineitem(spread(table(spark, data_dir, "lineitem"), "l_orderkey"))
 
 
 def raw_bars(spark: SparkSession, data_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ one bar per (supplier, ship day).  Everything is an aggregate over the whole
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barsmith.functions.symbols import letters_code
@@ -26,11 +26,23 @@ def trade_prices(lineitem: DataFrame) -> DataFrame:
         F.to_date("l_shipdate").alias("date"),
         (F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100).alias("p"),
         F.col("l_quantity"),
-        # unique trade key within (supplier, day): orders first/last trade
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice").alias("k"),
+        trade_order_key().alias("k"),
     )
 
 
+def trade_order_key() -> Column:
+    """Orders the trades of a (supplier, day): (orderkey, linenumber, partkey)
+    -- unique within a group at every scale of the driver tables -- packed
+    into one exact DECIMAL(38,0), ``(orderkey * 10 + linenumber) * 10^12 +
+    partkey``.  A single fixed-width key keeps ``min_by``/``max_by`` in a hash
+    aggregate (a struct key forces a sort aggregate).  A field outside its
+    width raises instead of silently misordering."""
+    ok, ln, pk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
+    fits = (ok >= 0) & ln.between(0, 9) & pk.between(0, 10**12 - 1)
+    packed = ((ok.cast("decimal(38,0)") * 10 + ln) * F.lit(10**12).cast("decimal(38,0)") + pk).cast("decimal(38,0)")
+    return F.when(fits, packed).otherwise(F.raise_error(F.lit("trade key field out of range")).cast("decimal(38,0)"))
+
+
 def bars_from_lineitem(lineitem: DataFrame, ingested_at: str = DERIVED_INGESTED_AT) -> DataFrame:
     """Daily OHLCV bars in the VALIDATED layout (date typed)."""
     trades = trade_prices(lineitem)

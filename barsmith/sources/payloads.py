@@ -65,7 +65,7 @@ def fetch_failures(requested: DataFrame, raw: DataFrame) -> DataFrame:
     """Requested symbols for which no bar arrived (anti join), with the reason
     left to the caller: the symbol is simply absent from the landed data."""
     wanted = requested.select(normalise_symbol(F.col("symbol")).alias("symbol")).where(F.col("symbol") != "").distinct()
-    arrived = raw.select("symbol")
+    arrived = raw.select("symbol").distinct()  # partial aggregate: a hot symbol collapses map-side
     return wanted.join(arrived, "symbol", "left_anti")
 
 

@@ -6,3 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread a scan that yields fewer partitions than the cluster has
+    cores (a small file, or one written as a single row group), so the per-row
+    work before the first shuffle is not done by one task.  A large scan
+    already has thousands of splits and is returned untouched."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)

@@ -21,7 +21,8 @@ def main(argv=None) -> int:
     p.add_argument("--output", default="output")
     a = p.parse_args(argv)
     spark = get_session("barsmith-inspect")
-    raw = read_bars(spark, f"{a.output.rstrip('/')}/raw", RAW_BARS)
+    raw = read_bars(spark, f"{a.output.rstrip('/')}/raw", RAW_BARS,
+                    month_from=a.date_from[:7], month_to=a.date_to[:7])
     inspect_symbol(raw, a.symbol, a.date_from, a.date_to).show(100, truncate=False)
     spark.stop()
     return 0

@@ -68,9 +68,13 @@ def test_partitioned_store_round_trip_keeps_string_symbols(spark, scratch):
     lone = spark.createDataFrame([r for r in raw.limit(3).collect()], raw.schema).selectExpr(
         "'1E5' as symbol", *[c for c in raw.columns if c != "symbol"])
     p2 = os.path.join(scratch, "lone")
-    write_bars(lone, p2)
+    write_bars(lone, p2, partition_by=("symbol",))
     assert dict(read_bars(spark, p2).dtypes)["symbol"] == "string"
     assert {r.symbol for r in read_bars(spark, p2).collect()} == {"1E5"}
+    # month layout: folders per month, pruning by month bounds
+    assert any(n.startswith("month=") for n in os.listdir(path))
+    jan97 = read_bars(spark, path, month_from="1997-01", month_to="1997-01")
+    assert jan97.count() == raw.where("date like '1997-01-%'").count()
 
 
 def test_company_csv_header_is_positional(spark, scratch):

@@ -8,8 +8,9 @@ better value)``, computed without a single-partition step:
    third of the rows collapses map-side);
 2. range-partition the distinct values; running count inside each range
    partition (window partitioned by the range partition id);
-3. per-partition totals -> offsets: one row per partition, a table whose size
-   is bounded by the shuffle-partition setting, not by the data;
+3. per-partition totals (same window stage) -> offsets: one row per
+   partition, a table whose size is bounded by the partition count, not by
+   the data;
 4. join the rank of each distinct value back onto the rows (equi-join on the
    value; AQE splits a skewed value's partition).
 """
@@ -35,15 +36,18 @@ def global_rank(
 
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     ranged = counts.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id())
-    before_in_part = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    ranged = ranged.withColumn("_before", F.coalesce(F.sum("_n").over(before_in_part), F.lit(0)))
-
-    # one row per range partition: bounded by ``parts``
-    part_totals = ranged.groupBy("_part").agg(F.sum("_n").alias("_total"))
-    offsets = part_totals.withColumn(
-        "_offset",
-        F.coalesce(F.sum("_total").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select("_part", "_offset")
+    in_part = Window.partitionBy("_part")
+    ranged = (ranged
+              .withColumn("_before", F.coalesce(
+                  F.sum("_n").over(in_part.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+              .withColumn("_total", F.sum("_n").over(in_part)))
+
+    # one row per range partition: bounded by ``parts``, safe to broadcast
+    offsets = (ranged.groupBy("_part").agg(F.max("_total").alias("_total"))
+               .withColumn("_offset", F.coalesce(
+                   F.sum("_total").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)))
+               .select("_part", "_offset"))
 
     ranks = ranged.join(F.broadcast(offsets), "_part").select(
         F.col(value).alias("_v"), (F.col("_offset") + F.col("_before") + 1).cast("int").alias(rank_name)

@@ -7,11 +7,23 @@ from pyspark.sql import functions as F
 ISO_DATE = "yyyy-MM-dd"
 
 
-def epoch_ms_to_iso_date(ms: Column) -> Column:
-    """Epoch milliseconds -> UTC calendar date as ``yyyy-MM-dd`` text.
+MS_PER_DAY = 86_400_000
+
+
+def epoch_ms_to_date(ms: Column) -> Column:
+    """Epoch milliseconds -> UTC calendar date, by day arithmetic (independent
+    of the session time zone).  A missing timestamp counts as 0 (1970-01-01)."""
+    return F.date_from_unix_date(F.floor(F.coalesce(ms, F.lit(0)) / MS_PER_DAY).cast("int"))
+
 
-    A missing timestamp counts as 0, i.e. 1970-01-01 (vendor contract)."""
-    return F.date_format(F.to_date(F.timestamp_millis(F.coalesce(ms, F.lit(0)))), ISO_DATE)
+def date_to_epoch_ms(date: Column) -> Column:
+    """UTC midnight of ``date`` in epoch milliseconds."""
+    return F.unix_date(date).cast("long") * MS_PER_DAY
+
+
+def epoch_ms_to_iso_date(ms: Column) -> Column:
+    """Epoch milliseconds -> UTC calendar date as ``yyyy-MM-dd`` text."""
+    return F.date_format(epoch_ms_to_date(ms), ISO_DATE)
 
 
 def parse_iso_date(text: Column) -> Column:
@@ -20,5 +32,6 @@ def parse_iso_date(text: Column) -> Column:
 
 
 def week_monday(date: Column) -> Column:
-    """Monday of the ISO week that contains ``date``."""
-    return F.date_trunc("week", date).cast("date")
+    """Monday of the ISO week that contains ``date`` (``dayofweek``: Sunday=1,
+    Monday=2), pure date arithmetic."""
+    return F.date_sub(date, F.pmod(F.dayofweek(date) - 2, F.lit(7)))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barsmith.functions.dates import date_to_epoch_ms
 from barsmith.functions.symbols import letters_code
 
 # Fixed value: ingest stamp used for derived bars so results are reproducible.
@@ -121,7 +122,7 @@ def payload_lines_from_bars(bars: DataFrame) -> DataFrame:
     whatever the size of a symbol's history."""
     month = F.date_trunc("month", F.col("date"))
     bar = F.struct(
-        F.unix_millis(F.col("date").cast("timestamp")).alias("t"),
+        date_to_epoch_ms(F.col("date")).alias("t"),
         F.col("open").alias("o"), F.col("high").alias("h"), F.col("low").alias("l"), F.col("close").alias("c"),
         F.col("volume").alias("v"), F.col("vwap").alias("vw"), F.col("transactions").alias("n"),
     )

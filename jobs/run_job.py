@@ -26,20 +26,23 @@ def parse_args(argv=None) -> argparse.Namespace:
     return p.parse_args(argv)
 
 
-def main(argv=None) -> int:
+def main(argv=None, spark=None) -> int:
+    """Run the job; a caller-owned ``spark`` session is used and left open."""
     a = parse_args(argv)
     cfg = JobConfig(output_dir=a.output_dir, companies_path=a.companies_path, payloads_path=a.payloads_path,
                     reference_path=a.reference_path, start_date=a.start_date, end_date=a.end_date,
                     validate_tickers=a.validate_tickers, skip_ingestion=a.skip_ingestion,
                     investment_per_stock=a.investment_per_stock)
-    spark = get_session("barsmith-job")
+    owned = spark is None
+    spark = spark or get_session("barsmith-job")
     try:
         print(json.dumps(run(spark, cfg), default=str, indent=2))
     except JobError as e:
         print(f"error: {e}", file=sys.stderr)
         return 1
     finally:
-        spark.stop()
+        if owned:
+            spark.stop()
     return 0
 
 

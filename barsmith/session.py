@@ -23,8 +23,31 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
-def get_session(app_name: str = "barsmith", conf: dict[str, str] | None = None) -> SparkSession:
+# Sizing for a large cluster (100 TB class inputs).  Shuffles start with many
+# partitions that AQE coalesces towards the advisory size, so a partition
+# stays a few hundred MB whatever the stage's volume; file splits of 512 MB
+# keep the task count of a 100 TB scan near 200k; a partition five times the
+# median and above 1 GB counts as skewed and is split at joins.
+CLUSTER_CONF: dict[str, str] = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+}
+
+
+def get_session(app_name: str = "barsmith", conf: dict[str, str] | None = None,
+                profile: str = "local") -> SparkSession:
+    """``profile="cluster"`` adds :data:`CLUSTER_CONF` for settings the
+    cluster did not set itself; explicit ``conf`` always wins."""
     builder = SparkSession.builder.appName(app_name)
+    if profile == "cluster":
+        from pyspark import SparkConf
+
+        preset = SparkConf()  # what spark-submit / spark-defaults already set
+        conf = {**{k: v for k, v in CLUSTER_CONF.items() if not preset.contains(k)}, **(conf or {})}
     if "MASTER" not in os.environ and "spark.master" not in (conf or {}):
         builder = builder.master(os.environ.get("BARSMITH_MASTER", "local[*]"))
     for key, value in {**DEFAULT_CONF, **(conf or {})}.items():

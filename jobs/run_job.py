@@ -23,6 +23,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--validate-tickers", action="store_true")
     p.add_argument("--skip-ingestion", action="store_true")
     p.add_argument("--investment-per-stock", type=float, default=10_000.0)
+    p.add_argument("--profile", choices=("local", "cluster"), default="local",
+                   help="cluster: large-scale shuffle/split sizing (see barsmith.session.CLUSTER_CONF)")
     return p.parse_args(argv)
 
 
@@ -34,7 +36,7 @@ def main(argv=None, spark=None) -> int:
                     validate_tickers=a.validate_tickers, skip_ingestion=a.skip_ingestion,
                     investment_per_stock=a.investment_per_stock)
     owned = spark is None
-    spark = spark or get_session("barsmith-job")
+    spark = spark or get_session("barsmith-job", profile=a.profile)
     try:
         print(json.dumps(run(spark, cfg), default=str, indent=2))
     except JobError as e:

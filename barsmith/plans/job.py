@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,7 +128,3 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
         "t3_winner": one("t3_monthly_cagr", "rank = 1"),
         "t4_worst_week": one("t4_weekly_decrease"),
     }
-
-
-def default_output(root: str | Path = "output") -> str:
-    return str(Path(root).resolve())

@@ -16,11 +16,3 @@ def normalise_symbol(symbol: Column) -> Column:
 def symbol_format_ok(symbol: Column) -> Column:
     return symbol.rlike(SYMBOL_PATTERN)
 
-
-def letters_code(k: Column) -> Column:
-    """Three capital letters for a non-negative integer key (base 26, AAA..ZZZ);
-    unique for keys below 17,576."""
-    def letter(div: int) -> Column:
-        return F.chr((F.lit(65) + F.pmod(F.floor(k / div), F.lit(26))).cast("long"))
-
-    return F.concat(letter(676), letter(26), letter(1))

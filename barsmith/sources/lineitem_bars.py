@@ -6,11 +6,10 @@ one bar per (supplier, ship day).  Everything is an aggregate over the whole
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barsmith.functions.dates import date_to_epoch_ms
-from barsmith.functions.symbols import letters_code
 
 # Fixed value: ingest stamp used for derived bars so results are reproducible.
 DERIVED_INGESTED_AT = "2026-01-05 00:00:00"
@@ -18,44 +17,47 @@ DERIVED_INGESTED_AT = "2026-01-05 00:00:00"
 BAR_COLUMNS = ("symbol", "date", "open", "high", "low", "close", "volume", "transactions")
 
 
+# The derived inputs are written as SQL expressions (as FIXTURES.md states
+# them): one expression per column keeps plan construction cheap.
+SYMBOL_OF = ("concat(chr(65 + pmod(floor({k} / 676), 26)), chr(65 + pmod(floor({k} / 26), 26)), "
+             "chr(65 + pmod({k}, 26)))")
+
+# Orders the trades of a (supplier, day): (orderkey, linenumber, partkey) --
+# unique within a group at every scale of the driver tables -- packed into one
+# exact DECIMAL(38,0).  A single fixed-width key keeps min_by/max_by in a hash
+# aggregate (a struct key forces a sort aggregate); a field outside its width
+# raises instead of silently misordering.
+TRADE_ORDER_KEY = """
+  case when l_orderkey >= 0 and l_linenumber between 0 and 9 and l_partkey between 0 and 999999999999
+       then cast((cast(l_orderkey as decimal(38,0)) * 10 + l_linenumber) * 1000000000000 + l_partkey as decimal(38,0))
+       else cast(raise_error('trade key field out of range') as decimal(38,0)) end"""
+
+
 def trade_prices(lineitem: DataFrame) -> DataFrame:
     """Unit price per line item, floored to cents (floor, not round: the two
     engines round doubles differently at ties).  Rows without a positive
     quantity carry no price and are left out."""
-    return lineitem.where(F.col("l_quantity") > 0).select(
-        letters_code(F.col("l_suppkey")).alias("symbol"),
-        F.to_date("l_shipdate").alias("date"),
-        (F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100).alias("p"),
-        F.col("l_quantity"),
-        trade_order_key().alias("k"),
+    return lineitem.where("l_quantity > 0").selectExpr(
+        SYMBOL_OF.format(k="l_suppkey") + " as symbol",
+        "to_date(l_shipdate) as date",
+        "floor(l_extendedprice * 100 / l_quantity) / 100 as p",
+        "l_quantity",
+        TRADE_ORDER_KEY + " as k",
     )
 
 
-def trade_order_key() -> Column:
-    """Orders the trades of a (supplier, day): (orderkey, linenumber, partkey)
-    -- unique within a group at every scale of the driver tables -- packed
-    into one exact DECIMAL(38,0), ``(orderkey * 10 + linenumber) * 10^12 +
-    partkey``.  A single fixed-width key keeps ``min_by``/``max_by`` in a hash
-    aggregate (a struct key forces a sort aggregate).  A field outside its
-    width raises instead of silently misordering."""
-    ok, ln, pk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
-    fits = (ok >= 0) & ln.between(0, 9) & pk.between(0, 10**12 - 1)
-    packed = ((ok.cast("decimal(38,0)") * 10 + ln) * F.lit(10**12).cast("decimal(38,0)") + pk).cast("decimal(38,0)")
-    return F.when(fits, packed).otherwise(F.raise_error(F.lit("trade key field out of range")).cast("decimal(38,0)"))
-
-
 def bars_from_lineitem(lineitem: DataFrame, ingested_at: str = DERIVED_INGESTED_AT) -> DataFrame:
     """Daily OHLCV bars in the VALIDATED layout (date typed)."""
     trades = trade_prices(lineitem)
     return trades.groupBy("symbol", "date").agg(
-        F.min_by("p", "k").alias("open"),
-        F.max("p").alias("high"),
-        F.min("p").alias("low"),
-        F.max_by("p", "k").alias("close"),
-        F.sum("l_quantity").cast("long").alias("volume"),
-        F.lit(None).cast("double").alias("vwap"),
-        F.count(F.lit(1)).alias("transactions"),
-        F.lit(ingested_at).cast("timestamp").alias("ingested_at"),
+        F.expr("min_by(p, k)").alias("open"),
+        F.expr("max(p)").alias("high"),
+        F.expr("min(p)").alias("low"),
+        F.expr("max_by(p, k)").alias("close"),
+        F.expr("cast(sum(l_quantity) as bigint)").alias("volume"),
+        F.expr("cast(null as double)").alias("vwap"),
+        F.expr("count(1)").alias("transactions"),
+        F.expr(f"timestamp'{ingested_at}'").alias("ingested_at"),
     )
 
 
@@ -64,16 +66,15 @@ def raw_bars_from_bars(bars: DataFrame) -> DataFrame:
     unparsable dates, missing open/high/close, high below low, zero close and
     negative volume.  Every bar is kept; faults are a deterministic function
     of the bar's own values."""
-    v = F.col("volume")
-    return bars.select(
+    return bars.selectExpr(
         "symbol",
-        F.when((F.dayofmonth("date") + F.col("transactions")) % 29 == 0, F.lit("bad-date"))
-        .otherwise(F.date_format("date", "yyyy-MM-dd")).alias("date"),
-        F.when(v % 31 == 0, F.lit(None)).otherwise(F.col("open")).alias("open"),
-        F.when(v % 37 == 0, F.lit(None)).when(v % 41 == 0, F.col("low") - 1).otherwise(F.col("high")).alias("high"),
+        "case when (dayofmonth(date) + transactions) % 29 = 0 then 'bad-date'"
+        " else date_format(date, 'yyyy-MM-dd') end as date",
+        "case when volume % 31 = 0 then null else open end as open",
+        "case when volume % 37 = 0 then null when volume % 41 = 0 then low - 1 else high end as high",
         "low",
-        F.when(v % 43 == 0, F.lit(None)).when(v % 47 == 0, F.lit(0.0)).otherwise(F.col("close")).alias("close"),
-        F.when(v % 23 == 0, -v).otherwise(v).alias("volume"),
+        "case when volume % 43 = 0 then null when volume % 47 = 0 then 0.0D else close end as close",
+        "case when volume % 23 = 0 then -volume else volume end as volume",
         "vwap",
         "transactions",
         "ingested_at",
@@ -82,10 +83,10 @@ def raw_bars_from_bars(bars: DataFrame) -> DataFrame:
 
 def company_list_from_supplier(supplier: DataFrame) -> DataFrame:
     """Company list with an input position: one company per supplier."""
-    return supplier.select(
-        F.col("s_suppkey").alias("position"),
-        F.concat(F.col("s_name"), F.lit(" Inc.")).alias("company_name"),
-        letters_code(F.col("s_suppkey")).alias("symbol"),
+    return supplier.selectExpr(
+        "s_suppkey as position",
+        "concat(s_name, ' Inc.') as company_name",
+        SYMBOL_OF.format(k="s_suppkey") + " as symbol",
     )
 
 
@@ -94,19 +95,17 @@ def ticker_reference_from_supplier(supplier: DataFrame, as_of: str = "1995-01-01
     not found, permission, server error, no answer, rate limited, inactive,
     non-stock types, missing type, renamed-with-symbol, unrelated name and a
     name that reduces to nothing."""
-    k = F.col("s_suppkey")
-    sym = letters_code(k)
-    return supplier.select(
-        sym.alias("symbol"),
-        F.when(k % 20 == 0, 404).when(k % 20 == 1, 403).when(k % 20 == 2, 500)
-        .when(k % 20 == 3, F.lit(None)).when(k % 20 == 4, 429).otherwise(200).cast("int").alias("http_status"),
-        (k % 11 != 0).alias("active"),
-        F.when(k % 13 == 0, F.lit("ETF")).when(k % 17 == 0, F.lit(None)).otherwise(F.lit("cs")).alias("type"),
-        F.when(k % 21 == 0, F.concat(sym, F.lit(" Aerospace")))
-        .when(k % 7 == 0, F.lit("Unrelated Trading Corp"))
-        .when(k % 9 == 0, F.lit("The Group Inc"))
-        .otherwise(F.col("s_name")).alias("name"),
-        F.lit(as_of).cast("date").alias("as_of"),
+    sym = SYMBOL_OF.format(k="s_suppkey")
+    return supplier.selectExpr(
+        f"{sym} as symbol",
+        "cast(case s_suppkey % 20 when 0 then 404 when 1 then 403 when 2 then 500 when 3 then null"
+        " when 4 then 429 else 200 end as int) as http_status",
+        "s_suppkey % 11 <> 0 as active",
+        "case when s_suppkey % 13 = 0 then 'ETF' when s_suppkey % 17 = 0 then null else 'cs' end as type",
+        f"case when s_suppkey % 21 = 0 then concat({sym}, ' Aerospace')"
+        " when s_suppkey % 7 = 0 then 'Unrelated Trading Corp'"
+        " when s_suppkey % 9 = 0 then 'The Group Inc' else s_name end as name",
+        f"date'{as_of}' as as_of",
     )
 
 

@@ -5,8 +5,9 @@ Persisted layers are written tables under ``output_dir`` (a shared folder on a
 cluster): RAW, then the gated bars (``gated/layer=valid`` and
 ``gated/layer=quarantine``, written in one pass) are written once and read
 back.  That cuts the lineage -- a lost executor recomputes from the last
-written table, not from the landing files -- and the four analytics scan the
-valid partition (three columns) instead of re-running the gate.  The only values brought to the driver are one-row
+written table, not from the landing files -- and the analytics scan the valid
+partition (three columns) instead of re-running the gate: once for the
+per-symbol anchors behind T1-T3 (also written), once for T4's weeks.  The only values brought to the driver are one-row
 summaries for the report.
 """
 from __future__ import annotations
@@ -104,11 +105,15 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
     valid = bars_ops.restrict_dates(quality.valid(gated.where(F.col("layer") == "valid")),
                                     cfg.start_date, cfg.end_date)
 
+    # one scan of VALID answers T1-T3: the per-symbol anchors are written once
+    bar_store.write_result(analytics.symbol_anchors(valid), cfg.path("symbol_anchors"))
+    anchors = spark.read.parquet(cfg.path("symbol_anchors"))
+    allocation = portfolio.allocation_from_anchors(anchors, cfg.investment_per_stock)
     results = {
-        "t1_relative_increase": analytics.relative_increase(valid),
-        "t2_portfolio_detail": portfolio.portfolio_detail(valid, cfg.investment_per_stock),
-        "t2_portfolio_summary": portfolio.portfolio_summary(valid, cfg.investment_per_stock),
-        "t3_monthly_cagr": analytics.monthly_cagr(valid),
+        "t1_relative_increase": analytics.relative_increase_from_anchors(anchors),
+        "t2_portfolio_detail": portfolio.detail_from_allocation(allocation),
+        "t2_portfolio_summary": portfolio.summary_from_allocation(allocation),
+        "t3_monthly_cagr": analytics.monthly_cagr_from_anchors(anchors),
         "t4_weekly_decrease": analytics.worst_weeks(valid, k=1),
     }
     for name, df in results.items():

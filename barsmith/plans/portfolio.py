@@ -32,7 +32,12 @@ def _idiv(a: Column, b: Column) -> Column:
 def allocation(bars: DataFrame, budget: float = DEFAULT_BUDGET) -> DataFrame:
     """Per symbol, decimal money: start/end price, shares, capital, own
     uninvested remainder, current value, pnl, plus the run's pool columns."""
-    anchors = first_last(bars.select("symbol", "date", "close")).where(F.col("start_price") > 0)
+    return allocation_from_anchors(first_last(bars.select("symbol", "date", "close")), budget)
+
+
+def allocation_from_anchors(anchors: DataFrame, budget: float = DEFAULT_BUDGET) -> DataFrame:
+    """:func:`allocation` over per-symbol ``symbol, start_price, end_price``."""
+    anchors = anchors.select("symbol", "start_price", "end_price").where(F.col("start_price") > 0)
     b = F.lit(str(budget)).cast(MONEY)
     sp = F.col("start_price").cast(MONEY)
     base = anchors.select(
@@ -80,7 +85,11 @@ DETAIL_COLUMNS = ("symbol", "start_price", "end_price", "shares_purchased",
 
 
 def portfolio_detail(bars: DataFrame, budget: float = DEFAULT_BUDGET) -> DataFrame:
-    alloc = allocation(bars, budget)
+    return detail_from_allocation(allocation(bars, budget))
+
+
+def detail_from_allocation(alloc: DataFrame) -> DataFrame:
+    """Detail rows (money as double, the published schema)."""
     return alloc.select(*[F.col(c).cast("double").alias(c) if c in
                           ("capital_invested", "uninvested_cash", "current_value", "pnl") else F.col(c)
                           for c in DETAIL_COLUMNS])
@@ -91,7 +100,11 @@ def portfolio_summary(bars: DataFrame, budget: float = DEFAULT_BUDGET) -> DataFr
     invested) and ``residual_cash``, the pool actually left after the extra
     purchase (``total_uninvested_cash`` sums each row's own remainder and so
     overstates it).  Empty input gives a row of zeros."""
-    alloc = allocation(bars, budget)
+    return summary_from_allocation(allocation(bars, budget))
+
+
+def summary_from_allocation(alloc: DataFrame) -> DataFrame:
+    """One-row summary over an :func:`allocation` table."""
     zero = F.lit(0).cast(MONEY)
     sums = alloc.agg(
         F.coalesce(F.sum("capital_invested"), zero).alias("_inv"),

@@ -139,3 +139,13 @@ def test_empty_inputs_give_empty_outputs(spark):
     assert analytics.relative_increase(empty).count() == 0
     assert analytics.monthly_cagr(empty).count() == 0
     assert analytics.worst_weeks(empty).count() == 0
+
+
+def test_anchor_table_answers_equal_direct_answers(spark, minimal):
+    anchors = analytics.symbol_anchors(minimal)
+    a = analytics.relative_increase_from_anchors(anchors)
+    b = analytics.relative_increase(minimal)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    c = analytics.monthly_cagr_from_anchors(anchors)
+    d = analytics.monthly_cagr(minimal)
+    assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0

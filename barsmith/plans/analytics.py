@@ -7,7 +7,7 @@ job answer all three from one scan of the bars.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barsmith.functions.dates import week_monday
@@ -145,6 +145,21 @@ def weekly_returns(bars: DataFrame, min_days: int = 2, keep_monday: bool = False
     return out.select(*WEEKLY_COLUMNS, *(["week_monday"] if keep_monday else []))
 
 
+def week_days_window(bars: DataFrame) -> DataFrame:
+    """Window form of the week anchors (row_number asc/desc and an unordered
+    count per (symbol, week)): first and last trading day and day count.
+    Kept as a cross-check of the aggregate form used by ``weekly_returns``."""
+    wk = bars.select("symbol", "date", week_monday(F.col("date")).alias("week_monday"))
+    part = Window.partitionBy("symbol", "week_monday")
+    return (wk.withColumn("_first", F.row_number().over(part.orderBy(F.col("date").asc())))
+              .withColumn("_last", F.row_number().over(part.orderBy(F.col("date").desc())))
+              .withColumn("n_trading_days", F.count("date").over(part))
+              .groupBy("symbol", "week_monday")
+              .agg(F.max(F.when(F.col("_first") == 1, F.col("date"))).alias("week_start"),
+                   F.max(F.when(F.col("_last") == 1, F.col("date"))).alias("week_end"),
+                   F.max("n_trading_days").alias("n_trading_days")))
+
+
 def worst_weeks(bars: DataFrame, k: int = 1, min_days: int = 2) -> DataFrame:
     """The ``k`` weeks with the lowest return (the greatest decrease).
 

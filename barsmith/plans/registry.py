@@ -12,12 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.functions.dates import week_monday
 from barsmith.functions import names
+from barsmith.operators import bars as bars_ops
 from barsmith.operators import quality, tickers
 from barsmith.operators.anchors import first_last_window
 from barsmith.plans import analytics, inputs, portfolio
-from barsmith.operators import bars as bars_ops
 from barsmith.session import ensure_checkpoint_dir
 from barsmith.sources import bar_store, company_list, payloads
 from barsmith.sources import lineitem_bars as lb
@@ -58,19 +57,7 @@ def q_worst_week(spark, d):
 
 
 def q_week_day_counts(spark, d):
-    """Window form of the week anchors: first/last trading day and day count
-    per (symbol, week) with row_number and an unordered count window."""
-    from pyspark.sql import Window
-
-    wk = inputs.valid_bars(spark, d).select("symbol", "date", week_monday(F.col("date")).alias("week_monday"))
-    part = Window.partitionBy("symbol", "week_monday")
-    return (wk.withColumn("_first", F.row_number().over(part.orderBy(F.col("date").asc())))
-              .withColumn("_last", F.row_number().over(part.orderBy(F.col("date").desc())))
-              .withColumn("n_trading_days", F.count("date").over(part))
-              .groupBy("symbol", "week_monday")
-              .agg(F.max(F.when(F.col("_first") == 1, F.col("date"))).alias("week_start"),
-                   F.max(F.when(F.col("_last") == 1, F.col("date"))).alias("week_end"),
-                   F.max("n_trading_days").alias("n_trading_days")))
+    return analytics.week_days_window(inputs.valid_bars(spark, d))
 
 
 def q_portfolio_detail(spark, d):

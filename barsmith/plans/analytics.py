@@ -52,7 +52,7 @@ def relative_increase_from_anchors(anchors: DataFrame, min_points: int = 1) -> D
     ).withColumn("relative_increase_pct", percent(F.col("relative_increase")))
     return global_rank(scored, "relative_increase").select(
         "symbol", "start_price", "end_price", "relative_increase", "relative_increase_pct", "rank"
-    )
+    ).orderBy("rank", "symbol")
 
 
 def relative_increase(bars: DataFrame, min_points: int = 1) -> DataFrame:
@@ -83,7 +83,7 @@ def monthly_cagr_from_anchors(anchors: DataFrame, n_months: int = 5) -> DataFram
     )
     return global_rank(scored, "monthly_cagr").select(
         "symbol", "start_price", "end_price", "n_months", "monthly_cagr", "rank"
-    )
+    ).orderBy("rank", "symbol")
 
 
 def monthly_cagr(

@@ -149,3 +149,15 @@ def test_anchor_table_answers_equal_direct_answers(spark, minimal):
     c = analytics.monthly_cagr_from_anchors(anchors)
     d = analytics.monthly_cagr(minimal)
     assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
+
+
+def test_ranked_tables_come_back_in_rank_order(spark):
+    import random
+    rnd = random.Random(9)
+    rows = []
+    for s in range(40):
+        rows += [(f"S{s:02d}", "2025-01-31", 100.0), (f"S{s:02d}", "2025-06-30", float(rnd.randrange(50, 150)))]
+    ranks = [r["rank"] for r in analytics.relative_increase(make_bars(spark, rows)).collect()]
+    assert ranks == sorted(ranks) and ranks[0] == 1
+    ranks = [r["rank"] for r in analytics.monthly_cagr(make_bars(spark, rows)).collect()]
+    assert ranks == sorted(ranks) and ranks[0] == 1

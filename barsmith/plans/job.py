@@ -78,6 +78,8 @@ def ingest(spark: SparkSession, cfg: JobConfig) -> DataFrame:
                      .where(F.col("symbol") != "").distinct())
     stamp = cfg.ingested_at or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     landed = payloads.bars_from_payloads(payloads.read_payload_files(spark, cfg.payloads_path), stamp)
+    # the requested range applies at the source, as a date-ranged fetch would
+    landed = bars_ops.restrict_dates(landed, cfg.start_date, cfg.end_date)
     raw = bars_ops.for_symbols(landed, requested)
     bar_store.write_bars(raw, cfg.path("raw"))
     raw = bar_store.read_bars(spark, cfg.path("raw"), RAW_BARS)

@@ -73,3 +73,12 @@ def test_date_range_applies_on_skip_ingestion(spark, scratch, landed):
     run(spark, JobConfig(output_dir=out, skip_ingestion=True, start_date="1997-01-01", end_date="1997-12-31"))
     t4 = spark.read.parquet(os.path.join(out, "t4_weekly_decrease")).collect()[0]
     assert str(t4.week_start).startswith("1997")
+
+
+def test_source_range_limits_raw(spark, scratch, landed):
+    companies, landing, _ = landed
+    out = os.path.join(scratch, "src-range")
+    run(spark, JobConfig(output_dir=out, companies_path=companies, payloads_path=landing, start_date="1998-01-01",
+                         end_date="1998-03-31", ingested_at="2026-01-05 00:00:00"))
+    dates = spark.read.parquet(os.path.join(out, "raw")).selectExpr("min(date) lo", "max(date) hi").collect()[0]
+    assert dates.lo >= "1998-01-01" and dates.hi <= "1998-03-31"

@@ -95,3 +95,9 @@ def test_tie_on_cheapest_breaks_by_symbol(spark):
 def test_empty_portfolio_summary_is_zeros(spark):
     s = portfolio_summary(make_bars(spark, [])).collect()
     assert len(s) == 1 and all(v == 0.0 for v in s[0].asDict().values())
+
+
+def test_whole_shares_are_exact_for_decimal_prices(spark):
+    # binary floating point floors 10000 / 0.1 to 99,999
+    detail = {r.symbol: r for r in portfolio_detail(bars_from_prices(spark, {"DIME": (0.1, 0.2)})).collect()}
+    assert detail["DIME"].shares_purchased == 100_000 and detail["DIME"].uninvested_cash == 0.0

@@ -45,7 +45,9 @@ def bars_from_payloads(envelopes: DataFrame, ingested_at: str | Column | None =
     stamp = (F.current_timestamp() if ingested_at is None
              else ingested_at if isinstance(ingested_at, Column) else F.lit(ingested_at).cast("timestamp"))
     bars = (envelopes.where(F.col("status").isin(*USABLE_STATUSES))
-            .select(normalise_symbol(F.col("ticker")).alias("symbol"), F.explode("results").alias("b")))
+            .select(normalise_symbol(F.col("ticker")).alias("symbol"),
+                    # a null element of ``results`` is not a bar
+                    F.explode(F.filter("results", lambda x: x.isNotNull())).alias("b")))
     b = F.col
     return bars.select(
         "symbol",

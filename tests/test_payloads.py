@@ -34,6 +34,12 @@ def test_envelope_contract(spark):
     assert (ibm.volume, ibm.transactions) == (5, 3)
 
 
+def test_null_bar_elements_are_skipped(spark):
+    doc = '{"ticker": "X", "status": "OK", "results": [null, {"t": %d, "c": 2.0}]}' % MS_0102
+    rows = payloads.bars_from_payloads(payloads.parse_payload_lines(lines(spark, [doc])), "2026-01-05 00:00:00").collect()
+    assert [(r.date, r.close) for r in rows] == [("2025-01-02", 2.0)]
+
+
 def test_missing_timestamp_is_epoch_day(spark):
     env = payloads.parse_payload_lines(lines(spark, [json.dumps({"ticker": "X", "status": "OK", "results": [{"c": 1.0}]})]))
     assert payloads.bars_from_payloads(env, "2026-01-05 00:00:00").collect()[0].date == "1970-01-01"

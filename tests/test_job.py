@@ -82,3 +82,14 @@ def test_source_range_limits_raw(spark, scratch, landed):
                          end_date="1998-03-31", ingested_at="2026-01-05 00:00:00"))
     dates = spark.read.parquet(os.path.join(out, "raw")).selectExpr("min(date) lo", "max(date) hi").collect()[0]
     assert dates.lo >= "1998-01-01" and dates.hi <= "1998-03-31"
+
+
+def test_no_valid_ticker_aborts(spark, scratch, landed):
+    companies, landing, _ = landed
+    ref = os.path.join(scratch, "all-404")
+    inputs.ticker_reference(spark, SF0001).selectExpr(
+        "symbol", "404 as http_status", "active", "type", "name", "as_of").write.parquet(ref)
+    with pytest.raises(JobError, match="No valid tickers"):
+        run(spark, JobConfig(output_dir=os.path.join(scratch, "abort"), companies_path=companies,
+                             payloads_path=landing, reference_path=ref, validate_tickers=True,
+                             start_date="1995-01-01", end_date="2001-12-31"))

@@ -121,7 +121,7 @@ def vet_tickers(companies: DataFrame, reference: DataFrame, as_of: str | None =
         "position", "symbol",
         outcome.alias("outcome"), reason.alias("reason"), warning.alias("warning"),
         F.when(passed & warning.isNull(), name).alias("matched_name"),
-    )
+    ).orderBy("position")  # verdicts in input order
 
 
 def duplicates(companies: DataFrame) -> DataFrame:

@@ -97,3 +97,9 @@ def test_hot_duplicate_symbol(spark, n):
     assert len(dup) == 1 and dup[0].symbol == "HOT" and dup[0].first_position == 1
     v = tickers.vet_tickers(companies, spark.createDataFrame([], TICKER_REFERENCE))
     assert v.where("outcome = 'duplicate'").count() == dup[0].n - 1
+
+
+def test_verdicts_come_back_in_input_order(spark):
+    v = tickers.vet_tickers(inputs.listings(spark, SF001), inputs.ticker_reference(spark, SF001))
+    positions = [r.position for r in v.select("position").collect()]
+    assert positions == sorted(positions) and len(positions) == 108

@@ -2,9 +2,11 @@
 
 The same operators as the batch job (envelope flattening, rule flags) run on
 a Structured Streaming file source.  Each micro-batch is written in one pass
-into ``<output>/gated/batch=<id>/layer=valid|quarantine``; the batch folder is
-overwritten on a retry, so a replayed batch after a failure leaves exactly one
-copy (the checkpoint records which batches committed).
+into ``<output>/gated/batch=<id>/layer=valid|quarantine``, with its reason
+counts and gate metrics under ``quarantine_reasons/batch=<id>`` and
+``validation_metrics/batch=<id>``.  Batch folders are overwritten on a retry,
+so a replayed batch after a failure leaves exactly one copy (the checkpoint
+records which batches committed).
 """
 from __future__ import annotations
 
@@ -41,8 +43,12 @@ def start_gate_stream(
     out = output_dir.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.write.mode("overwrite").partitionBy("layer")
-         .parquet(f"{out}/gated/batch={batch_id}"))
+        gated = f"{out}/gated/batch={batch_id}"
+        batch.write.mode("overwrite").partitionBy("layer").parquet(gated)
+        # gate metrics of this micro-batch, from the written batch (one small scan)
+        written = batch.sparkSession.read.parquet(gated)
+        quality.reason_counts(written).write.mode("overwrite").parquet(f"{out}/quarantine_reasons/batch={batch_id}")
+        quality.metrics(written).write.mode("overwrite").parquet(f"{out}/validation_metrics/batch={batch_id}")
 
     writer = landed_stream(spark, landing_dir).writeStream.foreachBatch(write_batch) \
         .option("checkpointLocation", checkpoint_dir)

@@ -26,6 +26,11 @@ def test_gate_stream_matches_batch(spark, scratch):
     want_valid = quality.valid(batch).select(*cols)
     assert got_valid.exceptAll(want_valid).count() == 0 and want_valid.exceptAll(got_valid).count() == 0
     assert read_gated(spark, out, "quarantine").count() == quality.quarantine(batch).count()
+    m = spark.read.parquet(os.path.join(out, "validation_metrics")).selectExpr(
+        "sum(total_input) n", "sum(total_valid) v").collect()[0]
+    assert (m.n, m.v) == (batch.count(), quality.valid(batch).count())
+    reasons = spark.read.parquet(os.path.join(out, "quarantine_reasons")).groupBy("failure_reason").sum("n")
+    assert {r[0]: r[1] for r in reasons.collect()} == {r.failure_reason: r.n for r in quality.reason_counts(batch).collect()}
     # a second availableNow run finds nothing new and adds nothing
     before = read_gated(spark, out, "valid").count()
     q2 = start_gate_stream(spark, landing, out, os.path.join(scratch, "ckpt"))

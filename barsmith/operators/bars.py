@@ -19,11 +19,13 @@ def restrict_dates(bars: DataFrame, start: str | None = None, end: str | None =
 
 
 def dedupe_bars(bars: DataFrame) -> DataFrame:
-    """One bar per (symbol, date): the latest ingested; full-row ordering
-    breaks remaining ties.  ``row_number() = 1`` plans as a partial top-1 per
+    """One bar per (symbol, date): the latest ingested; the value columns
+    present break remaining ties (works on a narrow projection too).  ``row_number() = 1`` plans as a partial top-1 per
     group before the shuffle, so re-delivered hot symbols cost little."""
+    present = set(bars.columns)
     order = [F.col("ingested_at").desc()] + [F.col(c).desc_nulls_last() for c in
-                                              ("close", "open", "high", "low", "volume", "vwap", "transactions")]
+                                              ("close", "open", "high", "low", "volume", "vwap", "transactions")
+                                              if c in present]
     w = Window.partitionBy("symbol", "date").orderBy(*order)
     return bars.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 

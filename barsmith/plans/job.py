@@ -47,6 +47,8 @@ class JobConfig:
     skip_ingestion: bool = False
     investment_per_stock: float = DEFAULT_INVESTMENT_PER_STOCK
     ingested_at: str | None = None
+    # one bar per (symbol, date) before the analytics (re-deliveries: latest wins)
+    dedupe: bool = True
 
     def path(self, name: str) -> str:
         return f"{self.output_dir.rstrip('/')}/{name}"
@@ -107,6 +109,14 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
     valid = bars_ops.restrict_dates(quality.valid(gated.where(F.col("layer") == "valid")),
                                     cfg.start_date, cfg.end_date)
 
+    if cfg.dedupe:
+        # a re-delivered bar must not count twice (T4's day count) nor make the
+        # first/last close arbitrary.  Only the columns the analytics read are
+        # shuffled, and the result is written once for both consumers below.
+        narrow = bars_ops.dedupe_bars(valid.select("symbol", "date", "close", "ingested_at"))
+        bar_store.write_result(narrow, cfg.path("valid_closes"))
+        valid = spark.read.parquet(cfg.path("valid_closes"))
+
     # one scan of VALID answers T1-T3: the per-symbol anchors are written once
     bar_store.write_result(analytics.symbol_anchors(valid), cfg.path("symbol_anchors"))
     anchors = spark.read.parquet(cfg.path("symbol_anchors"))

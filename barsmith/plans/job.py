@@ -5,10 +5,11 @@ Persisted layers are written tables under ``output_dir`` (a shared folder on a
 cluster): RAW, then the gated bars (``gated/layer=valid`` and
 ``gated/layer=quarantine``, written in one pass) are written once and read
 back.  That cuts the lineage -- a lost executor recomputes from the last
-written table, not from the landing files -- and the analytics scan the valid
-partition (three columns) instead of re-running the gate: once for the
-per-symbol anchors behind T1-T3 (also written), once for T4's weeks.  The only values brought to the driver are one-row
-summaries for the report.
+written table, not from the landing files -- and the analytics never re-run
+the gate.  The valid partition is read once (four columns) into the
+de-duplicated ``valid_closes`` table, which is scanned once for the per-symbol
+anchors behind T1-T3 (also written) and once for T4's weeks.  The only values
+brought to the driver are one-row summaries for the report.
 """
 from __future__ import annotations
 

@@ -56,7 +56,8 @@ def get_session(app_name: str = "barsmith", conf: dict[str, str] | None = None,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local") or spark.conf.get("spark.checkpoint.dir", None):
+        ensure_checkpoint_dir(spark)
     return spark
 
 

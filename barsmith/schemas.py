@@ -136,11 +136,19 @@ TICKER_REFERENCE = _s(
     ("as_of", DateType(), True),
 )
 
+# ``outcome``: valid | invalid | duplicate (a repeat, only warned about)
 TICKER_VETTING = _s(
     ("position", LongType(), False),
-    ("symbol", StringType(), True),
-    ("valid", BooleanType(), True),
+    ("symbol", StringType(), False),
+    ("outcome", StringType(), False),
     ("reason", StringType(), True),
     ("warning", StringType(), True),
     ("matched_name", StringType(), True),
 )
+
+VALIDATION_METRICS = _s(
+    ("total_input", LongType(), False),
+    ("total_valid", LongType(), False),
+    ("total_quarantine", LongType(), False),
+    ("pass_rate", DoubleType(), False),
+)

@@ -6,7 +6,6 @@ import pytest
 from barsmith import schemas
 from barsmith.operators import quality, tickers
 from barsmith.plans import analytics, inputs, portfolio
-from barsmith.sources import payloads
 from tests.conftest import SF0001
 
 

@@ -13,7 +13,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     cores (a small file, or one written as a single row group), so the per-row
     work before the first shuffle is not done by one task.  A large scan
     already has thousands of splits and is returned untouched."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect has no client-side RDD API: leave the scan as it is
+        return df
+    if splits >= cores:
         return df
     return df.repartition(cores, *keys)

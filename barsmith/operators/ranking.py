@@ -20,6 +20,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MAX_RANGE_PARTITIONS = 1024
+
+
 def global_rank(
     df: DataFrame,
     value: str,
@@ -31,7 +34,11 @@ def global_rank(
 
     NULL values rank last (Spark's default for DESC and ASC NULLS LAST)."""
     spark = df.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # an explicit count keeps the range partitions fixed (AQE does not coalesce
+    # them, so both consumers of ``ranged`` see the same partition ids); the
+    # default stays moderate -- the input is one row per distinct value -- and
+    # only the task count is bounded, never the data
+    parts = num_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGE_PARTITIONS)
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
 
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))

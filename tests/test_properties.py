@@ -121,3 +121,28 @@ def test_hot_symbol_relative_increase_matches_brute_force(spark):
         inc[s] = (pts[0][1], pts[-1][1], (pts[-1][1] - pts[0][1]) / pts[0][1])
     want = {s: (a, b, 1 + sum(1 for t in inc.values() if t[2] > v)) for s, (a, b, v) in inc.items()}
     assert got == want
+
+
+# ---------------------------------------------------------------- distributed rank
+rank_value = st.one_of(st.none(), st.just(float("nan")), st.sampled_from([-2.5, -1.0, 0.0, 0.5, 1.0, 3.0, 7.25]))
+
+
+def spark_order_key(v):
+    """Spark's DESC NULLS LAST order: NaN above every number, NULL last."""
+    if v is None:
+        return (2, 0.0)
+    if v != v:
+        return (0, 0.0)
+    return (1, -v)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(rank_value, min_size=1, max_size=40), st.integers(min_value=1, max_value=9))
+def test_global_rank_matches_brute_force(spark, values, parts):
+    from barsmith.operators.ranking import global_rank
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v double")
+    got = {r.id: r.rank for r in global_rank(df, "v", num_partitions=parts).collect()}
+    keys = [spark_order_key(v) for v in values]
+    want = {i: 1 + sum(1 for k in keys if k < keys[i]) for i in range(len(values))}
+    assert got == want

@@ -30,7 +30,9 @@ def name_words(name: Column) -> Column:
 
 def symbol_word_in(text: Column, symbol: Column) -> Column:
     """TRUE when ``symbol`` appears as a whole word of ``text`` (any case)."""
-    pattern = F.concat(F.lit(r"(?iuU)\b\Q"), symbol, F.lit(r"\E\b"))
+    # quote the symbol literally; a "\E" inside it is split out as Pattern.quote does
+    quoted = F.replace(symbol, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+    pattern = F.concat(F.lit(r"(?iuU)\b\Q"), quoted, F.lit(r"\E\b"))
     return F.coalesce(F.regexp_like(text, pattern), F.lit(False))
 
 

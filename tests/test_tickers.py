@@ -103,3 +103,11 @@ def test_verdicts_come_back_in_input_order(spark):
     v = tickers.vet_tickers(inputs.listings(spark, SF001), inputs.ticker_reference(spark, SF001))
     positions = [r.position for r in v.select("position").collect()]
     assert positions == sorted(positions) and len(positions) == 108
+
+
+def test_symbol_with_quote_terminator_is_literal(spark):
+    from barsmith.functions.names import symbol_word_in
+    df = spark.createDataFrame([("X\\E.Y Corp", "X\\E.Y"), ("XAEZY Corp", "X\\E.Y"), ("GE Aerospace", "ge")],
+                               "t string, s string")
+    got = [r.m for r in df.select(symbol_word_in(F.col("t"), F.col("s")).alias("m")).collect()]
+    assert got == [True, False, True]

@@ -85,6 +85,27 @@ def metrics(flagged: DataFrame) -> DataFrame:
     )
 
 
+def outcome_counts(flagged: DataFrame) -> DataFrame:
+    """(failure_reason, n) for every outcome, valid rows under NULL: one small
+    aggregate from which both :func:`reason_counts` and :func:`metrics` follow."""
+    return flagged.groupBy(REASON).agg(F.count(F.lit(1)).alias("n"))
+
+
+def metrics_from_counts(counts: DataFrame) -> DataFrame:
+    """:func:`metrics` computed from :func:`outcome_counts` output."""
+    ok = F.col(REASON).isNull()
+    zero = F.lit(0).cast("long")
+    totals = counts.agg(
+        F.coalesce(F.sum("n"), zero).alias("total_input"),
+        F.coalesce(F.sum(F.when(ok, F.col("n"))), zero).alias("total_valid"),
+        F.coalesce(F.sum(F.when(~ok, F.col("n"))), zero).alias("total_quarantine"),
+    )
+    return totals.withColumn(
+        "pass_rate",
+        F.when(F.col("total_input") == 0, F.lit(1.0)).otherwise(F.col("total_valid") / F.col("total_input")),
+    )
+
+
 def all_rules_hold(rule_list: list[tuple[str, Column]]) -> Column:
     """Conjunction of the rules with NULL read as FALSE."""
     return reduce(lambda a, b: a & b, [F.coalesce(r, F.lit(False)) for _, r in rule_list], F.lit(True))

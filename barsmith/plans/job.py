@@ -104,8 +104,11 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
         "layer", F.when(F.col(quality.REASON).isNull(), F.lit("valid")).otherwise(F.lit("quarantine")))
     flagged.write.mode("overwrite").partitionBy("layer").parquet(cfg.path("gated"))
     gated = spark.read.parquet(cfg.path("gated"))
-    bar_store.write_result(quality.reason_counts(gated), cfg.path("quarantine_reasons"))
-    bar_store.write_result(quality.metrics(gated), cfg.path("validation_metrics"))
+    # reasons and metrics from one aggregate over the gated table
+    bar_store.write_result(quality.outcome_counts(gated), cfg.path("gate_outcomes"))
+    outcomes = spark.read.parquet(cfg.path("gate_outcomes"))
+    bar_store.write_result(outcomes.where(F.col(quality.REASON).isNotNull()), cfg.path("quarantine_reasons"))
+    bar_store.write_result(quality.metrics_from_counts(outcomes), cfg.path("validation_metrics"))
     # the analysis period applies whether bars were fetched or re-read
     valid = bars_ops.restrict_dates(quality.valid(gated.where(F.col("layer") == "valid")),
                                     cfg.start_date, cfg.end_date)

@@ -78,3 +78,12 @@ def test_nan_prices_caught_only_by_optional_rule(spark):
     assert reasons(spark, rows) == [None]
     flagged = quality.flag(make_raw(spark, rows), quality.rules(finite_prices=True))
     assert [r.failure_reason for r in flagged.collect()] == ["finite_prices"]
+
+
+def test_metrics_from_outcome_counts_equal_direct_metrics(spark):
+    flagged = quality.flag(inputs.raw_bars(spark, SF001))
+    counts = quality.outcome_counts(flagged)
+    assert quality.metrics_from_counts(counts).collect() == quality.metrics(flagged).collect()
+    assert quality.metrics_from_counts(quality.outcome_counts(quality.flag(make_raw(spark, [])))).collect()[0].pass_rate == 1.0
+    reasons = counts.where("failure_reason is not null")
+    assert sorted(reasons.collect()) == sorted(quality.reason_counts(flagged).collect())

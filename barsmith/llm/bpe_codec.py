@@ -17,10 +17,12 @@ columns are kept, so other columns cannot clash; a key column named ``ids`` or
 """
 from __future__ import annotations
 
-import heapq
 import json
+import re
 from collections.abc import Iterator
+from itertools import chain
 
+import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -29,13 +31,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barsmith.llm.common import fresh, pieces, ragged
+from barsmith.llm.common import Memo, fresh, merge_by_heap, merge_in_step, pieces, ragged
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: how byte-level BPE cuts a text into words (fixed by the vocabulary's kind)
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: bytes of text that are held as arrays at once, and distinct words remembered
-BATCH_BYTES, MOST_WORDS = 4 << 20, 1 << 20
+#: the same for texts of these characters only, by the faster module
+LATIN = re.compile("[\\t\\n\\r\\x20-\\x7eÀ-ÖØ-öø-ÿ]*")
+LATIN_WORDS = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+").findall
+#: characters of text that are held as arrays at once, distinct words
+#: remembered, and bytes from which a word is merged by a heap
+BATCH_CHARS, MOST_WORDS, LONG = 4 << 20, 1 << 20, 512
+#: what no word has: a letter between joined words, the start of an added token
+BREAK, MARK = "\u0100", "\0added:"
 
 
 def byte_letters() -> dict[int, str]:
@@ -69,20 +78,23 @@ class Codec:
         right = np.array([vocab[b] for _, b in merges], np.int64)
         made = np.array([vocab[a + b] for a, b in merges], np.int64)
         rank = np.arange(len(merges))
-        self.merge = {(a, b): (r, m) for a, b, r, m in zip(left.tolist(), right.tolist(), rank.tolist(), made.tolist())}
         keys = left * self.n + right
+        self.merge = dict(zip(keys.tolist(), zip(rank.tolist(), made.tolist())))
         order = np.argsort(keys)
-        self.keys, self.key_rank = keys[order], rank[order]
+        self.keys, self.key_rank, self.key_made = keys[order], rank[order], made[order]
         # the merge that makes each token; a base token has rank -1
         self.rank = np.full(self.n, -1, np.int64)
         self.left, self.right = np.arange(self.n), np.arange(self.n)
         self.rank[made], self.left[made], self.right[made] = rank, left, right
         twice = np.bincount(made, minlength=self.n) > 1
         self.whole = self.canonical(left, right, made, twice)
-        self.ids = {b: i for i, b in enumerate(self.bytes) if b and i not in set(self.added.values())}
-        self.longest = [0] * 256
-        for b in self.ids:
-            self.longest[b[0]] = max(self.longest[b[0]], len(b))
+        # the bytes of each token as Latin-1 letters, for the longest matches
+        self.tokens = ahocorasick.Automaton()
+        special = set(self.added.values())
+        for i, b in enumerate(self.bytes):
+            if b and i not in special:
+                self.tokens.add_word(b.decode("latin-1"), i)
+        self.tokens.make_automaton()
         lengths = np.array([len(b) for b in self.bytes], np.int64)
         self.flat, self.size = np.frombuffer(b"".join(self.bytes), np.uint8), lengths
         self.start = np.cumsum(lengths) - lengths
@@ -103,7 +115,7 @@ class Codec:
         a, b = a.astype(np.int64), b.astype(np.int64)
         good, todo = np.ones(len(a), bool), np.arange(len(a))
         # in half steps: a merge of rank r is due at 2r, one left of the border before, one right of it after
-        limit = np.full(len(a), 1 << 42) if until is None else until * 2
+        limit = np.full(len(a), 1 << 40) if until is None else until * 2
         while len(todo):
             bad = self.pair_rank(a, b) * 2 < limit
             good[todo[bad]] = False
@@ -128,106 +140,89 @@ class Codec:
             whole[m] = border[m] and whole[a] and whole[b]
         return whole
 
-    def greedy(self, word: bytes) -> list[int]:
-        ids, out, i, n = self.ids, [], 0, len(word)
-        while i < n:
-            for j in range(min(n, i + self.longest[word[i]]), i, -1):
-                if (t := ids.get(word[i:j])) is not None:
-                    out.append(t)
-                    i = j
-                    break
-        return out
-
-    def exact(self, word: bytes) -> list[int]:
+    def speculate(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Longest matches from the left: the tokens of all words, and the
+        number of the word that each is of."""
+        joined = BREAK.join(w.decode("latin-1") for w in words)
+        found = np.array([x for m in self.tokens.iter_long(joined) for x in m], np.int64)
+        ends, ids = found[::2], found[1::2]
+        lengths = np.array([len(w) + 1 for w in words], np.int64)
+        return ids, np.searchsorted(np.cumsum(lengths), ends, side="right")
+
+    def merge_of(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key = a * self.n + b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.key_rank[at], -1), self.key_made[at]
+
+    def exact(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Merge the pair of lowest rank, the leftmost of equals, until none is left."""
-        tok = [self.single[b] for b in word]
-        n = len(tok)
-        after, before, heap = list(range(1, n + 1)), list(range(-1, n - 1)), []
-
-        def offer(i: int) -> None:
-            if i >= 0 and (j := after[i]) < n and (m := self.merge.get((tok[i], tok[j]))):
-                heapq.heappush(heap, (m[0], i, tok[i], tok[j]))
-
-        for i in range(n):
-            offer(i)
-        while heap:
-            _, i, a, b = heapq.heappop(heap)
-            if tok[i] != a or (j := after[i]) >= n or tok[j] != b:
-                continue
-            tok[i], tok[j], after[i] = self.merge[(a, b)][1], -1, after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            offer(before[i])
-            offer(i)
-        return [t for t in tok if t >= 0]
-
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        out = [self.greedy(w) for w in words]
-        lengths = np.array([len(x) for x in out], np.int64)
-        flat = np.array([t for x in out for t in x], np.int64)
-        owner = np.repeat(np.arange(len(out)), lengths)
-        wrong = np.zeros(len(out), bool)
-        wrong[owner[~self.whole[flat]]] = True
-        same = owner[1:] == owner[:-1]
-        a, b, of = flat[:-1][same], flat[1:][same], owner[1:][same]
-        pairs, back = np.unique(a * self.n + b, return_inverse=True)
-        wrong[of[~self.compatible(pairs // self.n, pairs % self.n)[back]]] = True
-        for i in np.flatnonzero(wrong).tolist():
-            out[i] = self.exact(words[i])
-        return out
+        long = [i for i, w in enumerate(words) if len(w) > LONG]
+        short = [i for i, w in enumerate(words) if len(w) <= LONG]
+        single = np.array(self.single, np.int64)
+        ids, of = merge_in_step(single[np.frombuffer(b"".join(words[i] for i in short), np.uint8)],
+                                np.array([len(words[i]) for i in short], np.int64), self.merge_of)
+        of = np.array(short, np.int64)[of]
+        for i in long:
+            one = merge_by_heap([self.single[b] for b in words[i]], self.merge, self.n)
+            ids, of = np.append(ids, one), np.append(of, np.full(len(one), i))
+        return ids, of
+
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all words, and how many each word has."""
+        ids, of = self.speculate(words)
+        lengths = np.array([len(w) for w in words], np.int64)
+        # a proposal must cover its word; then each token and each pair is tested
+        wrong = np.bincount(of, self.size[ids], len(words)).astype(np.int64) != lengths
+        wrong[of[~self.whole[ids]]] = True
+        same = of[1:] == of[:-1]
+        pairs, back = np.unique((ids[:-1] * self.n + ids[1:])[same], return_inverse=True)
+        wrong[of[1:][same][~self.compatible(pairs // self.n, pairs % self.n)[back]]] = True
+        if wrong.any():
+            failed = np.flatnonzero(wrong)
+            again, by = self.exact([words[i] for i in failed.tolist()])
+            right = ~wrong[of]
+            ids, of = np.append(ids[right], again), np.append(of[right], failed[by])
+            order = np.argsort(of, kind="stable")
+            ids, of = ids[order], of[order]
+        return ids, np.bincount(of, minlength=len(words))
 
     def cut(self, text: str) -> list[str]:
         """Words of a text; an added token is a word that starts with a NUL mark."""
+        if LATIN.fullmatch(text) and "<|" not in text:
+            return LATIN_WORDS(text)
         if self.special is None or not self.special.search(text):
             return self.words.findall(text)
         out, at = [], 0
         for m in self.special.finditer(text):
-            out += [*self.words.findall(text[at:m.start()]), "\0added:" + m.group()]
+            out += [*self.words.findall(text[at:m.start()]), MARK + m.group()]
             at = m.end()
         return out + self.words.findall(text[at:])
 
 
-class Memo(dict):
-    """Number of each distinct word; new words wait to be encoded."""
-
-    def __init__(self):
-        super().__init__()
-        self.fresh: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        self.fresh.append(word)
-        return n
-
-
 def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     codec = Codec(path)
-    memo, starts, sizes, flat = Memo(), [], [], []
+    memo, flat, sizes = Memo(), np.zeros(0, np.int32), np.zeros(0, np.int64)
     for batch in batches:
         texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-        for lo, hi in pieces([len(t) for t in texts], BATCH_BYTES):
+        for lo, hi in pieces([len(t) for t in texts], BATCH_CHARS):
             if len(memo) > MOST_WORDS:
-                memo, starts, sizes, flat = Memo(), [], [], []
-            counts, numbers = [], []
-            for t in texts[lo:hi]:
-                words = codec.cut(t)
-                counts.append(len(words))
-                numbers.append(np.fromiter(map(memo.__getitem__, words), np.int64, len(words)))
+                memo, flat, sizes = Memo(), flat[:0], sizes[:0]
+            words = [codec.cut(t) for t in texts[lo:hi]]
+            counts = [len(w) for w in words]
+            at = np.fromiter(map(memo.__getitem__, chain.from_iterable(words)), np.int64, sum(counts))
             if memo.fresh:
-                added = [codec.added.get(w[7:]) if w.startswith("\0added:") else None for w in memo.fresh]
-                for x, one in zip(codec.encode_words([w.encode() for w in memo.fresh]), added):
-                    x = x if one is None else [one]
-                    starts.append(len(flat))
-                    sizes.append(len(x))
-                    flat += x
+                added = {i: codec.added[w[len(MARK):]] for i, w in enumerate(memo.fresh) if w.startswith(MARK)}
+                raw = [w.encode() if i not in added else b" " for i, w in enumerate(memo.fresh)]
+                ids, n = codec.encode_words(raw)
+                for i, token in added.items():  # b" " is one token
+                    ids[n[:i].sum()] = token
+                flat, sizes = np.append(flat, ids.astype(np.int32)), np.append(sizes, n)
                 memo.fresh = []
-            s, z, f = np.array(starts, np.int64), np.array(sizes, np.int64), np.array(flat, np.int32)
-            at = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
-            ids = f[ragged(s[at], z[at])]
-            per_text = np.array([int(z[x].sum()) for x in numbers], np.int64)
-            ends = np.concatenate([[0], np.cumsum(per_text)])
+            start = np.cumsum(sizes) - sizes
+            ids = flat[ragged(start[at], sizes[at])]
+            ends = np.append(0, np.cumsum(sizes[at]))[np.append(0, np.cumsum(counts)).astype(np.int64)]
             raw = codec.flat[ragged(codec.start[ids], codec.size[ids])].tobytes()
-            cuts = np.concatenate([[0], np.cumsum(codec.size[ids])])[ends].tolist()
+            cuts = np.append(0, np.cumsum(codec.size[ids]))[ends].tolist()
             decoded = [raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
             part = batch.slice(lo, hi - lo)
             yield pa.RecordBatch.from_arrays(

@@ -17,9 +17,9 @@ are kept; one named ``n_tokens`` is refused.
 """
 from __future__ import annotations
 
-import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -28,14 +28,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barsmith.llm.common import fresh, pieces
+from barsmith.llm.common import Memo, fresh, merge_by_heap, merge_in_step, pieces
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
 CUT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 LONG = 512
 BATCH_CHARS, MOST_WORDS = 4 << 20, 1 << 20
-NONE = np.iinfo(np.int64).max
 
 
 class Merger:
@@ -63,6 +62,9 @@ class Merger:
         order = np.argsort(keys)
         self.keys, self.ranks, self.made = (np.array(x, np.int64)[order] for x in (keys, ranks, made))
         self.merge = dict(zip(keys, zip(ranks, made)))
+        self.letter = np.full(0x110000, self.n - 1, np.int64)
+        for c in letters:
+            self.letter[ord(c)] = self.id[c]
         # tokens that a symbol counts: one, or its bytes where it is no piece
         self.cost = np.array([1 if p in score else len(p.encode()) for p in self.id] + [0], np.int64)
 
@@ -72,79 +74,21 @@ class Merger:
         hit = self.keys[at] == key
         return np.where(hit, self.ranks[at], -1), self.made[at]
 
-    def symbols(self, word: str) -> tuple[list[int], int]:
-        """Ids of the characters, and the bytes of those outside the vocabulary."""
-        get, other = self.id.get, self.n - 1
-        ids = [get(c, other) for c in word]
-        return ids, sum(len(c.encode()) for c, i in zip(word, ids) if i == other) if other in ids else 0
-
     def counts(self, words: list[str]) -> np.ndarray:
-        out, short, flat, sizes = np.zeros(len(words), np.int64), [], [], []
-        for i, w in enumerate(words):
-            ids, out[i] = self.symbols(w)
-            if len(ids) > LONG:
-                out[i] += self.by_heap(ids)
-            else:
-                short.append(i)
-                flat += ids
-                sizes.append(len(ids))
-        if short:
-            np.add.at(out, np.array(short), self.in_step(np.array(flat, np.int64), np.array(sizes, np.int64)))
-        return out
-
-    def in_step(self, sym: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Merge all sequences at once, one pair each a step."""
-        out = np.zeros(len(sizes), np.int64)
-        seq = np.repeat(np.arange(len(sizes)), sizes)
-        while len(sym):
-            rank, made = self.pair(sym[:-1], sym[1:])
-            rank[(seq[:-1] != seq[1:])] = -1
-            # rank and place in one number: the least is the leftmost of lowest rank
-            order = np.append(np.where(rank < 0, NONE, rank * (len(sym) + 1) + np.arange(len(sym) - 1)), NONE)
-            first = np.flatnonzero(np.append(True, seq[1:] != seq[:-1]))
-            least = np.minimum.reduceat(order, first)
-            done = least == NONE
-            size = np.diff(np.append(first, len(sym)))
-            stays = np.repeat(~done, size)
-            np.add.at(out, seq[~stays], self.cost[sym[~stays]])
-            at = least[~done] % (len(sym) + 1)
-            sym[at] = made[at]
-            stays[at + 1] = False
-            sym, seq = sym[stays], seq[stays]
+        """Tokens of each word."""
+        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        sym, of = self.letter[points], np.repeat(np.arange(len(words)), sizes)
+        other = sym == self.n - 1
+        bytes_ = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
+        out = np.bincount(of[other], bytes_[other], len(words)).astype(np.int64)
+        long = sizes > LONG
+        for i in np.flatnonzero(long).tolist():
+            out[i] += self.cost[merge_by_heap(sym[of == i].tolist(), self.merge, self.n)].sum()
+        left, by = merge_in_step(sym[~long[of]], sizes[~long], self.pair)
+        out[~long] += np.bincount(by, self.cost[left], int((~long).sum())).astype(np.int64)
         return out
 
-    def by_heap(self, sym: list[int]) -> int:
-        n, heap = len(sym), []
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-
-        def offer(i: int) -> None:
-            if i >= 0 and (j := after[i]) < n and (m := self.merge.get(sym[i] * self.n + sym[j])):
-                heapq.heappush(heap, (m[0], i, sym[i], sym[j]))
-
-        for i in range(n):
-            offer(i)
-        while heap:
-            _, i, a, b = heapq.heappop(heap)
-            if sym[i] != a or (j := after[i]) >= n or sym[j] != b:
-                continue
-            sym[i], sym[j], after[i] = self.merge[a * self.n + b][1], -1, after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            offer(before[i])
-            offer(i)
-        return int(self.cost[[s for s in sym if s >= 0]].sum())
-
-
-class Memo(dict):
-    def __init__(self):
-        super().__init__()
-        self.fresh: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        self.fresh.append(word)
-        return n
-
 
 def counted(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     merger = Merger(path)
@@ -155,14 +99,13 @@ def counted(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
         for lo, hi in pieces([len(t) for t in texts], BATCH_CHARS):
             if len(memo) > MOST_WORDS:
                 memo, known = Memo(), np.zeros(0, np.int64)
-            numbers = []
-            for t in texts[lo:hi]:
-                words = CUT.findall(SPACE + t.replace(" ", SPACE)) if t else []
-                numbers.append(np.fromiter(map(memo.__getitem__, words), np.int64, len(words)))
+            words = [CUT.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts[lo:hi]]
+            sizes = [len(w) for w in words]
+            at = np.fromiter(map(memo.__getitem__, chain.from_iterable(words)), np.int64, sum(sizes))
             if memo.fresh:
-                known = np.concatenate([known, merger.counts(memo.fresh)])
+                known = np.append(known, merger.counts(memo.fresh))
                 memo.fresh = []
-            totals[lo:hi] = [int(known[x].sum()) for x in numbers]
+            totals[lo:hi] = np.bincount(np.repeat(np.arange(hi - lo), sizes), known[at], hi - lo)
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(totals)], names=[*batch.schema.names[:-1], "n_tokens"])
 
 

@@ -3,12 +3,14 @@ from __future__ import annotations
 
 from barsmith.llm.bpe_codec import q_bpe_codec
 from barsmith.llm.chat_format import SQL_CHAT_FORMAT, q_chat_format
+from barsmith.llm.pii import q_pii
 from barsmith.llm.quality_rules import q_quality_rules
 from barsmith.llm.sharding import SQL_SHARDING, q_sharding
 from barsmith.llm.token_counts import q_token_counts
 from barsmith.llm.warc import SQL_WARC, q_warc
 
 QUERIES = {
+    "op1_pii": q_pii,
     "op2_quality_rules": q_quality_rules,
     "op3_chat_format": q_chat_format,
     "op5_warc": q_warc,

@@ -4,6 +4,7 @@ from __future__ import annotations
 from barsmith.llm.bpe_codec import q_bpe_codec
 from barsmith.llm.chat_format import SQL_CHAT_FORMAT, q_chat_format
 from barsmith.llm.decontaminate import q_decontaminate
+from barsmith.llm.near_dedup import q_near_dedup
 from barsmith.llm.pii import q_pii
 from barsmith.llm.quality_rules import q_quality_rules
 from barsmith.llm.sharding import SQL_SHARDING, q_sharding
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_chat_format": q_chat_format,
     "op5_warc": q_warc,
     "op6_bpe_codec": q_bpe_codec,
+    "op7_near_dedup": q_near_dedup,
     "op8_decontaminate": q_decontaminate,
     "op9_sharding": q_sharding,
     "op10_token_counts": q_token_counts,

@@ -7,6 +7,7 @@ from barsmith.llm.decontaminate import q_decontaminate
 from barsmith.llm.near_dedup import q_near_dedup
 from barsmith.llm.pii import q_pii
 from barsmith.llm.quality_rules import q_quality_rules
+from barsmith.llm.repeats import q_repeats
 from barsmith.llm.sharding import SQL_SHARDING, q_sharding
 from barsmith.llm.token_counts import q_token_counts
 from barsmith.llm.warc import SQL_WARC, q_warc
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_pii": q_pii,
     "op2_quality_rules": q_quality_rules,
     "op3_chat_format": q_chat_format,
+    "op4_repeats": q_repeats,
     "op5_warc": q_warc,
     "op6_bpe_codec": q_bpe_codec,
     "op7_near_dedup": q_near_dedup,

@@ -50,38 +50,36 @@ WRITTEN = "file string, shard int, records long, bytes long, sha256 string"
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
 
 
-def decided(pages: DataFrame) -> DataFrame:
-    """page_id, url, payload, digest, refers_to (null: a response).
-
-    Copies are found on digests alone: the largest id of each digest is
-    aggregated before the join, and the join's hot keys can be split.
-    """
+def payloads(pages: DataFrame) -> DataFrame:
+    """page_id, url, payload, digest."""
     rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.encode(F.coalesce("html", F.lit("")), "utf-8").alias("payload"))
-    rows = rows.withColumn("digest", F.sha1("payload"))
-    long = F.octet_length("payload") >= REVISIT_FROM
-    first = (rows.where(long).groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n"))
-             .where("n > 1").drop("n"))
-    out = rows.join(first, "digest", "left")
-    return out.withColumn("refers_to", F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("refers_to")), F.col("refers_to")))
+    return rows.withColumn("digest", F.sha1("payload"))
+
+
+def copies(keys: DataFrame) -> DataFrame:
+    """(page_id, digest, bytes) -> the digests of several records, with the
+    largest page id of each as ``refers_to``."""
+    return (keys.where(F.col("bytes") >= REVISIT_FROM).groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n"))
+            .where("n > 1").drop("n"))
 
 
-def shard_of(rows: DataFrame, shard_bytes: int) -> Column:
+def shard_of(keys: DataFrame, shard_bytes: int) -> Column:
     """Shard number from cuts between cells of equal width over the ids; the
     driver sees CELLS sums at most."""
-    low, high, total = rows.agg(F.min("page_id"), F.max("page_id"), F.sum(F.octet_length("payload"))).first()
+    low, high, total = keys.agg(F.min("page_id"), F.max("page_id"), F.sum("bytes")).first()
     if low is None:
         return F.lit(0)
     width = (high - low) // CELLS + 1
     cell = F.coalesce(F.floor((F.col("page_id") - low) / F.lit(width)).cast("int"), F.lit(0))
-    sums = dict(rows.groupBy(cell.alias("cell")).agg(F.sum(F.octet_length("payload"))).collect())
-    each = max(1, round((total or 0) / shard_bytes))
+    sums = dict(keys.groupBy(cell.alias("cell")).agg(F.sum("bytes")).collect())
+    each = max(1, round(total / shard_bytes))
     cuts, held = [], 0
     for c in sorted(sums):
-        if held >= (total or 0) / each * (len(cuts) + 1):
+        if held >= total / each * (len(cuts) + 1):
             cuts.append(low + c * width)
         held += sums[c]
     # the number of cuts at or below the id
-    return F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.expr("CAST(array() AS array<bigint>)"),
+    return F.size(F.filter(F.lit(cuts) if cuts else F.expr("CAST(array() AS array<bigint>)"),
                            lambda x: x <= F.coalesce(F.col("page_id"), F.lit(low))))
 
 
@@ -154,8 +152,13 @@ def write_files(batches: Iterator[pa.RecordBatch], uri: str, file_bytes: int) ->
 
 def write_warc(pages: DataFrame, uri: str, file_bytes: int = FILE_BYTES, shard_bytes: int = SHARD_BYTES) -> None:
     """(page_id, url, html) -> archives and ``manifest.json`` in the folder ``uri``."""
-    rows = written(decided(pages), "pages")
-    dealt = rows.withColumn("shard", shard_of(rows, shard_bytes)).select("shard", "page_id", "url", "payload", "digest", "refers_to")
+    rows = payloads(pages)
+    # what is decided over all records is decided on their keys; a payload moves once, to its shard
+    keys = written(rows.select("page_id", "digest", F.octet_length("payload").cast("long").alias("bytes")), "keys")
+    first = written(copies(keys), "copies")
+    rows = rows.join(first, "digest", "left").withColumn(
+        "refers_to", F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("refers_to")), F.col("refers_to")))
+    dealt = rows.withColumn("shard", shard_of(keys, shard_bytes)).select("shard", "page_id", "url", "payload", "digest", "refers_to")
     dealt = dealt.repartition("shard").sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "url", "digest")
     store, folder = fs.FileSystem.from_uri(uri)
     store.create_dir(folder)
@@ -183,7 +186,7 @@ def parsed(data: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
         yield headers, block
 
 
-def read_files(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[pa.RecordBatch]:
+def read_files(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
     import gzip
 
     for batch in batches:
@@ -200,7 +203,7 @@ def read_files(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[pa
                     raise ValueError(f"{name}: a payload does not fit its digest")
                 page = None if h["X-Page-Id"] == "null" else int(h["X-Page-Id"])
                 rows.append((page, size, digest, h["WARC-Type"], int(h["X-Refers-To-Page-Id"]) if revisit else None,
-                             h["WARC-Target-URI"], payload if payloads and not revisit else None))
+                             h["WARC-Target-URI"], payload if whole and not revisit else None))
             types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
                                              names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"])

@@ -6,7 +6,8 @@ most kinds * 3 ** labelers groups, and expectation-maximisation over these
 counts estimates how each labeler votes on true and false spans.  The posterior
 of every span then trains the final classifier, naive Bayes over features of a
 span, from sums over all rows.  Spans that fit a strict pattern and its check
-(``base``) always stay; the classifier decides on the others.
+(``base``) always stay, spans that fail their check never do; the classifier
+decides on the others.
 
 Offsets are code points, the end exclusive.  Strict patterns are matched from
 the left without overlap, per kind; a match that fails its check is dropped and
@@ -270,7 +271,7 @@ def found(df: DataFrame, text: str = "text", name: str = "pii", keep_text: bool
     rows = written(mapped(df, text, spans, T.ArrayType(SPAN), ARROW_SPAN, spans_of, drop=() if keep_text else (text,)), "pii")
     weights = classifier(rows.select(F.explode(spans).alias("s")).select("s.*"))
     score = lambda s: F.aggregate(s["features"], F.lit(weights[-1]), lambda a, f: a + F.element_at(F.lit(weights[:-1]), f + 1))
-    kept = F.filter(spans, lambda s: s["base"] | ((score(s) > 0) & ~F.exists(spans, lambda b: b["base"] & (b["kind"] == s["kind"]) & (b["start"] < s["end"]) & (s["start"] < b["end"]))))
+    kept = F.filter(spans, lambda s: s["base"] | ((score(s) > 0) & (s["votes"][LABELERS.index("check")] != 0) & ~F.exists(spans, lambda b: b["base"] & (b["kind"] == s["kind"]) & (b["start"] < s["end"]) & (s["start"] < b["end"]))))
     return rows.withColumn(name, F.when(F.size(spans) > 0, F.transform(kept, lambda s: F.struct(s["kind"], s["start"], s["end"], s["base"]))).otherwise(
         F.expr("CAST(array() AS array<struct<kind: int, start: int, end: int, base: boolean>>)"))).drop(spans)
 

@@ -1,0 +1,222 @@
+"""Operators that look at one text at a time, against brute force or the libraries."""
+from __future__ import annotations
+
+import collections
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from barsmith.llm import bpe_codec, chat_format, pii, quality_rules, token_counts
+from tests.llm.conftest import EDGES, LONG
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+# ------------------------------------------------------------------ op1
+def base_spans(t):
+    out = [(0, *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t):
+        if all(int(x) <= 255 for x in m.group().split(".")):
+            out.append((1, *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = [int(c) for c in m.group() if c not in " -"]
+        if 16 <= len(d) <= 19 and sum(sum(divmod(2 * c, 10)) if i % 2 else c for i, c in enumerate(reversed(d))) % 10 == 0:
+            out.append((2, *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t):
+        if 8 <= sum(c in "0123456789" for c in m.group()) <= 15:
+            out.append((3, *m.span()))
+    return out
+
+
+def test_base_spans_on_random_texts():
+    rnd = random.Random(3)
+    for _ in range(20_000):
+        t = "".join(rnd.choice("ab.%+-@ 0123456789().1 +é") for _ in range(rnd.randint(0, 50)))
+        assert sorted(base_spans(t)) == sorted((s["kind"], s["start"], s["end"]) for s in pii.spans_of(t) if s["base"]), t
+
+
+def test_scans_are_linear_on_hostile_texts():
+    t = "+" * 50_000 + "1." * 50_000 + "a" * 100_000 + "@" * 1000 + "1" * 100_000 + " 1" * 50_000 + "f" * 100_000
+    assert isinstance(pii.spans_of(t), list)
+
+
+def test_pii_adds_spans_and_keeps_the_base(spark):
+    rnd = random.Random(5)
+    texts = []
+    for i in range(300):
+        hexes = "".join(rnd.choice("0123456789abcdef") for _ in range(40))
+        texts.append(rnd.choice([f"mail me at u{i}@mail.example.com now", f"host 10.2.{i % 256}.9 is up", f'a token = "{hexes}" here',
+                                 "card 4111 1111 1111 1111 paid", "card 4111 1111 1111 1112 no", "call +1 (415) 555-0100", "just words"]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.pii for r in pii.found(df).collect()}
+    for i, t in enumerate(texts):
+        base = [(s.kind, s.start, s.end) for s in got[i] if s.base]
+        assert base == sorted(base_spans(t))
+        added = [pii.KINDS[s.kind] for s in got[i] if not s.base]
+        assert added == (["secret"] if "token" in t else [])
+    masked = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    for i, t in enumerate(texts):
+        assert ("[" in masked[i]) == (bool(base_spans(t)) or "token" in t)
+        assert masked[i] == t or not base_spans(masked[i])
+
+
+def test_pii_edges(edges, nothing):
+    out = pii.redact(edges)
+    assert out.columns == edges.columns and out.count() == len(EDGES)
+    assert out.where("doc_id = 1 and text is null").count() == 1
+    assert pii.found(nothing).count() == 0 and pii.redact(nothing).columns == nothing.columns
+    assert pii.redacted("a 1.2.3.4 b", [dict(start=2, end=9, kind=1), dict(start=4, end=9, kind=3)]) == "a [IP] b"
+
+
+# ------------------------------------------------------------------ op2
+def measures(t):
+    w, lines = WORD.findall(t), [x for x in t.split("\n") if WORD.search(x)]
+    seen = collections.Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4))
+    covered = {j for i in range(len(w) - 4) if seen[tuple(w[i:i + 5])] > 1 for j in range(i, i + 5)}
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered)
+
+
+def test_measures_against_brute_force(spark):
+    rnd = random.Random(7)
+    texts = ["".join(rnd.choice(["a", "b", "c ", " ", "\n", "#", "é", "\x0b", " ", "word "]) for _ in range(rnd.randint(0, 80)))
+             for _ in range(400)] + [t or "" for _, t in EDGES]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: tuple(r.measures[k] for k in quality_rules.BASE) for r in quality_rules.measured(df).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == measures(t), t
+
+
+def test_em_recovers_accuracies():
+    rnd = random.Random(1)
+    counts = collections.Counter()
+    for _ in range(20_000):
+        good = rnd.random() < 0.8
+        counts[tuple(None if rnd.random() < 0.3 else int(good == (rnd.random() < acc)) for acc in (0.95, 0.9, 0.85, 0.8))] += 1
+    fitted = quality_rules.estimate(sorted(([*v], n) for v, n in counts.items() if None not in v) +
+                                    sorted((([*v], n) for v, n in counts.items() if None in v), key=str), 4)
+    assert abs(fitted["good"] - 0.8) < 0.05
+    for by, acc in zip(fitted["speaks"], (0.95, 0.9, 0.85, 0.8)):
+        assert abs(by[1][1] / (by[1][0] + by[1][1]) - acc) < 0.04
+
+
+def test_quality_agrees_with_held_out_labels(spark):
+    d = "/root/testdata/sf0.01"
+    got = quality_rules.q_quality_rules(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id")
+    clean = got.where("quality = 1 and not base_failed")
+    assert clean.where("kept").count() == clean.count()
+    junk = got.where("quality = 0")
+    assert junk.where("not kept").count() >= 0.95 * junk.count()
+
+
+def test_quality_edges(edges, nothing):
+    kept = quality_rules.keep_good(edges)
+    assert kept.columns == edges.columns and {r.doc_id for r in kept.collect()} == set()
+    assert quality_rules.keep_good(nothing).count() == 0
+
+
+def test_quality_plan_is_native(spark):
+    plan = quality_rules.q_quality_rules(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# ------------------------------------------------------------------ op3
+def test_chats_read_back_exactly(spark):
+    rnd = random.Random(9)
+    parts = ["<turn user>", "</turn>\n", "<next/>", "\\", "\\s", "\\t", "\\e", "<", ">", "a", "\n", "é", "### Assistant:", "</turn", "turn "]
+    data = []
+    for c in range(120):
+        for turn in range(rnd.randint(1, 6)):
+            text = None if rnd.random() < 0.1 else "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 8)))
+            data.append((c if c else None, turn, rnd.choice(["user", "assistant", "assistant", "a>b\\<turn ", None]), text))
+    df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string").repartition(4)
+    want = collections.defaultdict(list)
+    for c, _, role, text in data:
+        want[c].append((role or "", text or ""))
+    chats = chat_format.format_chats(df)
+    for r in chat_format.read_back(chats).collect():
+        assert [(t.role, t.text) for t in r.turns] == want[r.conv_id]
+        assert [t.loss for t in r.turns] == [role == "assistant" for role, _ in want[r.conv_id]]
+    for r in chats.collect():  # the mask points into the formatted text
+        at = 0
+        for m, (role, _) in zip(r.loss_mask, want[r.conv_id]):
+            at += m.lead + m.chars
+        assert r.formatted[at:] == "</turn>\n"
+        merged = 1 + sum(a[0] != b[0] for a, b in zip(want[r.conv_id], want[r.conv_id][1:]))
+        assert r.formatted.count("</turn>\n") == merged
+
+
+def test_chat_ties_empty_table_and_misfit(spark):
+    df = spark.createDataFrame([(1, 0, "user", "b"), (1, 0, "user", "a"), (1, None, "user", "c"), (1, 0, "user", "a")],
+                               "conv_id long, turn long, role string, text string").withColumn("turns", F.lit(1)).withColumn("formatted", F.lit(2))
+    r = chat_format.read_back(chat_format.format_chats(df)).collect()[0]
+    assert [t.text for t in r.turns] == ["c", "a", "a", "b"]
+    assert chat_format.format_chats(df.limit(0)).count() == 0
+    broken = chat_format.format_chats(df).withColumn("formatted", F.expr("replace(formatted, 'a', 'aa')"))
+    with pytest.raises(Exception, match="does not fit"):
+        chat_format.read_back(broken).collect()
+
+
+# ------------------------------------------------------------------ op6, op10
+def odd_texts():
+    rnd = random.Random(11)
+    letters = "abcdefgh éèñß  \n\t\r.,'#$<>|0123456789ABC日本\U0001f642▁​ 'sth\x1c\x85"
+    lib = Tokenizer.from_file(bpe_codec.VOCABULARY)
+    words = sorted(lib.get_vocab())
+    out = ["", "   ", "<|endoftext|>", "a<|endoftext|> b", "don't we'll  \n\n x", "a" * 3000, "the" * 700, "\x00", " " * 700,
+           "▁▁a", "<0x0A> <s> </s> <unk> \r\r\n", LONG]
+    out += ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 60))) for _ in range(2000)]
+    out += ["".join(rnd.choice(words) for _ in range(5)).replace("Ġ", " ") for _ in range(2000)]
+    return lib, out
+
+
+def test_bpe_equals_the_library(spark):
+    lib, texts = odd_texts()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    want = lib.encode_batch(texts, add_special_tokens=False)
+    for r in bpe_codec.encode(df, ["doc_id"]).collect():
+        assert r.ids == want[r.doc_id].ids and r.decoded == lib.decode(r.ids, skip_special_tokens=False), texts[r.doc_id][:60]
+
+
+def test_bpe_proposals_mostly_stand():
+    codec = bpe_codec.Codec(bpe_codec.VOCABULARY)
+    words = [b" the", b" tokenization", b"unbelievable", b" Schifffahrt", b"x" * 40]
+    ids, of = codec.speculate(words)
+    assert b"".join(codec.bytes[i] for i in ids) == b"".join(words) and codec.whole[ids].all()
+    exact, n = codec.encode_words(words)
+    again, by = codec.exact(words)
+    assert exact.tolist() == again[by.argsort(kind="stable")].tolist() and n.sum() == len(again)
+
+
+def test_token_counts_equal_the_library(spark):
+    from sentencepiece import SentencePieceProcessor
+
+    _, texts = odd_texts()
+    want = [len(x) for x in SentencePieceProcessor(model_file=token_counts.MODEL).encode(texts)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(df, ["doc_id"]).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_token_edges(spark, edges, nothing):
+    for r in bpe_codec.encode(edges, ["doc_id", "key", "text"]).collect():
+        assert r.decoded == (r.text or "") and (r.ids == []) == (not r.text)
+    assert bpe_codec.encode(nothing, ["doc_id"]).count() == 0 and token_counts.count_tokens(nothing, ["doc_id"]).count() == 0
+    assert token_counts.count_tokens(edges, ["doc_id", "text"]).where("text is null or text = ''").selectExpr("max(n_tokens) m").first().m == 0
+    with pytest.raises(ValueError):
+        bpe_codec.encode(edges.withColumn("ids", F.lit(1)), ["IDS"])
+    with pytest.raises(ValueError):
+        token_counts.count_tokens(edges.withColumn("n_tokens", F.lit(1)), ["n_tokens"])
+
+
+def test_digests_of_the_query(spark):
+    lib = Tokenizer.from_file(bpe_codec.VOCABULARY)
+    d = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
+    for r in bpe_codec.q_bpe_codec(spark, d).collect():
+        ids = lib.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()

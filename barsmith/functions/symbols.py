@@ -9,8 +9,8 @@ SYMBOL_PATTERN = r"^[A-Z]{1,5}(\.[A-Z]{1,2})?$"
 
 
 def normalise_symbol(symbol: Column) -> Column:
-    """Trim and upper-case; NULL stays NULL."""
-    return F.upper(F.trim(symbol))
+    """White space of any kind off both ends, upper case; NULL stays NULL."""
+    return F.upper(F.regexp_replace(symbol, r"(?U)^\s+|\s+$", ""))
 
 
 def symbol_format_ok(symbol: Column) -> Column:

@@ -62,14 +62,12 @@ def first_last_window(
     first_name: str = "start_price",
     last_name: str = "end_price",
 ) -> DataFrame:
-    """Window form of :func:`first_last` (row_number asc / desc = 1, then an
-    inner join of the two anchors).  Same result, kept for parity and as a
-    cross-check; the aggregate form is the one the analytics use."""
-    keys = [by] if isinstance(by, str) else list(by)
-    asc = Window.partitionBy(*keys).orderBy(F.col(order).asc())
-    desc = Window.partitionBy(*keys).orderBy(F.col(order).desc())
-    firsts = (df.withColumn("_rn", F.row_number().over(asc)).where("_rn = 1")
-              .select(*keys, F.col(value).alias(first_name)))
-    lasts = (df.withColumn("_rn", F.row_number().over(desc)).where("_rn = 1")
-             .select(*keys, F.col(value).alias(last_name)))
-    return firsts.join(lasts, on=keys, how="inner")
+    """:func:`first_last` by one window: each group's first row in order, with
+    the value of its last row beside it.  One shuffle and one sort; the
+    aggregate form moves less and is the one the analytics use."""
+    keys = _cols(by)
+    ordered = Window.partitionBy(*keys).orderBy(order)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = df.select(*keys, F.col(value).alias(first_name), F.last(value).over(whole).alias(last_name),
+                       F.row_number().over(ordered).alias("_place"))
+    return placed.where("_place = 1").drop("_place")

@@ -30,11 +30,11 @@ def dedupe_bars(bars: DataFrame) -> DataFrame:
     return bars.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def inspect_symbol(bars: DataFrame, symbol: str, date_from: str, date_to: str, rows: int = 100) -> DataFrame:
-    """First ``rows`` bars of one symbol in ``[date_from, date_to]`` by date
-    (the diagnostic slice; a partitioned store prunes to one folder)."""
+def inspect_symbol(bars: DataFrame, symbol: str, date_from: str, date_to: str) -> DataFrame:
+    """All bars of one symbol in ``[date_from, date_to]`` by date (the
+    diagnostic slice; how many of them to show is the caller's matter)."""
     return (restrict_dates(bars.where(F.col("symbol") == symbol), date_from, date_to)
-            .orderBy("date").select(*INSPECT_COLUMNS).limit(rows))
+            .orderBy("date").select(*INSPECT_COLUMNS))
 
 
 def for_symbols(bars: DataFrame, symbols: DataFrame) -> DataFrame:

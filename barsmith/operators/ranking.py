@@ -6,8 +6,9 @@ better value)``, computed without a single-partition step:
 
 1. count rows per distinct value (partial aggregation, so a value shared by a
    third of the rows collapses map-side);
-2. range-partition the distinct values; running count inside each range
-   partition (window partitioned by the range partition id);
+2. range-partition the distinct values and checkpoint them with their
+   partition id (range bounds are sampled, so a second evaluation may draw
+   others); running count inside each range partition;
 3. per-partition totals (same window stage) -> offsets: one row per
    partition, a table whose size is bounded by the partition count, not by
    the data;
@@ -19,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barsmith.session import ensure_checkpoint_dir
 
 MAX_RANGE_PARTITIONS = 1024
 
@@ -34,15 +36,15 @@ def global_rank(
 
     NULL values rank last (Spark's default for DESC and ASC NULLS LAST)."""
     spark = df.sparkSession
-    # an explicit count keeps the range partitions fixed (AQE does not coalesce
-    # them, so both consumers of ``ranged`` see the same partition ids); the
-    # default stays moderate -- the input is one row per distinct value -- and
-    # only the task count is bounded, never the data
+    # the default stays moderate -- the input is one row per distinct value --
+    # and only the task count is bounded, never the data
     parts = num_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGE_PARTITIONS)
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
 
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    ranged = counts.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id())
+    ensure_checkpoint_dir(spark)
+    # both consumers below read the same stored partition ids
+    ranged = counts.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id()).checkpoint()
     in_part = Window.partitionBy("_part")
     ranged = (ranged
               .withColumn("_before", F.coalesce(

@@ -59,10 +59,12 @@ def reference_as_of(reference: DataFrame, as_of: str | None = None) -> DataFrame
 
 
 def first_listings(companies: DataFrame) -> DataFrame:
-    """(symbol, position, is_first) for the first listing of every non-blank
-    normalised symbol."""
+    """(symbol, position, is_first, last_name) for the first listing of every
+    non-blank normalised symbol; a repeated symbol is compared under the name
+    that it was listed with last."""
     return (companies.where(F.col("symbol") != "")
-            .groupBy("symbol").agg(F.min("position").alias("position"))
+            .groupBy("symbol").agg(F.min("position").alias("position"),
+                                   F.max_by("expected_name", "position").alias("last_name"))
             .withColumn("is_first", F.lit(True)))
 
 
@@ -75,17 +77,22 @@ def vet_tickers(companies: DataFrame, reference: DataFrame, as_of: str | None =
         "position", F.col("company_name").alias("expected_name"),
         F.coalesce(normalise_symbol(F.col("symbol")), F.lit("")).alias("symbol"),
     )
-    rows = rows.join(first_listings(rows), ["symbol", "position"], "left")
+    rows = (rows.join(first_listings(rows), ["symbol", "position"], "left")
+            .withColumn("expected_name", F.coalesce("last_name", "expected_name")).drop("last_name"))
+    # only what can be looked up goes to the lookup: one row a symbol, so no
+    # blank or repeated symbol is a hot key of the join
+    looked_up = F.coalesce(F.col("is_first"), F.lit(False)) & symbol_format_ok(F.col("symbol"))
     ref = reference_as_of(reference, as_of).select(
         "symbol", "http_status", "active", "type", F.col("name").alias("actual_name"),
         F.lit(True).alias("_has_record"))
-    joined = rows.join(ref, "symbol", "left")
+    found = rows.where(looked_up).join(ref, "symbol", "left")
+    joined = found.unionByName(rows.where(~looked_up), allowMissingColumns=True)
 
     sym = F.col("symbol")
     status = F.col("http_status")
     name = F.col("actual_name")
     record_empty = F.col("active").isNull() & F.col("type").isNull() & name.isNull()
-    ok_http = status.between(200, 299)
+    ok_http = status < 400
     expected_given = F.coalesce(F.col("expected_name"), F.lit("")) != ""
     actual_given = F.coalesce(name, F.lit("")) != ""
 

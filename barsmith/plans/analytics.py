@@ -7,7 +7,7 @@ job answer all three from one scan of the bars.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barsmith.functions.dates import week_monday
@@ -44,15 +44,20 @@ def symbol_anchors(
 # --------------------------------------------------------------------------- T1
 def relative_increase_from_anchors(anchors: DataFrame, min_points: int = 1) -> DataFrame:
     """T1 over :func:`symbol_anchors` output."""
-    scored = anchors.where((F.col("start_price") > 0) & (F.col("n_points") >= min_points)).select(
+    return global_rank(increases(anchors, min_points), "relative_increase").select(*T1_COLUMNS).orderBy("rank", "symbol")
+
+
+T1_COLUMNS = ("symbol", "start_price", "end_price", "relative_increase", "relative_increase_pct", "rank")
+
+
+def increases(anchors: DataFrame, min_points: int = 1) -> DataFrame:
+    """T1 without the rank."""
+    return anchors.where((F.col("start_price") > 0) & (F.col("n_points") >= min_points)).select(
         "symbol",
         "start_price",
         "end_price",
         relative_change(F.col("start_price"), F.col("end_price")).alias("relative_increase"),
     ).withColumn("relative_increase_pct", percent(F.col("relative_increase")))
-    return global_rank(scored, "relative_increase").select(
-        "symbol", "start_price", "end_price", "relative_increase", "relative_increase_pct", "rank"
-    ).orderBy("rank", "symbol")
 
 
 def relative_increase(bars: DataFrame, min_points: int = 1) -> DataFrame:
@@ -61,29 +66,44 @@ def relative_increase(bars: DataFrame, min_points: int = 1) -> DataFrame:
 
     ``min_points=1`` keeps single-bar symbols (increase 0.0) like the code it
     replaces; ``min_points=2`` applies the documented exclusion."""
-    anchors = first_last(bars.select("symbol", "date", "close"), extra=[F.count(F.lit(1)).alias("n_points")])
-    return relative_increase_from_anchors(anchors, min_points)
+    return relative_increase_from_anchors(increase_anchors(bars), min_points)
+
+
+def increase_anchors(bars: DataFrame) -> DataFrame:
+    return first_last(bars.select("symbol", "date", "close"), extra=[F.count(F.lit(1)).alias("n_points")])
+
+
+def increase_winners(bars: DataFrame) -> DataFrame:
+    """The T1 rows ranked first, without ranking the others."""
+    return winners(increases(increase_anchors(bars)), "relative_increase").select(*T1_COLUMNS)
 
 
-def winners(ranked: DataFrame) -> DataFrame:
-    """Rows ranked first (several on a tie)."""
-    return ranked.where(F.col("rank") == 1)
+def winners(scored: DataFrame, value: str) -> DataFrame:
+    """Rows of the greatest value (several on a tie), as rank 1: the maximum is
+    one aggregate, read back as a scalar."""
+    best = scored.agg(F.max(value)).scalar()
+    return scored.where(F.col(value) == best).withColumn("rank", F.lit(1))
 
 
 # --------------------------------------------------------------------------- T3
 def monthly_cagr_from_anchors(anchors: DataFrame, n_months: int = 5) -> DataFrame:
     """T3 over :func:`symbol_anchors` output."""
+    return global_rank(growths(anchors, n_months), "monthly_cagr").select(*T3_COLUMNS).orderBy("rank", "symbol")
+
+
+T3_COLUMNS = ("symbol", "start_price", "end_price", "n_months", "monthly_cagr", "rank")
+
+
+def growths(anchors: DataFrame, n_months: int = 5) -> DataFrame:
+    """T3 without the rank."""
     start, end = F.col("month_start_price"), F.col("month_end_price")
-    scored = anchors.where(start.isNotNull() & end.isNotNull() & (start > 0)).select(
+    return anchors.where(start.isNotNull() & end.isNotNull() & (start > 0)).select(
         "symbol",
         start.alias("start_price"),
         end.alias("end_price"),
         F.lit(n_months).cast("int").alias("n_months"),
         compound_growth(start, end, n_months).alias("monthly_cagr"),
     )
-    return global_rank(scored, "monthly_cagr").select(
-        "symbol", "start_price", "end_price", "n_months", "monthly_cagr", "rank"
-    ).orderBy("rank", "symbol")
 
 
 def monthly_cagr(
@@ -99,13 +119,21 @@ def monthly_cagr(
     ``year=None`` takes the latest such month of any year (the behaviour of
     the code this replaces); give a year to pin both months.  ``n_months`` is
     only the exponent.  Symbols lacking either month are excluded."""
+    return monthly_cagr_from_anchors(month_anchors(bars, start_month, end_month, year), n_months)
+
+
+def month_anchors(bars: DataFrame, start_month: int = 1, end_month: int = 6, year: int | None = None) -> DataFrame:
     month = F.month("date")
     in_year: Column = F.lit(True) if year is None else (F.year("date") == year)
-    anchors = bars.groupBy("symbol").agg(
+    return bars.groupBy("symbol").agg(
         last_where(in_year & (month == start_month)).alias("month_start_price"),
         last_where(in_year & (month == end_month)).alias("month_end_price"),
     )
-    return monthly_cagr_from_anchors(anchors, n_months)
+
+
+def growth_winners(bars: DataFrame) -> DataFrame:
+    """The T3 rows ranked first, without ranking the others."""
+    return winners(growths(month_anchors(bars)), "monthly_cagr").select(*T3_COLUMNS)
 
 
 # --------------------------------------------------------------------------- T4
@@ -145,19 +173,10 @@ def weekly_returns(bars: DataFrame, min_days: int = 2, keep_monday: bool = False
     return out.select(*WEEKLY_COLUMNS, *(["week_monday"] if keep_monday else []))
 
 
-def week_days_window(bars: DataFrame) -> DataFrame:
-    """Window form of the week anchors (row_number asc/desc and an unordered
-    count per (symbol, week)): first and last trading day and day count.
-    Kept as a cross-check of the aggregate form used by ``weekly_returns``."""
-    wk = bars.select("symbol", "date", week_monday(F.col("date")).alias("week_monday"))
-    part = Window.partitionBy("symbol", "week_monday")
-    return (wk.withColumn("_first", F.row_number().over(part.orderBy(F.col("date").asc())))
-              .withColumn("_last", F.row_number().over(part.orderBy(F.col("date").desc())))
-              .withColumn("n_trading_days", F.count("date").over(part))
-              .groupBy("symbol", "week_monday")
-              .agg(F.max(F.when(F.col("_first") == 1, F.col("date"))).alias("week_start"),
-                   F.max(F.when(F.col("_last") == 1, F.col("date"))).alias("week_end"),
-                   F.max("n_trading_days").alias("n_trading_days")))
+def week_days(bars: DataFrame) -> DataFrame:
+    """First and last trading day and day count of every (symbol, week)."""
+    return bars.groupBy("symbol", week_monday(F.col("date")).alias("week_monday")).agg(
+        F.min("date").alias("week_start"), F.max("date").alias("week_end"), F.count("date").alias("n_trading_days"))
 
 
 def worst_weeks(bars: DataFrame, k: int = 1, min_days: int = 2) -> DataFrame:

@@ -12,7 +12,12 @@ from barsmith.sources.tables import spread, table
 
 def bars(spark: SparkSession, data_dir: str) -> DataFrame:
     """Validated-layout bars: one per (supplier ticker, ship day), whole table."""
-    return lb.bars_from_lineitem(spread(table(spark, data_dir, "lineitem"), "l_orderkey"))
+    return lb.bars_from_trades(trades(spark, data_dir))
+
+
+def trades(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Priced line items, whole table."""
+    return lb.trade_prices(spread(table(spark, data_dir, "lineitem"), "l_orderkey"))
 
 
 def raw_bars(spark: SparkSession, data_dir: str) -> DataFrame:

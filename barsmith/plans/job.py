@@ -23,7 +23,7 @@ from barsmith.functions.symbols import normalise_symbol
 from barsmith.operators import bars as bars_ops
 from barsmith.operators import quality, tickers
 from barsmith.plans import analytics, portfolio
-from barsmith.schemas import RAW_BARS, TICKER_REFERENCE
+from barsmith.schemas import RAW_BARS, TICKER_REFERENCE, TICKER_VETTING
 from barsmith.sources import bar_store, company_list, payloads
 
 # Default analysis period and budget per company.
@@ -61,6 +61,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
+def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Write a result and read it back with its own schema, rows or none."""
+    bar_store.write_result(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ingest(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     """Landed envelopes for the requested (optionally vetted) symbols -> RAW
     store; returns the store read back."""
@@ -71,9 +77,10 @@ def ingest(spark: SparkSession, cfg: JobConfig) -> DataFrame:
         if not cfg.reference_path:
             raise JobError("--validate-tickers needs reference_path")
         reference = spark.read.schema(TICKER_REFERENCE).parquet(cfg.reference_path)
-        bar_store.write_result(tickers.vet_tickers(companies, reference, as_of=cfg.start_date),
-                               cfg.path("ticker_vetting"))
-        requested = tickers.valid_symbols(spark.read.parquet(cfg.path("ticker_vetting")))
+        vetting = _stored(spark, tickers.vet_tickers(companies, reference, as_of=cfg.start_date).select(*TICKER_VETTING.names),
+                          cfg.path("ticker_vetting"))
+        bar_store.write_result(tickers.report(vetting), cfg.path("ticker_report"))
+        requested = tickers.valid_symbols(vetting)
         if requested.isEmpty():
             raise JobError("No valid tickers to fetch. Aborting.")
     else:
@@ -87,6 +94,7 @@ def ingest(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     bar_store.write_bars(raw, cfg.path("raw"))
     raw = bar_store.read_bars(spark, cfg.path("raw"), RAW_BARS)
     bar_store.write_result(payloads.fetch_failures(requested, raw), cfg.path("fetch_failures"))
+    bar_store.write_result(payloads.bars_per_symbol(raw), cfg.path("bars_per_symbol"))
     return raw
 
 
@@ -99,34 +107,33 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
     else:
         raw = ingest(spark, cfg)
 
-    # one pass over RAW: every row lands in layer=valid or layer=quarantine
-    flagged = quality.flag(raw).withColumn(
-        "layer", F.when(F.col(quality.REASON).isNull(), F.lit("valid")).otherwise(F.lit("quarantine")))
-    flagged.write.mode("overwrite").partitionBy("layer").parquet(cfg.path("gated"))
-    gated = spark.read.parquet(cfg.path("gated"))
+    # one pass over RAW: every row lands in layer=valid or layer=quarantine, in
+    # its month's folder, so that the analysis period prunes
+    flagged = (quality.flag(raw, quality.rules(finite_prices=True))
+               .withColumn("layer", F.when(F.col(quality.REASON).isNull(), F.lit("valid")).otherwise(F.lit("quarantine")))
+               .withColumn(bar_store.MONTH, bar_store.month_of()))
+    (flagged.hint("rebalance", "layer", bar_store.MONTH)
+        .write.mode("overwrite").partitionBy("layer", bar_store.MONTH).parquet(cfg.path("gated")))
+    gated = spark.read.schema(flagged.schema).parquet(cfg.path("gated"))
     # reasons and metrics from one aggregate over the gated table
-    bar_store.write_result(quality.outcome_counts(gated), cfg.path("gate_outcomes"))
-    outcomes = spark.read.parquet(cfg.path("gate_outcomes"))
+    outcomes = _stored(spark, quality.outcome_counts(gated), cfg.path("gate_outcomes"))
     bar_store.write_result(outcomes.where(F.col(quality.REASON).isNotNull()), cfg.path("quarantine_reasons"))
     bar_store.write_result(quality.metrics_from_counts(outcomes), cfg.path("validation_metrics"))
-    # the analysis period applies whether bars were fetched or re-read
-    valid = bars_ops.restrict_dates(quality.valid(gated.where(F.col("layer") == "valid")),
-                                    cfg.start_date, cfg.end_date)
+    valid = valid_in_period(gated, cfg)
 
     if cfg.dedupe:
         # a re-delivered bar must not count twice (T4's day count) nor make the
         # first/last close arbitrary.  Only the columns the analytics read are
         # shuffled, and the result is written once for both consumers below.
         narrow = bars_ops.dedupe_bars(valid.select("symbol", "date", "close", "ingested_at"))
-        bar_store.write_result(narrow, cfg.path("valid_closes"))
-        valid = spark.read.parquet(cfg.path("valid_closes"))
+        valid = _stored(spark, narrow, cfg.path("valid_closes"))
 
     # one scan of VALID answers T1-T3: the per-symbol anchors are written once
-    bar_store.write_result(analytics.symbol_anchors(valid), cfg.path("symbol_anchors"))
-    anchors = spark.read.parquet(cfg.path("symbol_anchors"))
+    anchors = _stored(spark, analytics.symbol_anchors(valid), cfg.path("symbol_anchors"))
     allocation = portfolio.allocation_from_anchors(anchors, cfg.investment_per_stock)
     results = {
         "t1_relative_increase": analytics.relative_increase_from_anchors(anchors),
+        "t2_left_out": portfolio.left_out(anchors),
         "t2_portfolio_detail": portfolio.detail_from_allocation(allocation),
         "t2_portfolio_summary": portfolio.summary_from_allocation(allocation),
         "t3_monthly_cagr": analytics.monthly_cagr_from_anchors(anchors),
@@ -135,17 +142,39 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
     for name, df in results.items():
         bar_store.write_result(df, cfg.path(name))
 
-    def one(name: str, where: str | None = None) -> dict | None:
-        df = spark.read.parquet(cfg.path(name))
-        if where:
-            df = df.where(where)
-        rows = df.limit(1).collect()
+    def stored(name: str) -> DataFrame:
+        return spark.read.schema(results[name].schema).parquet(cfg.path(name))
+
+    def one(df: DataFrame) -> dict | None:
+        """The first row; of tied winners that of the first symbol."""
+        rows = (df.orderBy("symbol") if "symbol" in df.columns else df).limit(1).collect()
         return rows[0].asDict() if rows else None
 
+    def first(name: str) -> tuple[dict | None, int]:
+        """The winner and how many share the first rank."""
+        best = stored(name).where("rank = 1")
+        return one(best), best.count()
+
+    t1, t1_tied = first("t1_relative_increase")
+    t3, t3_tied = first("t3_monthly_cagr")
     return {
-        "validation": one("validation_metrics"),
-        "t1_winner": one("t1_relative_increase", "rank = 1"),
-        "t2_summary": one("t2_portfolio_summary"),
-        "t3_winner": one("t3_monthly_cagr", "rank = 1"),
-        "t4_worst_week": one("t4_weekly_decrease"),
+        "validation": one(quality.metrics_from_counts(outcomes)),
+        "t1_winner": t1,
+        "t1_winners": t1_tied,
+        "t2_summary": one(stored("t2_portfolio_summary")),
+        "t3_winner": t3,
+        "t3_winners": t3_tied,
+        "t4_worst_week": one(stored("t4_weekly_decrease")),
     }
+
+
+def valid_in_period(gated: DataFrame, cfg: JobConfig) -> DataFrame:
+    """VALID bars of the analysis period, which applies whether bars were
+    fetched or re-read; the month bounds only read the period's folders."""
+    month = F.col(bar_store.MONTH)
+    rows = gated.where(F.col("layer") == "valid")
+    if cfg.start_date is not None:
+        rows = rows.where(month >= cfg.start_date[:7])
+    if cfg.end_date is not None:
+        rows = rows.where(month <= cfg.end_date[:7])
+    return bars_ops.restrict_dates(quality.valid(rows), cfg.start_date, cfg.end_date)

@@ -29,6 +29,22 @@ def _idiv(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
+def money(price: str) -> Column:
+    """The price in exact money; NULL for NaN and what the type cannot hold."""
+    return F.col(price).try_cast(MONEY)
+
+
+def can_be_bought() -> Column:
+    """The prices have a value in money and the first is above zero there too
+    (a price below a millionth has none)."""
+    return F.coalesce(money("start_price") > 0, F.lit(False)) & money("end_price").isNotNull()
+
+
+def left_out(anchors: DataFrame) -> DataFrame:
+    """The symbols that :func:`allocation_from_anchors` cannot buy."""
+    return anchors.select("symbol", "start_price", "end_price").where(~can_be_bought())
+
+
 def allocation(bars: DataFrame, budget: float = DEFAULT_BUDGET) -> DataFrame:
     """Per symbol, decimal money: start/end price, shares, capital, own
     uninvested remainder, current value, pnl, plus the run's pool columns."""
@@ -37,15 +53,15 @@ def allocation(bars: DataFrame, budget: float = DEFAULT_BUDGET) -> DataFrame:
 
 def allocation_from_anchors(anchors: DataFrame, budget: float = DEFAULT_BUDGET) -> DataFrame:
     """:func:`allocation` over per-symbol ``symbol, start_price, end_price``."""
-    anchors = anchors.select("symbol", "start_price", "end_price").where(F.col("start_price") > 0)
+    anchors = anchors.select("symbol", "start_price", "end_price").where(can_be_bought())
     b = F.lit(str(budget)).cast(MONEY)
-    sp = F.col("start_price").cast(MONEY)
+    sp = money("start_price")
     base = anchors.select(
         "symbol",
         "start_price",
         "end_price",
         sp.alias("_sp"),
-        F.col("end_price").cast(MONEY).alias("_ep"),
+        money("end_price").alias("_ep"),
         _idiv(b, sp).alias("_base"),
     ).withColumn("_rem", b - F.col("_base") * F.col("_sp"))
 

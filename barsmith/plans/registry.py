@@ -33,7 +33,7 @@ def q_relative_increase(spark, d):
 
 
 def q_t1_winner(spark, d):
-    return analytics.winners(q_relative_increase(spark, d))
+    return analytics.increase_winners(inputs.valid_bars(spark, d))
 
 
 def q_first_last_close_window(spark, d):
@@ -45,7 +45,7 @@ def q_monthly_cagr(spark, d):
 
 
 def q_t3_winner(spark, d):
-    return analytics.winners(q_monthly_cagr(spark, d))
+    return analytics.growth_winners(inputs.valid_bars(spark, d))
 
 
 def q_weekly_returns(spark, d):
@@ -57,7 +57,7 @@ def q_worst_week(spark, d):
 
 
 def q_week_day_counts(spark, d):
-    return analytics.week_days_window(inputs.valid_bars(spark, d))
+    return analytics.week_days(inputs.valid_bars(spark, d))
 
 
 def q_portfolio_detail(spark, d):
@@ -104,11 +104,21 @@ def _scratch(spark, name):
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _kept(df, path):
+    """``df``, read from a scratch folder that goes away: its rows move to a
+    checkpoint, which Spark's cleaner owns."""
+    rows = df.checkpoint()
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(conf).delete(folder, True)
+    return rows
+
+
 def q_raw_roundtrip(spark, d):
-    """RAW bars -> symbol-partitioned parquet -> read back with the schema."""
+    """RAW bars -> month-partitioned parquet -> read back with the schema."""
     path = _scratch(spark, "raw")
     bar_store.write_bars(inputs.raw_bars(spark, d), path)
-    return bar_store.read_bars(spark, path).drop("ingested_at")
+    return _kept(bar_store.read_bars(spark, path).drop("ingested_at"), path)
 
 
 def q_restrict_dates(spark, d):
@@ -116,12 +126,13 @@ def q_restrict_dates(spark, d):
 
 
 def q_dedupe_bars(spark, d):
-    """Bars delivered twice: the first copy, and a re-delivery one day later
-    with corrected closes.  Dedupe keeps the re-delivery."""
+    """Bars delivered three times: the first copy, and two re-deliveries one day
+    later with other closes.  Dedupe keeps that of the two with the higher one."""
     first = inputs.bars(spark, d)
     again = first.withColumn("ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 DAY")) \
                  .withColumn("close", F.col("close") + F.lit(0.01))
-    return bars_ops.dedupe_bars(first.unionByName(again)).drop("ingested_at")
+    tied = again.withColumn("close", F.col("close") - F.lit(0.02))
+    return bars_ops.dedupe_bars(first.unionByName(again).unionByName(tied)).drop("ingested_at")
 
 
 def q_inspect_symbol(spark, d):
@@ -131,7 +142,7 @@ def q_inspect_symbol(spark, d):
 def q_company_list(spark, d):
     path = _scratch(spark, "companies")
     company_list.write_company_list(inputs.company_list(spark, d), path)
-    return company_list.read_company_list(spark, path)
+    return _kept(company_list.read_company_list(spark, path), path)
 
 
 def q_ticker_vetting(spark, d):
@@ -149,7 +160,8 @@ def q_ticker_report(spark, d):
 def q_name_match(spark, d):
     """Expected (listing) vs actual (reference) name for every supplier."""
     companies = inputs.company_list(spark, d)
-    ref = inputs.ticker_reference(spark, d).select("symbol", F.col("name").alias("actual_name"))
+    ref = tickers.reference_as_of(inputs.ticker_reference(spark, d), "1997-01-01").select(
+        "symbol", F.col("name").alias("actual_name"))
     pairs = companies.join(ref, "symbol", "inner")
     words = lambda c: F.array_join(F.array_sort(names.name_words(F.col(c))), " ")
     return pairs.select(
@@ -162,7 +174,8 @@ def q_name_match(spark, d):
 
 def q_bars_for_valid_tickers(spark, d):
     valid = tickers.valid_symbols(q_ticker_vetting(spark, d))
-    return bars_ops.for_symbols(inputs.bars(spark, d), valid).select(*lb.BAR_COLUMNS)
+    # the trades are cut down before they are aggregated
+    return lb.bars_from_trades(bars_ops.for_symbols(inputs.trades(spark, d), valid)).select(*lb.BAR_COLUMNS)
 
 
 QUERIES: dict[str, Query] = {

@@ -104,10 +104,10 @@ WEEKLY_RETURNS = _s(
     ("weekly_return_pct", DoubleType(), False),
 )
 
-# One bar inside a landed response envelope.  ``v`` and ``n`` are read as
+# One bar inside a landed response envelope.  ``t``, ``v`` and ``n`` are read as
 # doubles: vendors send ``1000000.0`` and a bigint field would turn it into NULL.
 PAYLOAD_BAR = _s(
-    ("t", LongType(), True),
+    ("t", DoubleType(), True),
     ("o", DoubleType(), True),
     ("h", DoubleType(), True),
     ("l", DoubleType(), True),

@@ -49,16 +49,23 @@ def read_bars(spark: SparkSession, path: str, schema=RAW_BARS,
     """Read a bar store back with a fixed schema (partition values are never
     type-inferred: a lone symbol such as ``1E5`` stays a string).  Month
     bounds (``yyyy-MM``, inclusive) prune folders of a month-partitioned
-    store."""
+    store and compare the bar's own month in a store without such folders.
+    Bars whose date does not parse have no month and stay."""
     names = [f.name for f in schema.fields]
     # the month column is part of the read schema so that neither layout
     # triggers partition-type inference; it reads as NULL in a symbol layout
     read_schema = StructType(list(schema.fields) + [StructField(MONTH, StringType(), True)])
     df = spark.read.schema(read_schema).option("basePath", path).parquet(path)
+    folder, own = F.col(MONTH), month_of()
+
+    def bounded(test) -> F.Column:
+        # the first two arms only read the folder, so they prune
+        return (folder == UNPARSED_MONTH) | test(folder) | (folder.isNull() & (test(own) | (own == UNPARSED_MONTH)))
+
     if month_from is not None:
-        df = df.where(F.col(MONTH) >= month_from)
+        df = df.where(bounded(lambda m: m >= month_from))
     if month_to is not None:
-        df = df.where(F.col(MONTH) <= month_to)
+        df = df.where(bounded(lambda m: m <= month_to))
     return df.select(*names)
 
 

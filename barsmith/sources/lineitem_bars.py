@@ -19,36 +19,45 @@ BAR_COLUMNS = ("symbol", "date", "open", "high", "low", "close", "volume", "tran
 
 # The derived inputs are written as SQL expressions (as FIXTURES.md states
 # them): one expression per column keeps plan construction cheap.
-SYMBOL_OF = ("concat(chr(65 + pmod(floor({k} / 676), 26)), chr(65 + pmod(floor({k} / 26), 26)), "
-             "chr(65 + pmod({k}, 26)))")
+# Symbols count on in the accepted ticker format, so no two keys share one: three
+# letters, then four, five, five with a class letter, five with two; keys past
+# those (8.4 billion) get their base-36 digits, which no shorter form equals.
+SYMBOL_WIDTHS = (3, 4, 5, 6, 7)
 
-# Orders the trades of a (supplier, day): (orderkey, linenumber, partkey) --
-# unique within a group at every scale of the driver tables -- packed into one
-# exact DECIMAL(38,0).  A single fixed-width key keeps min_by/max_by in a hash
-# aggregate (a struct key forces a sort aggregate); a field outside its width
-# raises instead of silently misordering.
-TRADE_ORDER_KEY = """
-  case when l_orderkey >= 0 and l_linenumber between 0 and 9 and l_partkey between 0 and 999999999999
-       then cast((cast(l_orderkey as decimal(38,0)) * 10 + l_linenumber) * 1000000000000 + l_partkey as decimal(38,0))
-       else cast(raise_error('trade key field out of range') as decimal(38,0)) end"""
+
+def symbol_of(k: str) -> str:
+    """SQL text: the symbol of a non-negative integer key."""
+    arms, below = [], 0
+    for width in SYMBOL_WIDTHS:
+        letters = [f"chr(65 + cast((({k} - {below}) div {26 ** i}) % 26 as int))" for i in reversed(range(width))]
+        arms.append(f"when {k} < {below + 26 ** width} then concat({', '.join(letters[:5] + (['\'.\''] + letters[5:] if width > 5 else []))})")
+        below += 26 ** width
+    return f"(case {' '.join(arms)} else conv({k}, 10, 36) end)"
 
 
 def trade_prices(lineitem: DataFrame) -> DataFrame:
     """Unit price per line item, floored to cents (floor, not round: the two
-    engines round doubles differently at ties).  Rows without a positive
-    quantity carry no price and are left out."""
-    return lineitem.where("l_quantity > 0").selectExpr(
-        SYMBOL_OF.format(k="l_suppkey") + " as symbol",
+    engines round doubles differently at ties).  A row without a positive
+    quantity has no price and no place in the order of trades; a bar made of
+    such rows alone has NULL prices and ends in quarantine.  The order of
+    trades takes all fields that a price depends on, so ties are equal."""
+    priced = "l_quantity > 0"
+    return lineitem.selectExpr(
+        symbol_of("l_suppkey") + " as symbol",
         "to_date(l_shipdate) as date",
-        "floor(l_extendedprice * 100 / l_quantity) / 100 as p",
+        f"case when {priced} then floor(l_extendedprice * 100 / l_quantity) / 100 end as p",
         "l_quantity",
-        TRADE_ORDER_KEY + " as k",
+        f"case when {priced} then struct(l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) end as k",
     )
 
 
 def bars_from_lineitem(lineitem: DataFrame, ingested_at: str = DERIVED_INGESTED_AT) -> DataFrame:
     """Daily OHLCV bars in the VALIDATED layout (date typed)."""
-    trades = trade_prices(lineitem)
+    return bars_from_trades(trade_prices(lineitem), ingested_at)
+
+
+def bars_from_trades(trades: DataFrame, ingested_at: str = DERIVED_INGESTED_AT) -> DataFrame:
+    """:func:`bars_from_lineitem` over :func:`trade_prices` rows."""
     return trades.groupBy("symbol", "date").agg(
         F.expr("min_by(p, k)").alias("open"),
         F.expr("max(p)").alias("high"),
@@ -63,17 +72,18 @@ def bars_from_lineitem(lineitem: DataFrame, ingested_at: str = DERIVED_INGESTED_
 
 def raw_bars_from_bars(bars: DataFrame) -> DataFrame:
     """RAW layer (date as text) with planted faults, one per rule family:
-    unparsable dates, missing open/high/close, high below low, zero close and
+    missing symbols, unparsable dates, missing open/high/close, high below low, zero close and
     negative volume.  Every bar is kept; faults are a deterministic function
     of the bar's own values."""
     return bars.selectExpr(
-        "symbol",
+        "case when volume % 53 = 0 then null else symbol end as symbol",
         "case when (dayofmonth(date) + transactions) % 29 = 0 then 'bad-date'"
         " else date_format(date, 'yyyy-MM-dd') end as date",
-        "case when volume % 31 = 0 then null else open end as open",
+        "case when volume % 31 = 0 then null when volume % 59 = 0 then 0.0D else open end as open",
         "case when volume % 37 = 0 then null when volume % 41 = 0 then low - 1 else high end as high",
         "low",
-        "case when volume % 43 = 0 then null when volume % 47 = 0 then 0.0D else close end as close",
+        "case when volume % 43 = 0 then null when volume % 47 = 0 then 0.0D"
+        " when volume % 61 = 0 then high * 2 when volume % 67 = 0 then low * 0.5D else close end as close",
         "case when volume % 23 = 0 then -volume else volume end as volume",
         "vwap",
         "transactions",
@@ -86,48 +96,57 @@ def company_list_from_supplier(supplier: DataFrame) -> DataFrame:
     return supplier.selectExpr(
         "s_suppkey as position",
         "concat(s_name, ' Inc.') as company_name",
-        SYMBOL_OF.format(k="s_suppkey") + " as symbol",
+        symbol_of("s_suppkey") + " as symbol",
     )
 
 
 def ticker_reference_from_supplier(supplier: DataFrame, as_of: str = "1995-01-01") -> DataFrame:
-    """Reference record per supplier ticker covering every lookup outcome:
-    not found, permission, server error, no answer, rate limited, inactive,
-    non-stock types, missing type, renamed-with-symbol, unrelated name and a
-    name that reduces to nothing."""
-    sym = SYMBOL_OF.format(k="s_suppkey")
-    return supplier.selectExpr(
+    """Reference records of every supplier ticker covering every lookup
+    outcome: not found, permission, server error, no answer, rate limited,
+    redirected, inactive, non-stock types, missing type, empty record,
+    renamed-with-symbol, unrelated name and a name that reduces to nothing.
+    Two more records, five years earlier and forty later, say otherwise."""
+    sym, k = symbol_of("s_suppkey"), "s_suppkey"
+    current = supplier.selectExpr(
         f"{sym} as symbol",
-        "cast(case s_suppkey % 20 when 0 then 404 when 1 then 403 when 2 then 500 when 3 then null"
-        " when 4 then 429 else 200 end as int) as http_status",
-        "s_suppkey % 11 <> 0 as active",
-        "case when s_suppkey % 13 = 0 then 'ETF' when s_suppkey % 17 = 0 then null else 'cs' end as type",
-        f"case when s_suppkey % 21 = 0 then concat({sym}, ' Aerospace')"
-        " when s_suppkey % 7 = 0 then 'Unrelated Trading Corp'"
-        " when s_suppkey % 9 = 0 then 'The Group Inc' else s_name end as name",
+        f"cast(case {k} % 20 when 0 then 404 when 1 then 403 when 2 then 500 when 3 then null"
+        " when 4 then 429 when 5 then 301 else 200 end as int) as http_status",
+        f"case when {k} % 23 = 0 then null else {k} % 11 <> 0 end as active",
+        f"case when {k} % 23 = 0 then null when {k} % 13 = 0 then 'ETF' when {k} % 17 = 0 then null else 'cs' end as type",
+        f"case when {k} % 23 = 0 then null when {k} % 21 = 0 then concat({sym}, ' Aerospace')"
+        f" when {k} % 7 = 0 then 'Unrelated Trading Corp'"
+        f" when {k} % 9 = 0 then 'The Group Inc' else s_name end as name",
         f"date'{as_of}' as as_of",
     )
+    older = current.selectExpr("symbol", "500 as http_status", "active", "type", "name", "add_months(as_of, -60) as as_of")
+    newer = current.selectExpr("symbol", "404 as http_status", "active", "type", "name", "add_months(as_of, 480) as as_of")
+    return older.unionByName(current).unionByName(newer)
 
 
 # Planted envelope faults, chosen by the symbol's last letter.
 ERROR_ENVELOPE_LETTER = "C"  # status ERROR with a message
 NOT_JSON_LETTER = "D"  # the landed line is not JSON at all
 NO_RESULTS_LETTER = "E"  # status OK but ``results`` missing
+DELAYED_LETTER = "F"  # status DELAYED, with bars
 
 
 def payload_lines_from_bars(bars: DataFrame) -> DataFrame:
     """Landed response lines (column ``value``): one envelope per
     (symbol, calendar month), so an envelope never holds more than 31 bars
-    whatever the size of a symbol's history."""
+    whatever the size of a symbol's history.  Some bars lack the time, the open
+    or the volume, and some have a zero ``vw`` or ``n`` (by their volume)."""
     month = F.date_trunc("month", F.col("date"))
     bar = F.struct(
-        date_to_epoch_ms(F.col("date")).alias("t"),
-        F.col("open").alias("o"), F.col("high").alias("h"), F.col("low").alias("l"), F.col("close").alias("c"),
-        F.col("volume").alias("v"), F.col("vwap").alias("vw"), F.col("transactions").alias("n"),
+        F.when(F.expr("volume % 71 <> 0"), date_to_epoch_ms(F.col("date"))).alias("t"),
+        F.expr("case when volume % 73 <> 0 then open end").alias("o"),
+        F.col("high").alias("h"), F.col("low").alias("l"), F.col("close").alias("c"),
+        F.expr("case when volume % 79 <> 0 then volume end").alias("v"),
+        F.expr("case volume % 3 when 0 then 0.0D when 1 then close end").alias("vw"),
+        F.expr("case when volume % 83 = 0 then 0 else transactions end").alias("n"),
     )
     grouped = bars.groupBy("symbol", month.alias("_month")).agg(F.array_sort(F.collect_list(bar)).alias("results"))
     last = F.substring("symbol", -1, 1)
-    ok = F.to_json(F.struct(F.col("symbol").alias("ticker"), F.lit("OK").alias("status"),
+    ok = F.to_json(F.struct(F.col("symbol").alias("ticker"), F.when(last == DELAYED_LETTER, "DELAYED").otherwise("OK").alias("status"),
                             F.size("results").cast("long").alias("resultsCount"), "results"))
     return grouped.select(
         F.when(last == ERROR_ENVELOPE_LETTER,
@@ -152,6 +171,8 @@ EDGE_LISTINGS = (
     ("Blank Co", ""),
     ("Null Co", None),
     ("Bad Class Inc", "A.BCD"),
+    ("Tab Inc", "\tTABS \n"),
+    ("Apple Computer", "AAPL"),
 )
 EDGE_POSITION_BASE = 1_000_000_000_000
 

@@ -8,16 +8,22 @@ from __future__ import annotations
 
 
 def sym(k: str) -> str:
-    return (f"chr(cast(65 + floor({k} / 676) % 26 as integer)) || chr(cast(65 + floor({k} / 26) % 26 as integer))"
-            f" || chr(cast(65 + {k} % 26 as integer))")
+    """Letters that count on: 3, 4, 5, then 5 with a class of 1 or 2."""
+    arms, below = [], 0
+    for width in (3, 4, 5, 6, 7):
+        letters = [f"chr(cast(65 + (({k} - {below}) // {26 ** i}) % 26 as integer))" for i in reversed(range(width))]
+        text = " || ".join(letters[:5] + (["'.'"] + letters[5:] if width > 5 else []))
+        arms.append(f"when {k} < {below + 26 ** width} then {text}")
+        below += 26 ** width
+    return f"(case {' '.join(arms)} end)"
 
 
 BARS = f"""
 li as (
   select {sym('l_suppkey')} as symbol, cast(l_shipdate as date) as date,
-         floor(l_extendedprice * 100 / l_quantity) / 100 as p, l_quantity,
-         row(l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) as k
-  from lineitem where l_quantity > 0),
+         case when l_quantity > 0 then floor(l_extendedprice * 100 / l_quantity) / 100 end as p, l_quantity,
+         case when l_quantity > 0 then row(l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) end as k
+  from lineitem),
 bars as (
   select symbol, date, arg_min(p, k) as open, max(p) as high, min(p) as low, arg_max(p, k) as close,
          cast(sum(l_quantity) as bigint) as volume, cast(null as double) as vwap, count(*) as transactions,
@@ -26,12 +32,13 @@ bars as (
 
 RAW = BARS + """,
 raw_bars as (
-  select symbol,
+  select case when volume % 53 = 0 then null else symbol end as symbol,
          case when (day(date) + transactions) % 29 = 0 then 'bad-date' else strftime(date, '%Y-%m-%d') end as date,
-         case when volume % 31 = 0 then null else open end as open,
+         case when volume % 31 = 0 then null when volume % 59 = 0 then 0.0::double else open end as open,
          case when volume % 37 = 0 then null when volume % 41 = 0 then low - 1 else high end as high,
          low,
-         case when volume % 43 = 0 then null when volume % 47 = 0 then 0.0::double else close end as close,
+         case when volume % 43 = 0 then null when volume % 47 = 0 then 0.0::double
+              when volume % 61 = 0 then high * 2 when volume % 67 = 0 then low * 0.5::double else close end as close,
          case when volume % 23 = 0 then -volume else volume end as volume,
          vwap, transactions, ingested_at
   from bars)"""
@@ -157,7 +164,10 @@ ORACLE: dict[str, str] = {
                cast(round(resid, 2) as double) as residual_cash
         from t2_sum"""),
     "bars_from_json": with_(BARS, """
-        select symbol, strftime(date, '%Y-%m-%d') as date, open, high, low, close, volume, vwap, transactions
+        select symbol, case when volume % 71 = 0 then '1970-01-01' else strftime(date, '%Y-%m-%d') end as date,
+               case when volume % 73 = 0 then 0.0::double else open end as open, high, low, close,
+               case when volume % 79 = 0 then 0 else volume end as volume, case when volume % 3 = 1 then close end as vwap,
+               case when volume % 83 = 0 then null else transactions end as transactions
         from bars where right(symbol, 1) not in ('C', 'D', 'E')"""),
     "fetch_failures": with_(BARS, f"""
         select distinct {sym('s_suppkey')} as symbol from supplier
@@ -171,7 +181,7 @@ ORACLE: dict[str, str] = {
         select symbol, date, open, high, low, close + 0.01 as close, volume, vwap, transactions from bars"""),
     "inspect_symbol": with_(RAW, """
         select symbol, date, open, high, low, close, volume from raw_bars
-        where symbol = 'AAB' and date >= '1997-01-01' and date <= '1997-12-31' order by date limit 100"""),
+        where symbol = 'AAB' and date >= '1997-01-01' and date <= '1997-12-31' order by date"""),
     "company_list": f"select s_name || ' Inc.' as company_name, {sym('s_suppkey')} as symbol from supplier",
     "validate_valid": with_(VALID, "select * exclude (ingested_at) from valid"),
     "validate_quarantine": with_(FLAGGED, """
@@ -206,7 +216,8 @@ def names_match(e: str, a: str, s: str) -> str:
 EDGES = """(values (1000000000000, 'Apple Inc.', ' aapl '), (1000000000001, 'Apple Inc.', 'AAPL'),
   (1000000000002, 'Berkshire Hathaway Inc. Class B', 'BRK.B'), (1000000000003, 'Too Long Corp', 'TOOLONG'),
   (1000000000004, 'Numbers Inc', '123'), (1000000000005, 'Blank Co', ''), (1000000000006, 'Null Co', null),
-  (1000000000007, 'Bad Class Inc', 'A.BCD')) as v(position, company_name, symbol)"""
+  (1000000000007, 'Bad Class Inc', 'A.BCD'),
+  (1000000000008, 'Tab Inc', chr(9) || 'TABS ' || chr(10)), (1000000000009, 'Apple Computer', 'AAPL')) as v(position, company_name, symbol)"""
 
 K = "s_suppkey"
 TICKERS = f"""
@@ -216,16 +227,18 @@ companies as (
 ref as (
   select {sym(K)} as symbol,
          cast(case when {K} % 20 = 0 then 404 when {K} % 20 = 1 then 403 when {K} % 20 = 2 then 500
-                   when {K} % 20 = 3 then null when {K} % 20 = 4 then 429 else 200 end as integer) as http_status,
-         {K} % 11 <> 0 as active,
-         case when {K} % 13 = 0 then 'ETF' when {K} % 17 = 0 then null else 'cs' end as type,
-         case when {K} % 21 = 0 then {sym(K)} || ' Aerospace' when {K} % 7 = 0 then 'Unrelated Trading Corp'
+                   when {K} % 20 = 3 then null when {K} % 20 = 4 then 429 when {K} % 20 = 5 then 301 else 200 end as integer) as http_status,
+         case when {K} % 23 = 0 then null else {K} % 11 <> 0 end as active,
+         case when {K} % 23 = 0 then null when {K} % 13 = 0 then 'ETF' when {K} % 17 = 0 then null else 'cs' end as type,
+         case when {K} % 23 = 0 then null when {K} % 21 = 0 then {sym(K)} || ' Aerospace' when {K} % 7 = 0 then 'Unrelated Trading Corp'
               when {K} % 9 = 0 then 'The Group Inc' else s_name end as name
   from supplier),
-lrows as (select position, company_name as expected_name, coalesce(upper(trim(symbol)), '') as symbol from companies),
-firsts as (select symbol, min(position) as position from lrows where symbol <> '' group by symbol),
+lrows as (select position, company_name as listed_name,
+                 coalesce(upper(regexp_replace(symbol, '^\\s+|\\s+$', '', 'g')), '') as symbol from companies),
+firsts as (select symbol, min(position) as position, arg_max(listed_name, position) as last_name
+           from lrows where symbol <> '' group by symbol),
 vj as (
-  select r.*, f.position is not null as is_first, ref.symbol is not null as has_record, ref.http_status, ref.active,
+  select r.*, coalesce(f.last_name, r.listed_name) as expected_name, f.position is not null as is_first, ref.symbol is not null as has_record, ref.http_status, ref.active,
          ref.type, ref.name as actual_name
   from lrows r left join firsts f on r.symbol = f.symbol and r.position = f.position
   left join ref on r.symbol = ref.symbol)"""
@@ -238,7 +251,7 @@ _BRANCHES = [
     ("not has_record or http_status is null", "valid", None, "'API unreachable: no reference record'"),
     ("http_status = 404", "invalid", "'Ticker not found on Polygon — may be delisted or renamed'", None),
     ("http_status = 403", "valid", None, "'Could not verify (API permission issue)'"),
-    ("not (http_status between 200 and 299)", "valid", None, "'API returned ' || http_status"),
+    ("http_status >= 400", "valid", None, "'API returned ' || http_status"),
     ("active is null and type is null and actual_name is null", "invalid", "'No reference data returned by Polygon'", None),
     ("not coalesce(active, true)", "invalid", "'Ticker is inactive/delisted (was: ''' || coalesce(actual_name, '') || ''')'", None),
     ("coalesce(type, '') <> '' and upper(type) <> 'CS'", "invalid",

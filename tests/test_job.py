@@ -39,9 +39,9 @@ def test_job_end_to_end(spark, scratch, landed):
         assert os.path.isdir(os.path.join(out, name)), name
     m = summary["validation"]
     assert m["total_valid"] + m["total_quarantine"] == m["total_input"] > 0
-    valid = spark.read.parquet(os.path.join(out, "gated")).where("layer = 'valid'").drop("layer", "failure_reason",
+    valid = spark.read.parquet(os.path.join(out, "gated")).where("layer = 'valid'").drop("layer", "month", "failure_reason",
                                                                                           "date_raw")
-    assert summary["t1_winner"]["symbol"] == analytics.winners(analytics.relative_increase(valid)).collect()[0].symbol
+    assert summary["t1_winner"]["symbol"] == analytics.increase_winners(valid).orderBy("symbol").collect()[0].symbol
     assert summary["t4_worst_week"] is not None and summary["t2_summary"]["total_capital_invested"] > 0
     # rerun from the stored RAW layer gives the same answers
     again = run(spark, JobConfig(output_dir=out, skip_ingestion=True, start_date="1995-01-01", end_date="2001-12-31"))
@@ -56,6 +56,10 @@ def test_job_with_vetting_restricts_symbols(spark, scratch, landed):
                          ingested_at="2026-01-05 00:00:00"))
     valid_syms = {r.symbol for r in spark.read.parquet(os.path.join(out, "ticker_vetting"))
                   .where("outcome = 'valid'").collect()}
+    report = spark.read.parquet(os.path.join(out, "ticker_report")).collect()[0]
+    assert report.valid == len(valid_syms) and report.total == report.valid + report.invalid
+    per_symbol = {r.symbol: r.n_bars for r in spark.read.parquet(os.path.join(out, "bars_per_symbol")).collect()}
+    assert sum(per_symbol.values()) == spark.read.parquet(os.path.join(out, "raw")).count() > 0
     raw_syms = {r.symbol for r in spark.read.parquet(os.path.join(out, "raw")).select("symbol").distinct().collect()}
     assert raw_syms <= valid_syms
 
@@ -115,3 +119,37 @@ def test_redelivered_bars_do_not_change_answers(spark, scratch, landed):
     m = spark.read.parquet(os.path.join(outs["twice"], "validation_metrics")).collect()[0]
     m1 = spark.read.parquet(os.path.join(outs["once"], "validation_metrics")).collect()[0]
     assert m.total_input == 2 * m1.total_input
+
+
+def test_run_in_which_nothing_arrives(spark, scratch):
+    companies, landing = os.path.join(scratch, "companies"), os.path.join(scratch, "landing")
+    spark.createDataFrame([("Apple Inc.", "AAPL")], "company_name string, symbol string").createOrReplaceTempView("one_company")
+    write_company_list(spark.table("one_company"), companies)
+    spark.createDataFrame([('{"status": "ERROR", "error": "Unknown API Key"}',)], "value string").write.text(landing)
+    out = os.path.join(scratch, "out")
+    got = run(spark, JobConfig(output_dir=out, companies_path=companies, payloads_path=landing, ingested_at="2026-01-05 00:00:00"))
+    assert got["validation"] == {"total_input": 0, "total_valid": 0, "total_quarantine": 0, "pass_rate": 1.0}
+    assert got["t1_winner"] is None and got["t3_winner"] is None and got["t4_worst_week"] is None
+    assert set(got["t2_summary"].values()) == {0.0}
+    for name in ("t1_relative_increase", "t3_monthly_cagr", "t4_weekly_decrease", "bars_per_symbol"):
+        assert os.path.isdir(os.path.join(out, name)), name
+    assert [r.symbol for r in spark.read.parquet(os.path.join(out, "fetch_failures")).collect()] == ["AAPL"]
+
+
+def test_nan_prices_are_quarantined_and_the_period_prunes(spark, scratch):
+    from barsmith.plans.job import valid_in_period
+    from barsmith.sources.bar_store import write_bars
+    from tests.conftest import make_raw
+
+    out = os.path.join(scratch, "out")
+    raw = make_raw(spark, [{"symbol": "A", "date": "2025-01-02"}, {"symbol": "A", "date": "2025-03-03", "close": float("nan")},
+                           {"symbol": "B", "date": "2025-02-03"}, {"symbol": "B", "date": "2024-12-30"}])
+    write_bars(raw, os.path.join(out, "raw"))
+    cfg = JobConfig(output_dir=out, skip_ingestion=True)
+    got = run(spark, cfg)
+    assert got["validation"]["total_quarantine"] == 1 and got["t2_summary"]["total_return_pct"] == 0.0
+    reasons = spark.read.parquet(os.path.join(out, "quarantine_reasons")).collect()
+    assert len(reasons) == 1
+    plan = valid_in_period(spark.read.parquet(os.path.join(out, "gated")), cfg)._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "month" in filters and "2025-01" in filters and "layer" in filters

@@ -7,9 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
+from barsmith.plans.registry import QUERIES
+from oracle.sql import ORACLE
 from tests.conftest import SF0001
 
-KEYS = sorted(se.oracle_sql())
+KEYS = sorted(ORACLE)
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +42,21 @@ def test_query_matches_oracle(spark, con, key):
 
 
 def test_every_query_has_an_oracle():
-    assert set(se.queries()) == set(se.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(se.queries()) and set(ORACLE) <= set(se.oracle_sql())
+
+
+def test_every_gate_reason_that_can_come_first_is_in_the_oracle_input(spark):
+    reasons = {r.failure_reason for r in se.queries()["quarantine_reasons"](spark, "/root/testdata/sf0.01").collect()}
+    assert len(reasons) == 10
+
+
+def test_vetting_input_reaches_every_branch(spark):
+    rows = se.queries()["ticker_vetting"](spark, "/root/testdata/sf0.01").select("outcome", "reason", "warning").collect()
+    said = " ".join(f"{r.reason} {r.warning}" for r in rows)
+    for text in ("Empty symbol", "Duplicate symbol", "Invalid format", "not found", "permission issue", "API returned 500",
+                 "API returned 429", "no reference record", "No reference data", "inactive", "is not a stock", "mismatch"):
+        assert text in said, text
 
 
 def test_entry_runs(spark):

@@ -3,6 +3,8 @@ from __future__ import annotations
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from barsmith.plans import inputs
 from barsmith.sources import lineitem_bars as lb
 from barsmith.sources import payloads
@@ -49,8 +51,11 @@ def test_json_round_trip_equals_bars(spark):
     bars = inputs.bars(spark, SF0001)
     back = inputs.landed_bars(spark, SF0001)
     kept = bars.where(~bars.symbol.substr(3, 1).isin("C", "D", "E"))
-    expect = kept.selectExpr("symbol", "date_format(date, 'yyyy-MM-dd') as date", "open", "high", "low", "close",
-                             "volume", "vwap", "transactions")
+    expect = kept.selectExpr(
+        "symbol", "case when volume % 71 = 0 then '1970-01-01' else date_format(date, 'yyyy-MM-dd') end as date",
+        "case when volume % 73 = 0 then 0.0D else open end as open", "high", "low", "close",
+        "case when volume % 79 = 0 then 0 else volume end as volume", "case when volume % 3 = 1 then close end as vwap",
+        "case when volume % 83 = 0 then null else transactions end as transactions")
     got = back.drop("ingested_at")
     assert expect.exceptAll(got).count() == 0 and got.exceptAll(expect).count() == 0
 
@@ -79,8 +84,57 @@ def test_partitioned_store_round_trip_keeps_string_symbols(spark, scratch):
     assert {r.symbol for r in read_bars(spark, p2).collect()} == {"1E5"}
     # month layout: folders per month, pruning by month bounds
     assert any(n.startswith("month=") for n in os.listdir(path))
-    jan97 = read_bars(spark, path, month_from="1997-01", month_to="1997-01")
-    assert jan97.count() == raw.where("date like '1997-01-%'").count()
+    p3 = os.path.join(scratch, "by-symbol")
+    write_bars(raw.where("symbol is not null"), p3, partition_by=("symbol",))
+    for store, rows in ((path, raw), (p3, raw.where("symbol is not null"))):
+        jan97 = read_bars(spark, store, month_from="1997-01", month_to="1997-01")
+        assert jan97.where("date <> 'bad-date'").count() == rows.where("date like '1997-01-%'").count() > 0
+        # a bar without a month is in no folder that the bounds could rule out
+        assert jan97.where("date = 'bad-date'").count() == rows.where("date = 'bad-date'").count() > 0
+    plan = read_bars(spark, path, month_from="1997-01")._jdf.queryExecution().executedPlan().toString()
+    assert "1997-01" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_inspect_returns_every_bar_from_both_layouts(spark, scratch):
+    import datetime as dt
+
+    from barsmith.operators.bars import inspect_symbol
+    from tests.conftest import make_raw
+
+    days = [str(dt.date(2025, 1, 1) + dt.timedelta(days=i)) for i in range(252)]
+    raw = make_raw(spark, [{"symbol": "AAB", "date": d} for d in days] + [{"symbol": "ZZZ", "date": d} for d in days[:9]])
+    for layout in (("month",), ("symbol",)):
+        path = os.path.join(scratch, "-".join(layout))
+        write_bars(raw, path, partition_by=layout)
+        stored = read_bars(spark, path, month_from="2025-01", month_to="2025-12")
+        assert [r.date for r in inspect_symbol(stored, "AAB", "2025-01-01", "2025-12-31").collect()] == days
+
+
+def test_float_timestamp(spark):
+    doc = '{"ticker": "X", "status": "OK", "results": [{"t": %d.0, "c": 2.0}]}' % MS_0103
+    rows = payloads.bars_from_payloads(payloads.parse_payload_lines(lines(spark, [doc])), "2026-01-05 00:00:00").collect()
+    assert [r.date for r in rows] == ["2025-01-03"]
+
+
+def test_symbols_are_injective_and_well_formed(spark):
+    keys = spark.range(0, 12_000_000, 1, 16).selectExpr("id", lb.symbol_of("id") + " as s")
+    assert keys.select("s").distinct().count() == 12_000_000
+    edge = [17_575, 17_576, 474_551, 474_552, 12_355_927, 12_355_928, 321_271_703, 321_271_704, 8_353_081_879]
+    df = spark.createDataFrame([(k,) for k in edge], "id long").selectExpr(lb.symbol_of("id") + " as s")
+    got = [r.s for r in df.collect()]
+    assert got == ["ZZZ", "AAAA", "ZZZZ", "AAAAA", "ZZZZZ", "AAAAA.A", "ZZZZZ.Z", "AAAAA.AA", "ZZZZZ.ZZ"]
+
+
+def test_trades_without_a_quantity_reach_quarantine(spark):
+    from barsmith.operators import quality
+
+    rows = [(1, 1, 1, 0, None, 10.0), (1, 2, 1, 0, 0.0, 10.0), (2, 1, 1, 1, 2.0, 10.0), (3, 11, 1, 1, None, 9.0)]
+    items = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double"
+                                  ).selectExpr("*", "timestamp'2025-01-02' as l_shipdate")
+    bars = {r.symbol: r for r in lb.bars_from_lineitem(items).collect()}
+    assert (bars["AAA"].open, bars["AAA"].transactions) == (None, 2) and (bars["AAB"].open, bars["AAB"].transactions) == (5.0, 2)
+    flagged = quality.flag(lb.bars_from_lineitem(items).withColumn("date", F.col("date").cast("string")))
+    assert {r.symbol: r.failure_reason for r in flagged.collect()} == {"AAA": "non_null_close", "AAB": None}
 
 
 def test_company_csv_header_is_positional(spark, scratch):

@@ -27,17 +27,49 @@ def test_anchor_aggregates_are_partial(spark, key):
 def test_rank_has_no_unbounded_single_partition(spark, key):
     p = plan(spark, key)
     # the only single-partition exchange feeds the per-partition offsets
-    # (one row per range partition)
+    # (one row per range partition), and both sides read stored partition ids
     singles = [m.start() for m in re.finditer(r"Exchange SinglePartition", p)]
     assert all("_total" in p[s - 600:s + 600] or "_part" in p[s - 600:s + 600] for s in singles)
-    assert "rangepartitioning" in p
+    assert p.count("Scan ExistingRDD") >= 2
 
 
-def test_top1_windows_limit_before_shuffle(spark):
+def test_first_last_window_is_one_window_without_join(spark):
     p = plan(spark, "first_last_close_window")
+    assert "SortMergeJoin" not in p and "HashJoin" not in p and p.count("+- Window") == 1
+
+
+@pytest.mark.parametrize("key", ["t1_winner", "t3_winner"])
+def test_winners_rank_nothing(spark, key):
+    p = plan(spark, key)
+    assert "rangepartitioning" not in p and "Window" not in p
+
+
+def test_top1_windows_limit_before_shuffle(spark):
+    p = plan(spark, "ticker_vetting")
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
+def test_only_lookable_listings_reach_the_lookup(spark):
+    p = plan(spark, "ticker_vetting")
+    assert p.count("Union") >= 1 and "RLIKE" in p
+
+
+def test_bars_of_valid_tickers_are_cut_down_before_the_aggregate(spark):
+    p = plan(spark, "bars_for_valid_tickers")
+    assert p.index("min_by(p") < p.index("LeftSemi")  # the plan prints from the top: the join lies below
+
+
+@pytest.mark.parametrize("key", ["raw_roundtrip", "company_list"])
+def test_scratch_copies_do_not_stay(spark, key):
+    import os
+
+    from barsmith.session import ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    assert registry.QUERIES[key](spark, SF0001).count() > 0
+    assert not [n for n in set(os.listdir(folder)) - before if n.startswith(("raw-", "companies-"))]
+
+
 def test_scans_prune_columns(spark):
     p = plan(spark, "relative_increase")
     scan = [line for line in p.splitlines() if "FileScan parquet" in line][0]

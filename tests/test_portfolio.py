@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -17,24 +18,22 @@ def bars_from_prices(spark, prices):
 
 
 def sequential(prices, budget=10_000):
-    """Brute force: buy whole shares per symbol, pool the change, then walk
-    symbols cheapest first buying as many extra shares as the pool affords."""
-    b = Decimal(str(budget))
-    recs = {}
-    pool = Decimal(0)
-    for sym, (start, end) in prices.items():
-        sp = Decimal(str(start))
-        shares = int(b // sp)
-        recs[sym] = {"shares": shares, "rem": b - shares * sp}
-        pool += b - shares * sp
-    for sym in sorted(prices, key=lambda s: (Decimal(str(prices[s][0])), s)):
-        sp = Decimal(str(prices[sym][0]))
-        if pool >= sp:
-            extra = int(pool // sp)
-            recs[sym]["shares"] += extra
-            recs[sym]["rem"] -= extra * sp
-            pool -= extra * sp
-    return {s: r["shares"] for s, r in recs.items()}, pool
+    """The rule one share at a time: every symbol spends its own budget while a
+    share still fits, then the change of all buys single shares, always of the
+    cheapest symbol that it can pay."""
+    cost = {sym: Decimal(str(start)) for sym, (start, _) in prices.items()}
+    shares, change = Counter(), Decimal(0)
+    for sym, price in cost.items():
+        purse = Decimal(str(budget))
+        while purse >= price:
+            purse -= price
+            shares[sym] += 1
+        change += purse
+    while (affordable := [(price, sym) for sym, price in cost.items() if price <= change]):
+        price, sym = min(affordable)
+        change -= price
+        shares[sym] += 1
+    return {sym: shares[sym] for sym in prices}, change
 
 
 def test_whole_shares_and_remainder(spark):
@@ -101,3 +100,14 @@ def test_whole_shares_are_exact_for_decimal_prices(spark):
     # binary floating point floors 10000 / 0.1 to 99,999
     detail = {r.symbol: r for r in portfolio_detail(bars_from_prices(spark, {"DIME": (0.1, 0.2)})).collect()}
     assert detail["DIME"].shares_purchased == 100_000 and detail["DIME"].uninvested_cash == 0.0
+
+
+def test_prices_without_a_money_value_are_left_out(spark):
+    from barsmith.operators.anchors import first_last
+    from barsmith.plans.portfolio import left_out
+
+    bars = bars_from_prices(spark, {"TINY": (1e-7, 1.0), "NAN": (10.0, float("nan")), "HUGE": (1e18, 1.0), "OK": (100.0, 110.0)})
+    assert [r.symbol for r in portfolio_detail(bars).collect()] == ["OK"]
+    s = portfolio_summary(bars).collect()[0]
+    assert (s.total_capital_invested, s.total_current_value, s.total_return_pct) == (10_000.0, 11_000.0, 10.0)
+    assert {r.symbol for r in left_out(first_last(bars)).collect()} == {"TINY", "NAN", "HUGE"}

@@ -84,9 +84,9 @@ def test_supplier_fixture_outcome_counts(spark):
     ok = sum(1 for r in rows if r.outcome == "valid" and r.warning is None)
     warned = sum(1 for r in rows if r.outcome == "valid" and r.warning is not None)
     rejected = sum(1 for r in rows if r.outcome == "invalid")
-    assert (ok, warned, rejected) == (45, 20, 35)
+    assert (ok, warned, rejected) == (42, 20, 38)
     rep = tickers.report(v).collect()[0]
-    assert (rep.total, rep.valid, rep.invalid, rep.warnings) == (100, 65, 35, 20)
+    assert (rep.total, rep.valid, rep.invalid, rep.warnings) == (100, 62, 38, 20)
 
 
 @pytest.mark.parametrize("n", [3000])
@@ -102,7 +102,7 @@ def test_hot_duplicate_symbol(spark, n):
 def test_verdicts_come_back_in_input_order(spark):
     v = tickers.vet_tickers(inputs.listings(spark, SF001), inputs.ticker_reference(spark, SF001))
     positions = [r.position for r in v.select("position").collect()]
-    assert positions == sorted(positions) and len(positions) == 108
+    assert positions == sorted(positions) and len(positions) == 110
 
 
 def test_symbol_with_quote_terminator_is_literal(spark):

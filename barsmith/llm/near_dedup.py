@@ -10,12 +10,14 @@ while that time is not past the latest register, so heavy shingles and long
 texts take few points.  What a level emits does not depend on the weight.
 
 Candidates.  Registers are banded; a band's bucket is searched without listing
-its pairs.  Each text is first held against one leader, the bucket's least key
-among those it shares most bands with.  Then components are joined, and only
-pairs of a bucket whose components still differ are looked at: all of them in
-buckets of up to ``SMALL``, those of one head of each component in larger ones,
-then of eight, of 64 and so on, until every bucket is one component or all its
-pairs across components are tested.  No link that shares a bucket is lost.
+its pairs.  The member that shares most buckets, weighed by their size, lies
+nearest to its group and leads a bucket.  Each text is first held against one
+leader, the nearest of those of its buckets.  Then components are joined, and in
+buckets that still hold several, pairs across components are tested that the
+leader, then the first 16, 256, ... members are part of, until each bucket is one
+component or all its pairs across components are tested.  So no link between
+texts that share a bucket is lost, and a group that its leaders join costs a
+few tests a member.
 
 Check.  A pair is a link if the exact multisets say so; links are joined to
 classes.  Equal texts are one node from the start.
@@ -45,8 +47,6 @@ from barsmith.llm.common import fresh, pieces, written
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 28, 5
 REGISTERS = BANDS * ROWS
-#: members of a bucket up to which all its open pairs are looked at in one round
-SMALL = 32
 BATCH_CHARS, MOST_WORDS = 2 << 20, 1 << 20
 
 
@@ -218,9 +218,9 @@ def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(a, b) -> (key, comp): the least key that each key is joined with.  Each
+    """Written (a, b) -> (key, comp): the least key that each key is joined with.  Each
     round takes the least label around a key, then the label of that label."""
-    both = written(edges.select(F.col("a").alias("key"), F.col("b").alias("to")).union(edges.select("b", "a")).distinct(), "edges")
+    both = edges.select(F.col("a").alias("key"), F.col("b").alias("to")).union(edges.select("b", "a"))
     labels = written(both.groupBy("key").agg(F.least(F.min("to"), F.col("key")).alias("comp")), "labels")
     while True:
         near = both.join(labels.select(F.col("key").alias("to"), "comp"), "to").groupBy("key").agg(F.min("comp").alias("near"))
@@ -245,46 +245,57 @@ def classes(nodes: DataFrame, rows: DataFrame) -> DataFrame:
     bucket with another one is read for checking.
     """
     members = nodes.select("key", F.explode("bands").alias("band"))
-    leaders = members.groupBy("band").agg(F.min("key").alias("lead"), F.count("*").alias("n")).where("n > 1")
-    shared = written(members.join(leaders, "band").select("band", "n", "lead", "key"), "buckets")
+    sizes = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    shared = members.join(sizes, "band").select("band", "n", "key")
+    # the text nearest to the others of its group shares most buckets with them
+    shared = written(shared.join(shared.groupBy("key").agg(F.sum("n").alias("near")), "key"), "buckets")
     first = nodes.join(shared.select("key").distinct(), "key", "left_semi").select("key", named("own", F.col("id")))
     texts = rows.select("key", named("own", F.col("id")), "text").join(first, ["key", "own"], "left_semi")
     texts = written(texts.groupBy("key").agg(F.first("text").alias("text")), "texts")
-    # first the leader that a text shares most bands with
-    best = (shared.where("key <> lead").groupBy("key", "lead").agg(F.count("*").alias("n"))
-            .groupBy("key").agg(F.max_by("lead", F.struct("n", "lead")).alias("a")).select("a", F.col("key").alias("b")))
+    leaders = shared.groupBy("band").agg(F.max(F.struct("near", "key")).alias("lead"))
+    best = (shared.join(leaders, "band").groupBy("key").agg(F.max("lead").alias("lead"))
+            .select(F.col("lead.key").alias("a"), F.col("key").alias("b")).where("a <> b"))
     tested = written(best, "pairs")
-    found = links(tested, texts)
+    labels = components(links(tested, texts))
     heads = 1
     while True:
-        labels = components(found)
-        open_, rest = untested(shared, labels, tested, heads)
-        if open_.isEmpty() and rest <= heads:
+        open_, largest = untested(shared, labels, tested, heads)
+        if not open_.isEmpty():
+            labels = joined(labels, links(open_, texts))
+            tested = tested.union(open_)
+            heads *= 16
+        elif largest > heads:
+            heads = largest
+        else:
             return labels
-        tested = written(tested.union(open_), "pairs")
-        found = written(found.union(links(open_, texts)), "links")
-        heads *= 8
+
+
+def joined(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """The labels after more links; only components are looked at again."""
+    a, b = (labels.select(F.col("key").alias(k), F.col("comp").alias(f"comp_{k}")) for k in ("a", "b"))
+    edges = written(found.join(a, "a", "left").join(b, "b", "left")
+                    .select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b")).where("a <> b").distinct(), "edges")
+    up = components(edges)
+    new = up.select("key").join(labels, "key", "left_anti").select("key", F.col("key").alias("comp"))
+    higher = up.select(F.col("key").alias("comp"), F.col("comp").alias("up"))
+    return written(labels.union(new).join(higher, "comp", "left").select("key", F.coalesce("up", "comp").alias("comp")), "labels")
 
 
 def untested(shared: DataFrame, labels: DataFrame, tested: DataFrame, heads: int) -> tuple[DataFrame, int]:
     """Pairs of a bucket that are in different components and have not been
-    tested: all in small buckets; in larger ones those of the first ``heads``
-    members of each component.  Also the members of the largest component but
-    one of a larger bucket that is not of one component yet."""
+    tested, one of the two among the bucket's ``heads`` members nearest to the
+    others; and the members of the largest bucket of several components."""
     placed = shared.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     split = placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band")
-    placed = written(placed.join(split, "band", "left_semi").select("band", "n", "key", "comp"), "split")
-    large = placed.where(F.col("n") > SMALL)
-    sizes = large.groupBy("band", "comp").count().groupBy("band").agg(F.max("count").alias("m"), F.sum("count").alias("n"))
-    rest = sizes.agg(F.max(F.least(F.col("m"), F.col("n") - F.col("m")))).first()[0] or 0
-    nth = F.row_number().over(Window.partitionBy("band", "comp").orderBy("key"))
-    one = placed.where(F.col("n") <= SMALL).select("band", "comp", "key").union(
-        large.withColumn("nth", nth).where(F.col("nth") <= heads).select("band", "comp", "key"))
+    placed = written(placed.join(split, "band", "left_semi").select("band", "n", "near", "key", "comp"), "split")
+    largest = placed.agg(F.max("n")).first()[0] or 0
+    nth = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("near"), "key"))
+    one = placed.withColumn("nth", nth).where(F.col("nth") <= heads).select("band", "comp", "key")
     other = placed.select("band", F.col("comp").alias("comp_b"), F.col("key").alias("key_b"))
     pairs = (one.join(other, "band").where("comp <> comp_b")
              .select(F.least("key", "key_b").alias("a"), F.greatest("key", "key_b").alias("b")).distinct())
     old = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return written(pairs.join(old, ["a", "b"], "left_anti"), "open"), rest
+    return written(pairs.join(old, ["a", "b"], "left_anti"), "open"), largest
 
 
 def class_table(df: DataFrame, doc_id: str, text: str) -> DataFrame:

@@ -15,9 +15,9 @@ nearest to its group and leads a bucket.  Each text is first held against one
 leader, the nearest of those of its buckets.  Then components are joined, and in
 buckets that still hold several, pairs across components are tested that the
 leader, then the first 16, 256, ... members are part of, until each bucket is one
-component or all its pairs across components are tested.  So no link between
-texts that share a bucket is lost, and a group that its leaders join costs a
-few tests a member.
+component or all its pairs across components are tested, but for those whose
+signatures differ too much (a bit of each register; see ``FAR``).  A group that
+its leaders join costs a few tests a member.
 
 Check.  A pair is a link if the exact multisets say so; links are joined to
 classes.  Equal texts are one node from the start.
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -47,6 +48,10 @@ from barsmith.llm.common import fresh, pieces, written
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 28, 5
 REGISTERS = BANDS * ROWS
+#: numbers that hold a bit of each register, and in how many bits two texts may
+#: differ to be compared: similar ones differ in half of 0.2 * REGISTERS bits on
+#: average, in more than FAR once in some thousand cases at exactly 0.8
+SKETCH, FAR = -(-REGISTERS // 64), 28
 BATCH_CHARS, MOST_WORDS = 2 << 20, 1 << 20
 
 
@@ -134,7 +139,8 @@ class Hashes(dict):
 
 
 def bands_of(words: list[list[bytes]], hashes: Hashes) -> np.ndarray:
-    """Band keys (texts x BANDS) of texts that each have a word."""
+    """Band keys (texts x BANDS) of texts that each have a word, followed by
+    SKETCH numbers that hold a bit of each register."""
     sizes = np.array([len(w) for w in words], np.int64)
     flat = np.fromiter(map(hashes.__getitem__, chain.from_iterable(words)), np.uint64, int(sizes.sum()))
     ends = np.cumsum(sizes)
@@ -156,7 +162,9 @@ def bands_of(words: list[list[bytes]], hashes: Hashes) -> np.ndarray:
     keys = np.zeros((len(words), BANDS), np.uint64)
     for r in range(ROWS):
         keys = mix(keys + bits[:, r::ROWS] + np.uint64(r + 1))
-    return mix(keys + np.arange(BANDS, dtype=np.uint64)[None]).view(np.int64)
+    sketch = np.zeros((len(words), 64 * SKETCH), np.uint8)
+    sketch[:, :REGISTERS] = (bits >> np.uint64(40)) & np.uint64(1)
+    return np.hstack([mix(keys + np.arange(BANDS, dtype=np.uint64)[None]).view(np.int64), np.packbits(sketch, axis=1).view(np.int64)])
 
 
 def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,8 +176,8 @@ def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(hashes) > MOST_WORDS:
                 hashes = Hashes()
             own = [w for w in words[lo:hi] if w]
-            keys = bands_of(own, hashes) if own else np.zeros((0, BANDS), np.int64)
-            counts = np.array([BANDS if w else 0 for w in words[lo:hi]])
+            keys = bands_of(own, hashes) if own else np.zeros((0, BANDS + SKETCH), np.int64)
+            counts = np.array([BANDS + SKETCH if w else 0 for w in words[lo:hi]])
             offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
             part = batch.slice(lo, hi - lo)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1)))],
@@ -244,11 +252,12 @@ def classes(nodes: DataFrame, rows: DataFrame) -> DataFrame:
     ``rows`` holds (key, id, text); only the first copy of a text that is in a
     bucket with another one is read for checking.
     """
-    members = nodes.select("key", F.explode("bands").alias("band"))
+    members = nodes.select("key", F.explode(F.slice("bands", 1, BANDS)).alias("band"))
     sizes = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     shared = members.join(sizes, "band").select("band", "n", "key")
     # the text nearest to the others of its group shares most buckets with them
-    shared = written(shared.join(shared.groupBy("key").agg(F.sum("n").alias("near")), "key"), "buckets")
+    sketches = nodes.select("key", *[F.col("bands")[BANDS + i].alias(f"bits_{i}") for i in range(SKETCH)])
+    shared = written(shared.join(shared.groupBy("key").agg(F.sum("n").alias("near")), "key").join(sketches, "key"), "buckets")
     first = nodes.join(shared.select("key").distinct(), "key", "left_semi").select("key", named("own", F.col("id")))
     texts = rows.select("key", named("own", F.col("id")), "text").join(first, ["key", "own"], "left_semi")
     texts = written(texts.groupBy("key").agg(F.first("text").alias("text")), "texts")
@@ -282,17 +291,19 @@ def joined(labels: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def untested(shared: DataFrame, labels: DataFrame, tested: DataFrame, heads: int) -> tuple[DataFrame, int]:
-    """Pairs of a bucket that are in different components and have not been
-    tested, one of the two among the bucket's ``heads`` members nearest to the
+    """Pairs of a bucket that are in different components, whose sketches say
+    that they may be similar, and that have not been tested, one of the two among the bucket's ``heads`` members nearest to the
     others; and the members of the largest bucket of several components."""
     placed = shared.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     split = placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band")
-    placed = written(placed.join(split, "band", "left_semi").select("band", "n", "near", "key", "comp"), "split")
+    bits = [f"bits_{i}" for i in range(SKETCH)]
+    placed = written(placed.join(split, "band", "left_semi").select("band", "n", "near", "key", "comp", *bits), "split")
     largest = placed.agg(F.max("n")).first()[0] or 0
     nth = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("near"), "key"))
-    one = placed.withColumn("nth", nth).where(F.col("nth") <= heads).select("band", "comp", "key")
-    other = placed.select("band", F.col("comp").alias("comp_b"), F.col("key").alias("key_b"))
-    pairs = (one.join(other, "band").where("comp <> comp_b")
+    one = placed.withColumn("nth", nth).where(F.col("nth") <= heads).select("band", "comp", "key", *bits)
+    other = placed.select("band", F.col("comp").alias("comp_b"), F.col("key").alias("key_b"), *[F.col(b).alias(f"{b}_b") for b in bits])
+    apart = reduce(Column.__add__, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}_b"))) for b in bits])
+    pairs = (one.join(other, "band").where((F.col("comp") != F.col("comp_b")) & (apart <= FAR))
              .select(F.least("key", "key_b").alias("a"), F.greatest("key", "key_b").alias("b")).distinct())
     old = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return written(pairs.join(old, ["a", "b"], "left_anti"), "open"), largest

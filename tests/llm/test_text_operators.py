@@ -72,6 +72,34 @@ def test_pii_edges(edges, nothing):
     assert pii.redacted("a 1.2.3.4 b", [dict(start=2, end=9, kind=1), dict(start=4, end=9, kind=3)]) == "a [IP] b"
 
 
+def test_pii_adds_loose_forms_that_fail_no_check(spark):
+    more = {1: ("call me at ", "(415) 555-0100", " today", "phone"), 2: ("phone: ", "415-555-0100", "", "phone"),
+            3: ("write to ", "user [at] host [dot] com", " please", "email"), 4: ("mail ", "jane.doe (at) example (dot) org", "", "email"),
+            5: ("amex card ", "3782 822463 10005", " paid", "card")}
+    texts = [t for i in range(40) for t in (f"mail me at u{i}@mail.example.com now", f"host 10.2.{i}.9 is up", "card 4111 1111 1111 1111 paid",
+                                            "call +1 (415) 555-0100", "card 4111 1111 1111 1112 no", "card 3782 822463 10006 no", "host 999.1.1.1", "just words")]
+    data = [(i, a + x + z) for i, (a, x, z, _) in more.items()] + [(100 + i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    for r in pii.found(df).collect():
+        added = [(pii.KINDS[s.kind], r.text[s.start:s.end]) for s in r.pii if not s.base]
+        assert added == ([(more[r.doc_id][3], more[r.doc_id][1])] if r.doc_id in more else []), r.text
+    for r in pii.redact(df).collect():
+        if r.doc_id in more:
+            a, _, z, kind = more[r.doc_id]
+            assert r.text == f"{a}[{kind.upper()}]{z}"
+        elif (r.doc_id - 100) % 8 >= 4:  # spans that fail their check, and none
+            assert r.text == texts[r.doc_id - 100]
+
+
+def test_pii_check_votes_no_only_on_a_form_of_its_own():
+    check = pii.LABELERS.index("check")
+    by = lambda t: [(s["kind"], s["base"], s["votes"][check]) for s in pii.spans_of(t)]
+    assert by("(415) 555-0100") == [(3, False, 1)] and by("115-055-0100") == [(3, False, -1)] and by("+12 34") == [(3, False, 0)]
+    assert by("a [at] b [dot] com") == [(0, False, 1)] and by("a [at] b [dot] 7") == [(0, False, -1)]
+    assert by("4111 1111 1111 1112") == [(2, False, 0)] and by("378282246310006") == [(2, False, 0)] and by("1.2.3.999") == [(1, False, 0)]
+    assert by("378282246310005") == [(2, False, 1)] and by("10000000000008") == [(2, False, -1)]
+
+
 # ------------------------------------------------------------------ op2
 def measures(t):
     w, lines = WORD.findall(t), [x for x in t.split("\n") if WORD.search(x)]

@@ -1,4 +1,4 @@
-"""Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit check.
+"""Benchmark decontamination: shared strings on near diagonals, exact edit check.
 
 A document is contaminated by an item if a part of it lies within
 ``RATE * length`` edits of the item (UTF-8 bytes, ASCII case and the kinds of
@@ -6,18 +6,14 @@ white space aside).
 
 Windows.  A part within k edits of an item of n bytes shares at least
 ``n - Q + 1 - k * Q`` of its Q-byte strings with it, at places that differ by k
-at most.  So an item-sized window is laid wherever enough of an item's strings
-fall on nearby diagonals; no window that could match is left out.  Of an item's
-strings the most frequent may be ignored if that many more hits are asked of
-the rest, which changes the work and not the windows that can match.
+at most.  So a window is laid wherever enough of an item's strings fall on nearby
+diagonals, wide enough for each part that they may belong to; no window that
+could match is left out.  Of an item's strings the most frequent may be ignored
+if that many more hits are asked of the rest, which changes the work and not the
+windows that can match.
 
-Embedding.  Both window and item walk through the same random string: step t
-writes the byte at the cursor, and a random bit of (t, byte) says whether the
-cursor moves on.  Edit distance becomes Hamming distance, so keys of a few
-sampled steps agree often for near pairs; enough keys are drawn for
-``RECALL`` at the least agreement ``AGREE`` that pairs at the limit show.
-
-Check.  A pair that shares a key is decided by its exact edit distance.
+Check.  Each window is decided by its exact edit distance, so nothing is lost to
+sampling, whatever an item's length and the kind of its edits.
 
 The items are a stated query set.  They go to the tasks in blocks of at most
 ``BLOCK_BYTES``, with a pass over the documents for each block, so what a task
@@ -30,7 +26,6 @@ all columns of the documents are kept and the added one takes an unused name.
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,15 +41,7 @@ RATE, LEAST = 0.1, 24
 Q = 8
 #: hits asked for at least, once frequent strings are ignored
 HITS = 8
-#: windows laid for one place
-DIAGONALS = 3
-#: steps sampled for a key, walks, agreement assumed at the limit, recall aimed at
-BITS, WALKS, AGREE, RECALL = 3, 8, 0.35, 0.99
-#: steps walked for each byte; the cursor moves in half of them
-SPAN = 1.8
-KEYS = math.ceil(math.log(1 - RECALL) / math.log(1 - AGREE ** BITS))
 BLOCK_BYTES, CHUNK = 8 << 20, 1 << 20
-SEED = 20240101
 MIX = np.uint64(0x9E3779B97F4A7C15)
 FOLD = bytes(32 if b in (9, 10, 11, 12, 13) else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -89,7 +76,7 @@ def distance(pattern: bytes, text: bytes) -> int:
 
 
 class Items:
-    """The strings, walks and keys of a block of items."""
+    """The strings of a block of items."""
 
     def __init__(self, items: list[bytes]):
         self.items = items
@@ -106,12 +93,6 @@ class Items:
         self.of, self.off, self.gram = self.of[order], self.off[order], self.gram[order]
         self.least = self.need.copy()
         self.index(np.ones(len(self.gram), bool))
-        rng = np.random.default_rng(SEED)
-        most = int(self.size.max())
-        self.steps = math.ceil(SPAN * most)
-        self.moves = rng.integers(0, 2, (WALKS, self.steps, 256)).astype(np.int64)
-        self.coins = rng.random((KEYS, BITS))
-        self.weight = rng.integers(1, 1 << 62, (KEYS, BITS)).astype(np.uint64) | np.uint64(1)
 
     def index(self, used: np.ndarray) -> None:
         self.g, first, count = np.unique(self.gram[used], return_index=True, return_counts=True)
@@ -133,8 +114,8 @@ class Items:
         self.least = np.maximum(self.need - drop, 1)
         self.index(place >= drop[self.of])
 
-    def windows(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, start) of the windows of this piece of text."""
+    def windows(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, start, end) of the windows of this piece of text."""
         g = grams(text)
         hit = np.flatnonzero(self.table[(g * MIX) >> self.bits])
         at = np.minimum(np.searchsorted(self.g, g[hit]), len(self.g) - 1)
@@ -148,55 +129,16 @@ class Items:
         cells = len(text) + int(self.size.max()) + 2
         key = item * cells + (diag + int(self.size.max())) // width
         order = np.argsort(key, kind="stable")
-        key, item, diag = key[order], item[order], diag[order]
+        key, item = key[order], item[order]
         cell, first, count = np.unique(key, return_index=True, return_counts=True)
         after = np.append(np.where(cell[1:] == cell[:-1] + 1, count[1:], 0), 0)[:len(cell)]
         enough = np.flatnonzero(count + after >= self.least[item[first]])
-        # a window starts on each of the diagonals with most hits in the two cells
-        first = np.append(first, len(key))
-        out_item, out_start = [], []
-        for c in enough.tolist():
-            two = diag[first[c]:first[c + 2] if after[c] else first[c + 1]]
-            value, n = np.unique(two, return_counts=True)
-            best = value[np.argsort(-n, kind="stable")[:DIAGONALS]]
-            out_item += [int(item[first[c]])] * len(best)
-            out_start += best.tolist()
-        return np.array(out_item, np.int64), np.array(out_start, np.int64)
-
-    def walk(self, rows: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Keys of byte strings in the rows of a matrix (padded by zeros);
-        what is sampled lies within SPAN * size steps, before the walk's end."""
-        keys = np.zeros((len(rows), KEYS), np.uint64)
-        step = (self.coins[None] * (SPAN * size)[:, None, None]).astype(np.int64)
-        every = np.arange(len(rows))
-        for w in range(WALKS):
-            at, out = np.zeros(len(rows), np.int64), np.zeros((len(rows), self.steps), np.uint8)
-            for t in range(self.steps):
-                byte = rows[every, np.minimum(at, rows.shape[1] - 1)]
-                out[:, t] = byte
-                at += self.moves[w, t][byte]
-            own = np.arange(w, KEYS, WALKS)
-            sampled = out[every[:, None, None], step[:, own]].astype(np.uint64) + np.uint64(1)
-            keys[:, own] = (sampled * self.weight[None, own] * MIX >> np.uint64(7)).sum(axis=2, dtype=np.uint64)
-        return keys
-
-    def matrix(self, parts: list[bytes]) -> np.ndarray:
-        wide = int(self.size.max()) + 1
-        out = np.zeros((len(parts), wide), np.uint8)
-        for i, p in enumerate(parts):
-            out[i, :min(len(p), wide - 1)] = np.frombuffer(p[:wide - 1], np.uint8)
-        return out
-
-    def near(self, item: np.ndarray, windows: list[bytes]) -> np.ndarray:
-        """Which windows share a key with their item."""
-        if not hasattr(self, "keys_of"):
-            self.keys_of = self.walk(self.matrix(self.items), self.size)
-        out = np.zeros(len(windows), bool)
-        for a in range(0, len(windows), 1024):
-            b = min(a + 1024, len(windows))
-            keys = self.walk(self.matrix(windows[a:b]), self.size[item[a:b]])
-            out[a:b] = (keys == self.keys_of[item[a:b]]).any(axis=1)
-        return out
+        # a match's start lies k above the least of its diagonals and below the greatest, of
+        # which those without hits may lie before the two cells
+        item, cell = item[first[enough]], cell[enough]
+        k, width = self.k[item], 2 * self.k[item] + 1
+        start = (cell - item * cells) * width - int(self.size.max())
+        return item, start - k - 1, start + 2 * width + self.size[item]
 
 
 def grams(raw: np.ndarray) -> np.ndarray:
@@ -221,45 +163,21 @@ def searched(batches: Iterator[pa.RecordBatch], column: int, name: str, ids: lis
             if not learnt:
                 items.ignore_frequent(np.sort(grams(piece)))
                 learnt = True
-            item, start = items.windows(piece)
-            if not len(item):
-                continue
-            start = start + lo
-            # a window may hang over the start of its text
-            doc = np.searchsorted(offsets, np.clip(start + items.size[item] // 2, 0, len(raw) - 1), side="right") - 1
-            # the middle may fall beside a match at a text's border: try both texts
-            tries = {(i, d, s) for i, s, c in zip(item.tolist(), start.tolist(), doc.tolist())
-                     for d in around(offsets, s, int(items.size[i]), c)}
-            tries = sorted(t for t in tries if (t[1], t[0]) not in pairs)
-            item = np.array([t[0] for t in tries], np.int64)
-            k = items.k[item].tolist()
-            ends = [(int(offsets[d]), int(offsets[d + 1])) for _, d, _ in tries]
-            views = [whole[max(a, s):min(b, max(a, s) + int(items.size[i]))] for (i, _, s), (a, b) in zip(tries, ends)]
-            near = items.near(item, views)
-            for (i, d, s), (a, b), n, e in zip(tries, ends, near.tolist(), k):
-                if n and (d, i) not in pairs:
-                    found = distance(items.items[i], whole[max(a, s - 2 * e):min(b, s + int(items.size[i]) + 4 * e + 2)])
-                    if found <= e:
-                        pairs[(d, i)] = found
+            for i, start, end in zip(*(x.tolist() for x in items.windows(piece))):
+                start, end, k = max(0, start + lo), min(len(raw), end + lo), int(items.k[i])
+                # a window may hang over the border of its text
+                for d in range(int(np.searchsorted(offsets, start, side="right")) - 1, int(np.searchsorted(offsets, end))):
+                    a, b = max(int(offsets[d]), start), min(int(offsets[d + 1]), end)
+                    if b - a >= items.size[i] - k and (d, i) not in pairs:
+                        found = distance(items.items[i], whole[a:b])
+                        if found <= k:
+                            pairs[(d, i)] = found
         hits: list[list[int]] = [[] for _ in range(len(col))]
         for d, i in sorted(pairs):
             hits[d].append(ids[i])
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hits, pa.list_(pa.int64()))], names=[*batch.schema.names, name])
 
 
-def around(offsets: np.ndarray, start: int, size: int, middle: int) -> list[int]:
-    """The texts that a window touches: its middle's and those beside it."""
-    out, d = [middle], middle
-    while d > 0 and offsets[d] > start:
-        d -= 1
-        out.append(d)
-    d = middle
-    while d + 2 < len(offsets) and offsets[d + 1] < start + size:
-        d += 1
-        out.append(d)
-    return [d for d in out if offsets[d + 1] > offsets[d]]
-
-
 def blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int, bytes]]]:
     """The items in runs of at most BLOCK_BYTES (one longer item alone)."""
     held, total = [], 0

@@ -244,6 +244,32 @@ def test_edited_passages_are_found_and_clean_ones_are_not(spark):
     assert not [d for d, t in docs if d not in want and got[d]]
 
 
+def test_long_items_are_found_at_the_edit_limit(spark):
+    """Insertions alone, deletions alone and both, up to the edits allowed: all are found."""
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9)))
+    items, docs = [], []
+    for i in range(24):
+        text = " ".join(word() for _ in range(500))[:rnd.choice([400, 1000, 1500, 2000])].strip()
+        b = list(text)
+        for at in sorted(rnd.sample(range(len(b)), decontaminate.edits(len(b))), reverse=True):
+            b[at:at + (rnd.random() < (0, 1, 0.5)[i % 3])] = rnd.choice("abcde") if i % 3 != 1 else ""
+        items.append((i, text))
+        docs.append((i, " ".join(word() for _ in range(40)) + " " + "".join(b) + " " + word()))
+    found = decontaminate.contaminated(*(spark.createDataFrame(x, f"{n} long, text string") for x, n in ((docs, "doc_id"), (items, "item_id"))))
+    assert [(r.doc_id, r["items"]) for r in found.orderBy("doc_id").collect()] == [(i, [i]) for i, _ in items]
+
+
+def test_decontamination_against_brute_force(spark):
+    rnd = random.Random(10)
+    sub = ["".join(rnd.choice("abc ") for _ in range(rnd.randint(4, 30))) for _ in range(12)]
+    text = lambda n: "".join(rnd.choice(sub) for _ in range(rnd.randint(0, n)))
+    items, docs = [(i, text(9)) for i in range(60)], [(d, text(40)) for d in range(80)]
+    got = decontaminate.contaminated(*(spark.createDataFrame(x, f"{n} long, text string") for x, n in ((docs, "doc_id"), (items, "item_id"))))
+    want = {d: [i for i, x in items if len(x) >= decontaminate.LEAST and decontaminate.distance(x.encode(), t.encode()) <= decontaminate.edits(len(x))] for d, t in docs}
+    assert {r.doc_id: r["items"] for r in got.collect()} == want and sum(map(len, want.values())) > 100
+
+
 def test_all_exact_passages_of_the_tables_are_found(spark):
     items = [(r.item_id, r.text.encode().translate(decontaminate.FOLD)) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()]
     got = {r.doc_id: set(r["items"].split(",")) for r in decontaminate.q_decontaminate(spark, SF001).collect()}

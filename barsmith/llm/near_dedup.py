@@ -15,9 +15,14 @@ nearest to its group and leads a bucket.  Each text is first held against one
 leader, the nearest of those of its buckets.  Then components are joined, and in
 buckets that still hold several, pairs across components are tested that the
 leader, then the first 16, 256, ... members are part of, until each bucket is one
-component or all its pairs across components are tested, but for those whose
-signatures differ too much (a bit of each register; see ``FAR``).  A group that
-its leaders join costs a few tests a member.
+component or all its pairs across components are tested, but for those that two
+bounds show to be less similar.  A group that its leaders join costs a few tests
+a member.
+
+Bounds.  Similar multisets of a and b shingles differ in at most a share
+``APART`` of a + b.  They differ in |a - b| at least, and in as many as the bits
+that differ between their parities (of the shingles that fall on a bit, even or
+odd), as one more shingle flips one bit.  So no link that shares a bucket is lost.
 
 Check.  A pair is a link if the exact multisets say so; links are joined to
 classes.  Equal texts are one node from the start.
@@ -48,10 +53,10 @@ from barsmith.llm.common import fresh, pieces, written
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 28, 5
 REGISTERS = BANDS * ROWS
-#: numbers that hold a bit of each register, and in how many bits two texts may
-#: differ to be compared: similar ones differ in half of 0.2 * REGISTERS bits on
-#: average, in more than FAR once in some thousand cases at exactly 0.8
-SKETCH, FAR = -(-REGISTERS // 64), 28
+#: numbers that hold the parities of a text's shingles, followed by one that counts
+#: them; and the share of both texts' shingles that similar ones may differ in
+PARITIES, APART = 8, (1 - SIMILAR) / (1 + SIMILAR)
+SKETCH = PARITIES + 1
 BATCH_CHARS, MOST_WORDS = 2 << 20, 1 << 20
 
 
@@ -140,7 +145,7 @@ class Hashes(dict):
 
 def bands_of(words: list[list[bytes]], hashes: Hashes) -> np.ndarray:
     """Band keys (texts x BANDS) of texts that each have a word, followed by
-    SKETCH numbers that hold a bit of each register."""
+    SKETCH numbers: the parities and the number of its shingles."""
     sizes = np.array([len(w) for w in words], np.int64)
     flat = np.fromiter(map(hashes.__getitem__, chain.from_iterable(words)), np.uint64, int(sizes.sum()))
     ends = np.cumsum(sizes)
@@ -162,9 +167,11 @@ def bands_of(words: list[list[bytes]], hashes: Hashes) -> np.ndarray:
     keys = np.zeros((len(words), BANDS), np.uint64)
     for r in range(ROWS):
         keys = mix(keys + bits[:, r::ROWS] + np.uint64(r + 1))
-    sketch = np.zeros((len(words), 64 * SKETCH), np.uint8)
-    sketch[:, :REGISTERS] = (bits >> np.uint64(40)) & np.uint64(1)
-    return np.hstack([mix(keys + np.arange(BANDS, dtype=np.uint64)[None]).view(np.int64), np.packbits(sketch, axis=1).view(np.int64)])
+    width = 64 * PARITIES
+    place = doc * width + (element % np.uint64(width)).astype(np.int64)
+    odd = (np.bincount(place, minlength=len(words) * width) % 2).astype(np.uint8).reshape(len(words), width)
+    return np.hstack([mix(keys + np.arange(BANDS, dtype=np.uint64)[None]).view(np.int64), np.packbits(odd, axis=1).view(np.int64),
+                      np.bincount(doc, minlength=len(words))[:, None]])
 
 
 def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,9 +298,10 @@ def joined(labels: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def untested(shared: DataFrame, labels: DataFrame, tested: DataFrame, heads: int) -> tuple[DataFrame, int]:
-    """Pairs of a bucket that are in different components, whose sketches say
-    that they may be similar, and that have not been tested, one of the two among the bucket's ``heads`` members nearest to the
-    others; and the members of the largest bucket of several components."""
+    """Pairs of a bucket that are in different components, that no bound shows to
+    be less similar, and that have not been tested, one of the two among the
+    bucket's ``heads`` members nearest to the others; and the members of the
+    largest bucket of several components."""
     placed = shared.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     split = placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band")
     bits = [f"bits_{i}" for i in range(SKETCH)]
@@ -302,8 +310,10 @@ def untested(shared: DataFrame, labels: DataFrame, tested: DataFrame, heads: int
     nth = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("near"), "key"))
     one = placed.withColumn("nth", nth).where(F.col("nth") <= heads).select("band", "comp", "key", *bits)
     other = placed.select("band", F.col("comp").alias("comp_b"), F.col("key").alias("key_b"), *[F.col(b).alias(f"{b}_b") for b in bits])
-    apart = reduce(Column.__add__, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}_b"))) for b in bits])
-    pairs = (one.join(other, "band").where((F.col("comp") != F.col("comp_b")) & (apart <= FAR))
+    *odd, count = bits
+    flips = reduce(Column.__add__, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}_b"))) for b in odd])
+    most = APART * (F.col(count) + F.col(f"{count}_b")) + 1e-6
+    pairs = (one.join(other, "band").where((F.col("comp") != F.col("comp_b")) & (F.abs(F.col(count) - F.col(f"{count}_b")) <= most) & (flips <= most))
              .select(F.least("key", "key_b").alias("a"), F.greatest("key", "key_b").alias("b")).distinct())
     old = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return written(pairs.join(old, ["a", "b"], "left_anti"), "open"), largest

@@ -191,6 +191,36 @@ def test_near_dedup_against_brute_force(spark):
     assert kept == {c for _, c in brute_classes(docs)}
 
 
+def test_near_dedup_keeps_a_link_of_far_signatures(spark):
+    """b is linked to a alone, which is 0.8 similar, by a bucket that c leads; a's and
+    b's registers happen to agree in fewer bits than nearly all such pairs'."""
+    rnd = random.Random(3210)
+    a = [f"w{rnd.randrange(10**6)}" for _ in range(49)]
+    b = a[:44] + [f"v{rnd.randrange(10**6)}" for _ in range(5)]
+    c = ["first", *a[1:]]
+    texts = [b, a, c, *([*c[:-1], f"last{i}"] for i in range(6))]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    assert [near_dedup.similar(near_dedup.shingles(docs[0][1]), near_dedup.shingles(t)) for _, t in docs[1:]] == [True] + [False] * 7
+    got = near_dedup.classified(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r.class_id for r in got.collect()} == {0}
+
+
+def test_bounds_hold_for_similar_texts():
+    rnd = random.Random(7)
+    bag = lambda: [f"w{rnd.randrange(30)}".encode() for _ in range(rnd.choice([1, 4, 5, 30, 200, 3000]))]
+    pairs = [(x, [w if rnd.random() < 0.98 else b"y" for w in x][:rnd.choice([None, -1, -5])] or x) for x in (bag() for _ in range(200))]
+    k = near_dedup.bands_of([t for p in pairs for t in p], near_dedup.Hashes())[:, near_dedup.BANDS:]
+    seen = 0
+    for (x, y), i, j in zip(pairs, k[::2], k[1::2]):
+        u, v = (near_dedup.shingles(b" ".join(t).decode()) for t in (x, y))
+        flips = sum(int(n).bit_count() for n in (i ^ j)[:-1].view(np.uint64))
+        assert (i[-1], j[-1]) == (u.total(), v.total()) and flips <= (u - v).total() + (v - u).total()
+        if near_dedup.similar(u, v):
+            seen += 1
+            assert max(flips, abs(i[-1] - j[-1])) <= near_dedup.APART * (i[-1] + j[-1]) + 1e-6
+    assert seen > 30
+
+
 def test_near_dedup_edges(spark, edges, nothing):
     got = near_dedup.classified(edges, name="of")
     assert rows(got, "doc_id", "of") == rows(spark.createDataFrame(

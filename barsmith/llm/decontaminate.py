@@ -15,9 +15,10 @@ windows that can match.
 Check.  Each window is decided by its exact edit distance, so nothing is lost to
 sampling, whatever an item's length and the kind of its edits.
 
-The items are a stated query set.  They go to the tasks in blocks of at most
-``BLOCK_BYTES``, with a pass over the documents for each block, so what a task
-holds does not grow with either table.
+The items are written once to the shared folder.  A task reads them from there in
+blocks of at most ``BLOCK_BYTES`` (one longer item alone), one after another for
+each ``GROUP_BYTES`` of documents, so it holds one block's strings at a time and
+what it holds does not grow with either table, but with its longest item.
 
 Defined results: a null text or item is empty; items below ``LEAST`` bytes
 name nothing and are not searched; repeated items are reported each, repeated
@@ -30,11 +31,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barsmith.llm.common import fresh, ragged
+from barsmith.llm.common import fresh, ragged, written
 
 #: edits allowed as a share of an item's bytes, and the shortest item searched
 RATE, LEAST = 0.1, 24
@@ -42,6 +45,8 @@ Q = 8
 #: hits asked for at least, once frequent strings are ignored
 HITS = 8
 BLOCK_BYTES, CHUNK = 8 << 20, 1 << 20
+#: bytes of documents searched for all blocks at once, where there are several
+GROUP_BYTES = 32 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 FOLD = bytes(32 if b in (9, 10, 11, 12, 13) else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -79,7 +84,7 @@ class Items:
     """The strings of a block of items."""
 
     def __init__(self, items: list[bytes]):
-        self.items = items
+        self.items, self.learnt = items, False
         self.size = np.array([len(x) for x in items], np.int64)
         self.k = np.array([edits(len(x)) for x in items], np.int64)
         self.need = self.size - Q + 1 - self.k * Q
@@ -148,65 +153,86 @@ def grams(raw: np.ndarray) -> np.ndarray:
     return np.ndarray((len(raw) - Q + 1,), "<u8", np.ascontiguousarray(raw).data, 0, (1,)).astype(np.uint64)
 
 
-def searched(batches: Iterator[pa.RecordBatch], column: int, name: str, ids: list[int], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-    items, learnt = Items(texts), False
+def searched(batch: pa.RecordBatch, column: int, items: Items) -> Iterator[tuple[int, int]]:
+    """(row, item) of the items found in a batch."""
     overlap = 2 * int((items.size + 2 * items.k).max()) + Q
-    for batch in batches:
-        col = batch.column(column).cast(pa.large_string())
-        offsets = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1] if len(col) else np.zeros(1, np.int64)
-        whole = col.buffers()[2].to_pybytes()[offsets[0]:offsets[-1]].translate(FOLD) if len(col) and col.buffers()[2] else b""
-        offsets = offsets - offsets[0]
-        raw = np.frombuffer(whole, np.uint8)
-        pairs: dict[tuple[int, int], int] = {}
-        for lo in range(0, len(raw), CHUNK):
-            piece = raw[lo:lo + CHUNK + overlap]
-            if not learnt:
-                items.ignore_frequent(np.sort(grams(piece)))
-                learnt = True
-            for i, start, end in zip(*(x.tolist() for x in items.windows(piece))):
-                start, end, k = max(0, start + lo), min(len(raw), end + lo), int(items.k[i])
-                # a window may hang over the border of its text
-                for d in range(int(np.searchsorted(offsets, start, side="right")) - 1, int(np.searchsorted(offsets, end))):
-                    a, b = max(int(offsets[d]), start), min(int(offsets[d + 1]), end)
-                    if b - a >= items.size[i] - k and (d, i) not in pairs:
-                        found = distance(items.items[i], whole[a:b])
-                        if found <= k:
-                            pairs[(d, i)] = found
-        hits: list[list[int]] = [[] for _ in range(len(col))]
-        for d, i in sorted(pairs):
-            hits[d].append(ids[i])
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hits, pa.list_(pa.int64()))], names=[*batch.schema.names, name])
-
-
-def blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int, bytes]]]:
-    """The items in runs of at most BLOCK_BYTES (one longer item alone)."""
+    col = batch.column(column).cast(pa.large_string())
+    offsets = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1] if len(col) else np.zeros(1, np.int64)
+    whole = col.buffers()[2].to_pybytes()[offsets[0]:offsets[-1]].translate(FOLD) if len(col) and col.buffers()[2] else b""
+    offsets = offsets - offsets[0]
+    raw = np.frombuffer(whole, np.uint8)
+    pairs: set[tuple[int, int]] = set()
+    for lo in range(0, len(raw), CHUNK):
+        piece = raw[lo:lo + CHUNK + overlap]
+        if not items.learnt:
+            items.ignore_frequent(np.sort(grams(piece)))
+            items.learnt = True
+        for i, start, end in zip(*(x.tolist() for x in items.windows(piece))):
+            start, end, k = max(0, start + lo), min(len(raw), end + lo), int(items.k[i])
+            # a window may hang over the border of its text
+            for d in range(int(np.searchsorted(offsets, start, side="right")) - 1, int(np.searchsorted(offsets, end))):
+                a, b = max(int(offsets[d]), start), min(int(offsets[d + 1]), end)
+                if b - a >= items.size[i] - k and (d, i) not in pairs and distance(items.items[i], whole[a:b]) <= k:
+                    pairs.add((d, i))
+    yield from pairs
+
+
+def blocks(files: list[str]) -> Iterator[tuple[list[int | None], list[bytes]]]:
+    """(ids, texts) of the written items, in runs of at most BLOCK_BYTES."""
+    ids, texts, total = [], [], 0
+    for file in files:
+        store, path = fs.FileSystem.from_uri(file)
+        with store.open_input_file(path) as f:
+            for batch in pq.ParquetFile(f).iter_batches(batch_size=256, columns=["id", "text"]):
+                for i, t in zip(*(c.to_pylist() for c in batch.columns)):
+                    raw = t.encode().translate(FOLD)
+                    if texts and total + len(raw) > BLOCK_BYTES:
+                        yield ids, texts
+                        ids, texts, total = [], [], 0
+                    ids.append(i)
+                    texts.append(raw)
+                    total += len(raw)
+    if texts:
+        yield ids, texts
+
+
+def grouped(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
     held, total = [], 0
-    rows = items.select(F.col(item_id).cast("long"), F.coalesce(F.col(text), F.lit(""))).orderBy(F.col(item_id).asc_nulls_last(), text)
-    for i, t in rows.toLocalIterator():
-        raw = t.encode().translate(FOLD)
-        if len(raw) < LEAST:
-            continue
-        if held and total + len(raw) > BLOCK_BYTES:
+    for batch in batches:
+        held.append(batch)
+        total += batch.nbytes
+        if total >= most:
             yield held
             held, total = [], 0
-        held.append((i, raw))
-        total += len(raw)
     if held:
         yield held
 
 
+def tagged(batches: Iterator[pa.RecordBatch], column: int, name: str, files: list[str]) -> Iterator[pa.RecordBatch]:
+    """The batches with the ids of the items found in each text."""
+    first = blocks(files)
+    next(first, None)
+    several, only = next(first, None) is not None, None
+    first.close()
+    for group in grouped(batches, GROUP_BYTES if several else 0):
+        hits: list[list[list[int | None]]] = [[[] for _ in range(len(b))] for b in group]
+        for ids, items in (only,) if only else ((ids, Items(texts)) for ids, texts in blocks(files)):
+            for own, batch in zip(hits, group):
+                for d, i in searched(batch, column, items):
+                    own[d].append(ids[i])
+            if not several:
+                only = ids, items
+        for own, batch in zip(hits, group):
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.list_(pa.int64()))], names=[*batch.schema.names, name])
+
+
 def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", name: str = "items") -> DataFrame:
     """``docs`` with the ids of the items found in each text, sorted."""
-    names = []
-    out = docs
-    for n, block in enumerate(blocks(items, item_id, item_text)):
-        part = fresh(out, f"{name}_{n}")
-        names.append(part)
-        ids, texts, column = [i for i, _ in block], [t for _, t in block], out.columns.index(text)
-        out = out.mapInArrow(lambda b, c=column, p=part, i=ids, t=texts: searched(b, c, p, i, t),
-                             T.StructType([*out.schema.fields, T.StructField(part, T.ArrayType(T.LongType()))]))
-    every = F.sort_array(F.concat(*names)) if names else F.expr("CAST(array() AS array<bigint>)")
-    return out.withColumn(fresh(docs, name), every).drop(*names)
+    held = written(items.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).where(F.octet_length("text") >= LEAST), "items")
+    files = sorted(held.inputFiles())
+    column, name = docs.columns.index(text), fresh(docs, name)
+    out = docs.mapInArrow(lambda b: tagged(b, column, name, files), T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.LongType()))]))
+    return out.withColumn(name, F.sort_array(name))
 
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:

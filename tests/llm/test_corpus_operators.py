@@ -300,6 +300,40 @@ def test_decontamination_against_brute_force(spark):
     assert {r.doc_id: r["items"] for r in got.collect()} == want and sum(map(len, want.values())) > 100
 
 
+def test_items_stay_off_the_driver_and_come_a_block_at_a_time(spark, scratch, monkeypatch):
+    import weakref
+
+    import pyarrow as pa
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rnd = random.Random(11)
+    texts = ["".join(rnd.choice("abcdefgh ") for _ in range(60)) for _ in range(30)]
+    docs = [(d, " ".join(rnd.sample(texts, d % 4))) for d in range(50)]
+    want = [sorted(i for i, t in enumerate(texts) if t in x) for _, x in docs]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    with monkeypatch.context() as m:
+        for call in ("toLocalIterator", "collect", "toPandas", "toArrow"):
+            m.setattr(DataFrame, call, lambda *a, **k: pytest.fail("rows reach the driver"))
+        found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items)
+    assert [r["items"] for r in found.orderBy("doc_id").collect()] == want
+    alive, most, init = weakref.WeakSet(), [], decontaminate.Items.__init__
+
+    def counted(self, x):
+        init(self, x)
+        alive.add(self)
+        most.append((len(x), len(alive)))
+
+    items.withColumnRenamed("item_id", "id").write.parquet(f"{scratch}/items")
+    files = sorted(spark.read.parquet(f"{scratch}/items").inputFiles())
+    monkeypatch.setattr(decontaminate.Items, "__init__", counted)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 200)
+    monkeypatch.setattr(decontaminate, "GROUP_BYTES", 1500)
+    table = pa.table({"doc_id": [d for d, _ in docs], "text": [t for _, t in docs]}).to_batches(max_chunksize=7)
+    got = [x for b in decontaminate.tagged(iter(table), 1, "items", files) for x in b.column(2).to_pylist()]
+    assert [sorted(x) for x in got] == want
+    assert len(most) > 20 and max(n for n, _ in most) == 3 and max(n for _, n in most) <= 2  # the last one goes as the next is made
+
+
 def test_all_exact_passages_of_the_tables_are_found(spark):
     items = [(r.item_id, r.text.encode().translate(decontaminate.FOLD)) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()]
     got = {r.doc_id: set(r["items"].split(",")) for r in decontaminate.q_decontaminate(spark, SF001).collect()}

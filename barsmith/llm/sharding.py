@@ -14,8 +14,9 @@ driver.
 Defined results: rows that equal each other in key and text share an address,
 which no bit can divide; when such a bucket is too large at the last bit, its
 rows are laid one after another into overflow shards (``prefix-0``,
-``prefix-1``, ...), each below the limit.  A single row above the limit is a
-shard of its own.  Null keys and texts hash as a value of their own and a null
+``prefix-1``, ...), each below the limit; they are numbered in runs of at most
+``2 ** RUN`` rows, so a hot address is dealt over many tasks.  A single row above
+the limit is a shard of its own.  Null keys and texts hash as a value of their own and a null
 text counts 0 bytes; an empty table gives an empty table.  All columns of the
 input are kept and ``shard``, ``shard_bytes`` and ``n_bytes`` added; if a name is
 in use, the added column takes it with underscores in front.
@@ -33,6 +34,8 @@ from barsmith.llm.common import fresh, written
 BITS = 60
 #: bits that one round of splitting looks ahead
 STEP = 10
+#: rows of one address that are numbered together, as a power of two
+RUN = 12
 
 
 def address(*values: Column) -> Column:
@@ -83,7 +86,7 @@ def shard(df: DataFrame, key: str, text: str, limit: int) -> DataFrame:
     rows = df.withColumn(addr, address(F.col(key), F.col(text))).withColumn(
         size, F.coalesce(F.octet_length(text), F.lit(0)).cast("long"))
     buckets = written(leaves(written(rows.select(F.col(addr).alias("addr"), F.col(size).alias("size")), "addresses"), limit), "buckets")
-    low, high = buckets.agg(F.min(F.length("prefix")), F.max(F.length("prefix"))).first()
+    low, high, hot = buckets.agg(F.min(F.length("prefix")), F.max(F.length("prefix")), F.max((F.col("bytes") > limit) & (F.col("rows") > 1))).first()
     if low is None:
         return rows.drop(addr).withColumn(name, F.lit("")).withColumn(total, F.lit(0).cast("long"))
     depth, prefix, count = (fresh(rows, c) for c in ("depth", "prefix", "shard_rows"))
@@ -93,10 +96,17 @@ def shard(df: DataFrame, key: str, text: str, limit: int) -> DataFrame:
               .withColumn(prefix, F.expr(f"substr(`{addr}`, 1, `{depth}`)")).join(named, prefix).drop(depth))
     over = (F.col(total) > limit) & (F.col(count) > 1)
     plain = placed.where(~over).withColumn(name, F.col(prefix))
+    if not hot:
+        return plain.drop(addr, prefix, count)
     # rows of one address are alike, so each overflow shard takes the same number of them
     each = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.col(size), F.lit(1))))
-    number = F.row_number().over(Window.partitionBy(prefix).orderBy(size)) - 1
-    laid = placed.where(over).withColumn(name, F.concat_ws("-", prefix, F.floor(number / each).cast("string")))
+    # each run is numbered by itself, after the rows of the address in the runs before it
+    turn, salt, start = (fresh(placed, c) for c in ("turn", "salt", "start"))
+    laid = written(placed.where(over).withColumn(turn, F.monotonically_increasing_id()).withColumn(salt, F.shiftright(turn, RUN)), "overflow")
+    before = F.sum(start).over(Window.partitionBy(prefix).orderBy(salt).rowsBetween(Window.unboundedPreceding, -1))
+    starts = laid.groupBy(prefix, salt).agg(F.count("*").alias(start)).withColumn(start, F.coalesce(before, F.lit(0)))
+    number = F.col(start) + F.row_number().over(Window.partitionBy(prefix, salt).orderBy(turn)) - 1
+    laid = laid.join(starts, [prefix, salt]).withColumn(name, F.concat_ws("-", prefix, F.floor(number / each).cast("string")))
     laid = laid.withColumn(total, F.sum(size).over(Window.partitionBy(name)))
     return plain.unionByName(laid.select(*plain.columns)).drop(addr, prefix, count)
 

@@ -370,6 +370,25 @@ def test_shards_fit_and_split_only_where_needed(spark):
     assert len({r.shard for r in got if r.doc_id == 7000}) == 8  # 40 equal rows, five to a shard
 
 
+def test_a_hot_address_is_numbered_in_runs(spark, monkeypatch):
+    import re
+
+    monkeypatch.setattr(sharding, "RUN", 4, raising=False)  # 16 rows
+    data = [(None, "z" * 30)] * 1003 + [(7, None)] * 5 + [(8, "y" * 70)] * 41 + [(i, "x" * 9) for i in range(100, 400)]
+    got = sharding.shard(spark.createDataFrame(data, "doc_id long, text string").repartition(5), "doc_id", "text", 300)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    runs = re.findall(r"row_number\(\) windowspecdefinition\(([^()]*)", plan)
+    assert runs and all("salt" in x for x in runs)
+    rows_ = got.collect()
+    for key, size, n in ((None, 30, 1003), (8, 70, 41)):
+        own = [r for r in rows_ if r.doc_id == key]
+        each = 300 // size
+        by = Counter(int(r.shard.split("-")[1]) for r in own)
+        assert by == Counter({i: min(each, n - i * each) for i in range(-(-n // each))})
+        assert all(r.shard_bytes == by[int(r.shard.split("-")[1])] * size for r in own)
+    assert len(rows_) == len(data) and all(r.shard_bytes <= 300 for r in rows_)
+
+
 def test_sharding_edges(edges, nothing, scratch):
     got = sharding.shard(edges, "doc_id", "text", 1000)
     assert got.count() == len(EDGES) and [c for c in got.columns if c in edges.columns] == edges.columns

@@ -28,7 +28,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     neither compute it again nor depend on the executors that made it."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete what ``written`` wrote, once nothing reads it any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -16,7 +16,8 @@ def edges(spark):
     """Edge rows with columns whose names the operators might use themselves."""
     df = spark.createDataFrame(EDGES, "doc_id long, text string").repartition(3)
     clash = ["key", "id", "class", "class_id", "comp", "spans", "pii", "items", "votes", "measures", "quality", "shard", "Shard_Bytes",
-             "n_bytes", "addr", "t", "w", "g", "r", "n_chars", "blank", "own", "band", "masked"]
+             "n_bytes", "addr", "t", "w", "g", "r", "n_chars", "blank", "own", "band", "masked",
+             "h", "keep_id", "group_size", "kept", "text_sha256", "ties", "place", "first", "row", "part", "step", "filter", "n_least", "digest"]
     return df.select("*", *[F.lit(c).alias(c) for c in clash])
 
 

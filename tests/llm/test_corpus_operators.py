@@ -401,7 +401,7 @@ def test_sharding_edges(edges, nothing, scratch):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF001}/{t}.parquet'")
     got = QUERIES[name](spark, SF001)
     columns = sorted(got.columns)
@@ -410,7 +410,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert [int(k.split("_")[0][2:]) for k in QUERIES] == [*range(1, 11)]
+    assert [int(k.split("_")[0][2:]) for k in QUERIES] == [*range(1, 14)]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "decontaminate", "pii", "bpe"]
 
 

@@ -327,9 +327,14 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def counted(spans: Column, kind: int) -> Column:
+    # a lambda of two parameters would get the place in the array as the second
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     rows = found(docs, keep_text=False)
     base = F.filter("pii", lambda s: s["base"])
-    return rows.select("doc_id", *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)],
+    return rows.select("doc_id", *[counted(base, k).alias(f"n_{KINDS[k]}") for k in range(4)],
                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))

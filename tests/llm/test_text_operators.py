@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from barsmith.llm import bpe_codec, chat_format, pii, quality_rules, token_counts
+from tests.conftest import SF001
 from tests.llm.conftest import EDGES, LONG
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -44,6 +45,23 @@ def test_scans_are_linear_on_hostile_texts():
     assert isinstance(pii.spans_of(t), list)
 
 
+def test_pii_query_columns_on_a_whole_table(spark):
+    """Every column of the query's base part, recounted from the whole texts."""
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").collect()}
+    got = pii.q_pii(spark, SF001).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    totals = collections.Counter()
+    for r in got:
+        base = sorted(base_spans(texts[r.doc_id]))
+        own = collections.Counter(k for k, *_ in base)
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [own[k] for k in range(4)], r.doc_id
+        said = [f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in base]
+        assert r.base_sha256 == hashlib.sha256(",".join(said).encode()).hexdigest()
+        assert set(said) <= set(r.spans.split(",")) or not said
+        totals += own
+    assert all(totals[k] > 10 for k in range(4))
+
+
 def test_pii_adds_spans_and_keeps_the_base(spark):
     rnd = random.Random(5)
     texts = []

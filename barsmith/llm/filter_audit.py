@@ -48,13 +48,15 @@ def numbered(docs: DataFrame, labels: DataFrame, fails: dict[str, Column], copie
     # the numbers hold because the rows are written with them
     first = rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "audited")
     if copies:
-        # of equal texts all but those of the least id fail; most texts have one row and join nothing
-        least = rows.groupBy("digest").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("digest", "least")
+        # of equal texts all but those of the least id fail; most texts have one row and join nothing.
+        # Written, as Spark splits a hot digest only if it deals out both sides for the join
+        least = rows.groupBy("digest").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+        least = written(least.select("digest", "least"), "least")
         rows = rows.join(least, "digest", "left").withColumn("fails", F.when(F.col("id") > F.col("least"), F.concat("fails", F.array(F.lit(copies)))).otherwise(F.col("fails")))
     said = labels.groupBy(F.col("doc_id").alias("id")).agg(F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     out = rows.join(said, "id", "left").select("row", "part", *[F.coalesce(c, F.lit(0)).alias(c) for c in LABELS], "fails")
     out = written(out, "rows")
-    forget(first)
+    forget(first, *([least] if copies else []))
     return out
 
 

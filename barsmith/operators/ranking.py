@@ -1,28 +1,32 @@
-"""Distributed global ``rank()``.
+"""Distributed global ``rank()``, assigned in place.
 
 ``rank() OVER (ORDER BY v)`` with no PARTITION BY makes Spark move every row
-into a single task.  Here the rank of a row is ``1 + (rows with a strictly
-better value)``, computed without a single-partition step:
+into a single task.  Here:
 
-1. count rows per distinct value (partial aggregation, so a value shared by a
-   third of the rows collapses map-side);
-2. range-partition the distinct values and checkpoint them with their
-   partition id (range bounds are sampled, so a second evaluation may draw
-   others); running count inside each range partition;
-3. per-partition totals (same window stage) -> offsets: one row per
-   partition, a table whose size is bounded by the partition count, not by
-   the data;
-4. join the rank of each distinct value back onto the rows (equi-join on the
-   value; AQE splits a skewed value's partition).
+1. the scored rows are evaluated once and stored;
+2. an order-statistics table, one row with the values at evenly spaced places
+   of the order, splits them: a row either equals a split point or lies
+   between two neighbours, and the number of that cell orders the cells;
+3. the rows of each cell are counted (two cells a split point, so the table
+   of the rows before each cell is bounded by the partition count);
+4. rows that equal a split point all have the rank behind those counts, and
+   rows between two of them are ranked within their cell.
+
+A value that more rows hold than a cell may is a split point itself, so its rows
+take part in no window: a value held by a third of all rows costs a lookup
+each.  No row is joined with anything on a double.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barsmith.session import ensure_checkpoint_dir
 
 MAX_RANGE_PARTITIONS = 1024
+#: the split points' places are off by one in so many rows at most
+ACCURACY = 10_000
 
 
 def global_rank(
@@ -34,31 +38,33 @@ def global_rank(
 ) -> DataFrame:
     """``df`` plus ``rank_name`` = ``rank() OVER (ORDER BY value [DESC])`` as int.
 
-    NULL values rank last (Spark's default for DESC and ASC NULLS LAST)."""
+    NULL values rank last (Spark's default for DESC and ASC NULLS LAST); NaN is
+    the greatest number."""
     spark = df.sparkSession
-    # the default stays moderate -- the input is one row per distinct value --
-    # and only the task count is bounded, never the data
+    # only the number of cells is bounded, never the data
     parts = num_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGE_PARTITIONS)
-    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     ensure_checkpoint_dir(spark)
-    # both consumers below read the same stored partition ids
-    ranged = counts.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id()).checkpoint()
-    in_part = Window.partitionBy("_part")
-    ranged = (ranged
-              .withColumn("_before", F.coalesce(
-                  F.sum("_n").over(in_part.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-              .withColumn("_total", F.sum("_n").over(in_part)))
-
-    # one row per range partition: bounded by ``parts``, safe to broadcast
-    offsets = (ranged.groupBy("_part").agg(F.max("_total").alias("_total"))
-               .withColumn("_offset", F.coalesce(
-                   F.sum("_total").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)))
-               .select("_part", "_offset"))
-
-    ranks = ranged.join(F.broadcast(offsets), "_part").select(
-        F.col(value).alias("_v"), (F.col("_offset") + F.col("_before") + 1).cast("int").alias(rank_name)
-    )
-    return df.join(ranks, df[value].eqNullSafe(ranks["_v"]), "inner").drop("_v")
+    scored = df.checkpoint()
+    v = F.col(value)
+    number = v.isNotNull() & ~F.isnan(v.cast("double"))
+    places = [i / parts for i in range(parts + 1)]
+    # one row, at most a value a cell and one more
+    row = scored.where(number).agg(F.percentile_approx(value, places, ACCURACY)).first()
+    splits = F.lit(sorted(set(row[0]))).cast(T.ArrayType(df.schema[value].dataType)) if row[0] else F.array().cast(T.ArrayType(df.schema[value].dataType))
+    better = (lambda s: s > v) if descending else (lambda s: s < v)
+    # even cells lie between two split points, odd ones hold one value: a split point, NaN or NULL
+    nan, null = (F.lit(-1), F.lit(2 * parts + 5)) if descending else (F.lit(2 * parts + 3), F.lit(2 * parts + 5))
+    cell = (F.when(v.isNull(), null).when(F.isnan(v.cast("double")), nan)
+            .otherwise(2 * F.size(F.filter(splits, better)) + F.array_contains(splits, v).cast("int")))
+    placed = scored.withColumn("_cell", cell)
+    # at most two rows a split point: safe to broadcast, and to number in one task
+    tallies = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = F.sum("_n").over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1))
+    tallies = tallies.select("_cell", F.coalesce(ahead, F.lit(0)).alias("_ahead"))
+    placed = placed.join(F.broadcast(tallies), "_cell")
+    odd = F.col("_cell") % 2 != 0
+    order = v.desc_nulls_last() if descending else v.asc_nulls_last()
+    within = F.rank().over(Window.partitionBy("_cell").orderBy(order))
+    tied = placed.where(odd).withColumn(rank_name, F.col("_ahead") + 1)
+    between = placed.where(~odd).withColumn(rank_name, F.col("_ahead") + within)
+    return tied.unionByName(between).withColumn(rank_name, F.col(rank_name).cast("int")).drop("_cell", "_ahead")

@@ -3,6 +3,7 @@ driver's parquet tables (see FIXTURES.md)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barsmith.operators import quality
 from barsmith.sources import lineitem_bars as lb
@@ -10,18 +11,29 @@ from barsmith.sources import payloads
 from barsmith.sources.tables import spread, table
 
 
-def bars(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Validated-layout bars: one per (supplier ticker, ship day), whole table."""
-    return lb.bars_from_trades(trades(spark, data_dir))
+def bars(spark: SparkSession, data_dir: str, symbol: str | None = None) -> DataFrame:
+    """Validated-layout bars: one per (supplier ticker, ship day), whole table
+    or those of one symbol."""
+    return lb.bars_from_trades(trades(spark, data_dir, symbol))
 
 
-def trades(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Priced line items, whole table."""
-    return lb.trade_prices(spread(table(spark, data_dir, "lineitem"), "l_orderkey"))
+def trades(spark: SparkSession, data_dir: str, symbol: str | None = None) -> DataFrame:
+    """Priced line items, whole table or those of one symbol: a symbol stands for
+    one key, so the condition reaches the scan."""
+    items = table(spark, data_dir, "lineitem")
+    if symbol is not None:
+        return lb.trade_prices(items.where(F.col("l_suppkey") == F.lit(lb.key_of(symbol))))
+    return lb.trade_prices(spread(items, "l_orderkey"))
 
 
-def raw_bars(spark: SparkSession, data_dir: str) -> DataFrame:
-    return lb.raw_bars_from_bars(bars(spark, data_dir))
+def symbol_keys(spark: SparkSession, data_dir: str, symbols: DataFrame) -> DataFrame:
+    """The keys of the suppliers whose symbol is in ``symbols``."""
+    known = table(spark, data_dir, "supplier").selectExpr("s_suppkey as key", lb.symbol_of("s_suppkey") + " as symbol")
+    return known.join(symbols.select("symbol"), "symbol", "left_semi").select("key")
+
+
+def raw_bars(spark: SparkSession, data_dir: str, symbol: str | None = None) -> DataFrame:
+    return lb.raw_bars_from_bars(bars(spark, data_dir, symbol))
 
 
 def valid_bars(spark: SparkSession, data_dir: str) -> DataFrame:

@@ -136,7 +136,8 @@ def q_dedupe_bars(spark, d):
 
 
 def q_inspect_symbol(spark, d):
-    return bars_ops.inspect_symbol(inputs.raw_bars(spark, d), "AAB", "1997-01-01", "1997-12-31")
+    # the condition on the symbol's key is pushed down to the scan of the trades
+    return bars_ops.inspect_symbol(inputs.raw_bars(spark, d, "AAB"), "AAB", "1997-01-01", "1997-12-31")
 
 
 def q_company_list(spark, d):
@@ -174,8 +175,9 @@ def q_name_match(spark, d):
 
 def q_bars_for_valid_tickers(spark, d):
     valid = tickers.valid_symbols(q_ticker_vetting(spark, d))
-    # the trades are cut down before they are aggregated
-    return lb.bars_from_trades(bars_ops.for_symbols(inputs.trades(spark, d), valid)).select(*lb.BAR_COLUMNS)
+    # the trades are cut down before they are aggregated, by key
+    keys = inputs.symbol_keys(spark, d, valid)
+    return lb.bars_from_trades(inputs.trades(spark, d).join(keys, "key", "left_semi")).select(*lb.BAR_COLUMNS)
 
 
 QUERIES: dict[str, Query] = {

@@ -20,6 +20,8 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.hadoop.mapreduce.fileoutputcommitter.marksuccessfuljobs": "false",
+    # HotSpot never compiles a method past 8000 bytes: split such a stage rather than run it interpreted
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # no Python call-site capture per column function (plan construction cost)
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

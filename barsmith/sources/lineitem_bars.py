@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barsmith.functions.dates import date_to_epoch_ms
+from barsmith.functions.keys import packed_key
 
 # Fixed value: ingest stamp used for derived bars so results are reproducible.
 DERIVED_INGESTED_AT = "2026-01-05 00:00:00"
@@ -26,29 +27,50 @@ SYMBOL_WIDTHS = (3, 4, 5, 6, 7)
 
 
 def symbol_of(k: str) -> str:
-    """SQL text: the symbol of a non-negative integer key."""
-    arms, below = [], 0
-    for width in SYMBOL_WIDTHS:
-        letters = [f"chr(65 + cast((({k} - {below}) div {26 ** i}) % 26 as int))" for i in reversed(range(width))]
-        arms.append(f"when {k} < {below + 26 ** width} then concat({', '.join(letters[:5] + (['\'.\''] + letters[5:] if width > 5 else []))})")
-        below += 26 ** width
-    return f"(case {' '.join(arms)} else conv({k}, 10, 36) end)"
+    """SQL text: the symbol of a non-negative integer key.  Digits of base 26
+    become letters; one short expression, as plans evaluate it in several places
+    and methods past the JIT's size limit run interpreted."""
+    bounds, belows, widths = 0, [], []
+    for w in SYMBOL_WIDTHS:
+        belows.append(f"when {k} < {bounds + 26 ** w} then {bounds}L")
+        widths.append(f"when {k} < {bounds + 26 ** w} then {w}")
+        bounds += 26 ** w
+    digits = "0123456789ABCDEFGHIJKLMNOP"
+    letters = (f"lpad(translate(conv({k} - case {' '.join(belows)} end, 10, 26), '{digits}', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), "
+               f"case {' '.join(widths)} end, 'A')")
+    first = SYMBOL_WIDTHS[0] + 2
+    short = sum(26 ** w for w in SYMBOL_WIDTHS if w <= first)
+    return (f"case when {k} < {short} then {letters} when {k} < {bounds} then concat(left({letters}, {first}), '.', substr({letters}, {first + 1})) "
+            f"else conv({k}, 10, 36) end")
+
+
+def key_of(symbol: str) -> int | None:
+    """The key that :func:`symbol_of` gives this symbol; None if none does."""
+    letters = symbol.replace(".", "", 1) if len(symbol) > 5 and symbol[5] == "." else symbol
+    if len(letters) in SYMBOL_WIDTHS and all("A" <= c <= "Z" for c in letters) and ((len(letters) > 5) == ("." in symbol)):
+        below = sum(26 ** w for w in SYMBOL_WIDTHS if w < len(letters))
+        return below + sum((ord(c) - 65) * 26 ** i for i, c in enumerate(reversed(letters)))
+    first = sum(26 ** w for w in SYMBOL_WIDTHS)
+    try:
+        key = int(symbol, 36)
+    except ValueError:
+        return None
+    return key if key >= first and symbol == symbol.upper() else None
+
+
+#: the trades of a day come by order, line and part; what is equal in these by price in cents
+TRADE_ORDER = (("l_orderkey", 44), ("l_linenumber", 8), ("l_partkey", 40), ("cents", 34))
 
 
 def trade_prices(lineitem: DataFrame) -> DataFrame:
     """Unit price per line item, floored to cents (floor, not round: the two
     engines round doubles differently at ties).  A row without a positive
     quantity has no price and no place in the order of trades; a bar made of
-    such rows alone has NULL prices and ends in quarantine.  The order of
-    trades takes all fields that a price depends on, so ties are equal."""
-    priced = "l_quantity > 0"
-    return lineitem.selectExpr(
-        symbol_of("l_suppkey") + " as symbol",
-        "to_date(l_shipdate) as date",
-        f"case when {priced} then floor(l_extendedprice * 100 / l_quantity) / 100 end as p",
-        "l_quantity",
-        f"case when {priced} then struct(l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) end as k",
-    )
+    such rows alone has NULL prices and ends in quarantine.  The order is a
+    key of fixed width; trades that tie in it have equal prices."""
+    cents = "case when l_quantity > 0 then floor(l_extendedprice * 100 / l_quantity) end as cents"
+    return lineitem.selectExpr("l_suppkey as key", "to_date(l_shipdate) as date", "l_quantity", "l_orderkey", "l_linenumber", "l_partkey", cents).selectExpr(
+        "key", "date", "l_quantity", "cents / 100 as p", f"{packed_key(TRADE_ORDER)} as k")
 
 
 def bars_from_lineitem(lineitem: DataFrame, ingested_at: str = DERIVED_INGESTED_AT) -> DataFrame:
@@ -57,17 +79,17 @@ def bars_from_lineitem(lineitem: DataFrame, ingested_at: str = DERIVED_INGESTED_
 
 
 def bars_from_trades(trades: DataFrame, ingested_at: str = DERIVED_INGESTED_AT) -> DataFrame:
-    """:func:`bars_from_lineitem` over :func:`trade_prices` rows."""
-    return trades.groupBy("symbol", "date").agg(
+    """:func:`bars_from_lineitem` over :func:`trade_prices` rows.  Trades are
+    grouped by key and a group is named afterwards, as no two keys share a symbol."""
+    return trades.groupBy("key", "date").agg(
         F.expr("min_by(p, k)").alias("open"),
         F.expr("max(p)").alias("high"),
         F.expr("min(p)").alias("low"),
         F.expr("max_by(p, k)").alias("close"),
         F.expr("cast(sum(l_quantity) as bigint)").alias("volume"),
-        F.expr("cast(null as double)").alias("vwap"),
         F.expr("count(1)").alias("transactions"),
-        F.expr(f"timestamp'{ingested_at}'").alias("ingested_at"),
-    )
+    ).selectExpr(f"{symbol_of('key')} as symbol", "date", "open", "high", "low", "close", "volume", "cast(null as double) as vwap",
+                 "transactions", f"timestamp'{ingested_at}' as ingested_at")
 
 
 def raw_bars_from_bars(bars: DataFrame) -> DataFrame:

@@ -79,14 +79,29 @@ t1 as (select symbol, start_price, end_price, relative_increase,
               cast(rank() over (order by relative_increase desc) as integer) as rank
        from t1_scored)"""
 
-T3 = VALID + """,
+def refined_root(n: int, source: str, out: str) -> str:
+    """CTEs: ``source`` with ``root``, the n-th root of its column x, from pow and
+    one Newton step whose remainder is carried in two doubles."""
+    steps = [f"select *, pow(x, 1.0 / {n}) as y from {source}", "select *, 134217729.0 * y - (134217729.0 * y - y) as y1 from {}",
+             "select *, y - y1 as y2, y as hi, 0.0::double as lo, {n}.0::double as slope from {}".replace("{n}", str(n))]
+    for _ in range(n - 1):
+        steps += ["select *, hi * y as p, 134217729.0 * hi - (134217729.0 * hi - hi) as h1 from {}", "select *, hi - h1 as h2 from {}",
+                  "select *, (((h1 * y1 - p) + h1 * y2 + h2 * y1) + h2 * y2) + lo * y as e from {}",
+                  "select * replace (p + e as hi, e - ((p + e) - p) as lo, slope * y as slope) from {}", "select * exclude (p, h1, h2, e) from {}"]
+    steps.append("select *, y + ((x - hi) - lo) / slope as root from {}")
+    names = [f"{out}_{i}" for i in range(len(steps) - 1)] + [out]
+    return ",\n".join(f"{name} as ({step.format(names[i - 1] if i else source)})" for i, (name, step) in enumerate(zip(names, steps)))
+
+
+T3 = VALID + f""",
 t3_anchor as (select symbol,
                      arg_max(close, date) filter (where month(date) = 1) as start_price,
                      arg_max(close, date) filter (where month(date) = 6) as end_price
               from valid group by symbol),
-t3_scored as (select symbol, start_price, end_price, cast(5 as integer) as n_months,
-                     pow(end_price / start_price, 1.0 / 5) - 1.0 as monthly_cagr
-              from t3_anchor where start_price is not null and end_price is not null and start_price > 0),
+t3_ratio as (select *, end_price / start_price as x
+             from t3_anchor where start_price is not null and end_price is not null and start_price > 0),
+{refined_root(5, "t3_ratio", "t3_root")},
+t3_scored as (select symbol, start_price, end_price, cast(5 as integer) as n_months, root - 1.0 as monthly_cagr from t3_root),
 t3 as (select symbol, start_price, end_price, n_months, monthly_cagr,
               cast(rank() over (order by monthly_cagr desc) as integer) as rank
        from t3_scored)"""

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from barsmith.plans import inputs
@@ -125,6 +126,34 @@ def test_symbols_are_injective_and_well_formed(spark):
     assert got == ["ZZZ", "AAAA", "ZZZZ", "AAAAA", "ZZZZZ", "AAAAA.A", "ZZZZZ.Z", "AAAAA.AA", "ZZZZZ.ZZ"]
 
 
+def test_key_of_a_symbol():
+    edge = {0: "AAA", 1: "AAB", 17_575: "ZZZ", 17_576: "AAAA", 474_552: "AAAAA", 12_355_928: "AAAAA.A", 321_271_704: "AAAAA.AA", 8_353_081_879: "ZZZZZ.ZZ"}
+    assert {k: lb.key_of(s) for k, s in edge.items()} == {k: k for k in edge}
+    assert [lb.key_of(s) for s in ("", "AA", "aab", "AAAAAA", "A.A", "AAAAA.AAA", "A B", "3V55555")] == [None] * 7 + [int("3V55555", 36)]
+    assert lb.key_of("0") is None and lb.key_of("3v55555") is None
+
+
+def test_packed_keys_order_like_structs(spark):
+    import itertools
+    import random
+
+    from barsmith.functions.keys import packed_key
+    rnd = random.Random(1)
+    edges = [[0, 1, (1 << b) - 1, rnd.getrandbits(b)] for b in (44, 8, 40, 34)]
+    data = [x for x in itertools.product(*edges)]
+    df = spark.createDataFrame(data, "a long, b int, c long, d long")
+    rows_ = df.selectExpr("struct(a, b, c, d) as s", packed_key([("a", 44), ("b", 8), ("c", 40), ("d", 34)]) + " as k").collect()
+    assert dict(df.selectExpr(packed_key([("a", 44), ("b", 8), ("c", 40), ("d", 34)]) + " as k").dtypes)["k"] == "decimal(38,0)"
+    assert [tuple(r.s) for r in sorted(rows_, key=lambda r: r.k)] == sorted(data) and len({r.k for r in rows_}) == len(set(data))
+    null = spark.createDataFrame([(None, 1)], "a long, b long").selectExpr(packed_key([("a", 60), ("b", 60)]) + " as k").collect()
+    assert null[0].k is None
+    for bad in (-1, 16):
+        with pytest.raises(Exception, match="does not fit"):
+            spark.createDataFrame([(1, bad)], "a long, b long").selectExpr(packed_key([("a", 60), ("b", 4)]) + " as k").collect()
+    with pytest.raises(ValueError):
+        packed_key([("a", 64), ("b", 64)])
+
+
 def test_trades_without_a_quantity_reach_quarantine(spark):
     from barsmith.operators import quality
 

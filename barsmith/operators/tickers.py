@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from barsmith.functions.names import names_match
 from barsmith.functions.symbols import normalise_symbol, symbol_format_ok
+from barsmith.operators.asof import as_of as last_known
 
 # Verdict texts.
 EMPTY_SYMBOL = "Empty symbol"
@@ -68,24 +69,32 @@ def first_listings(companies: DataFrame) -> DataFrame:
             .withColumn("is_first", F.lit(True)))
 
 
-def vet_tickers(companies: DataFrame, reference: DataFrame, as_of: str | None = None) -> DataFrame:
+def vet_tickers(companies: DataFrame, reference: DataFrame, as_of: str | None = None, listed_on: str | None = None) -> DataFrame:
     """One verdict per company-list row (``position, company_name, symbol``).
 
+    The reference record of a symbol is the latest on or before ``as_of``, or,
+    if ``listed_on`` names a date column of ``companies``, on or before the date
+    of that very listing (a listing without a date finds no record).
+
     ``outcome`` is ``valid``, ``invalid`` or ``duplicate`` (a repeat of an
     earlier row; only warned about, neither valid nor invalid)."""
     rows = companies.select(
         "position", F.col("company_name").alias("expected_name"),
         F.coalesce(normalise_symbol(F.col("symbol")), F.lit("")).alias("symbol"),
+        *([F.col(listed_on).cast("date").alias("listed_on")] if listed_on else []),
     )
     rows = (rows.join(first_listings(rows), ["symbol", "position"], "left")
             .withColumn("expected_name", F.coalesce("last_name", "expected_name")).drop("last_name"))
     # only what can be looked up goes to the lookup: one row a symbol, so no
     # blank or repeated symbol is a hot key of the join
     looked_up = F.coalesce(F.col("is_first"), F.lit(False)) & symbol_format_ok(F.col("symbol"))
-    ref = reference_as_of(reference, as_of).select(
-        "symbol", "http_status", "active", "type", F.col("name").alias("actual_name"),
-        F.lit(True).alias("_has_record"))
-    found = rows.where(looked_up).join(ref, "symbol", "left")
+    record = ["http_status", "active", "type", F.col("name").alias("actual_name"), F.lit(True).alias("_has_record")]
+    if listed_on:
+        known = reference.select(normalise_symbol(F.col("symbol")).alias("symbol"), "as_of", *record)
+        found = last_known(rows.where(looked_up), known, "symbol", "listed_on", "as_of",
+                           prefer=[F.col("http_status").asc_nulls_last(), F.col("actual_name").asc_nulls_last()]).drop("as_of")
+    else:
+        found = rows.where(looked_up).join(reference_as_of(reference, as_of).select("symbol", *record), "symbol", "left")
     joined = found.unionByName(rows.where(~looked_up), allowMissingColumns=True)
 
     sym = F.col("symbol")
@@ -150,5 +159,13 @@ def report(vetting: DataFrame) -> DataFrame:
     )
 
 
+def findings(vetting: DataFrame) -> DataFrame:
+    """(kind, position, symbol, text): each warning and each invalid symbol with
+    its reason, as the report lists them; a row may have both."""
+    kinds = [("warning", F.col("warning")), ("invalid", F.when(F.col("outcome") == "invalid", F.col("reason")))]
+    said = F.filter(F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("text")) for k, c in kinds]), lambda x: x["text"].isNotNull())
+    return vetting.select("position", "symbol", F.explode(said).alias("_f")).select("_f.kind", "position", "symbol", "_f.text")
+
+
 def valid_symbols(vetting: DataFrame) -> DataFrame:
     return vetting.where(F.col("outcome") == "valid").select("symbol").distinct()

@@ -49,10 +49,18 @@ def ticker_reference(spark: SparkSession, data_dir: str) -> DataFrame:
     return lb.ticker_reference_from_supplier(table(spark, data_dir, "supplier"))
 
 
+def responses(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Landed responses, read."""
+    return payloads.parse_payload_lines(lb.payload_lines_from_bars(bars(spark, data_dir)))
+
+
 def landed_bars(spark: SparkSession, data_dir: str) -> DataFrame:
     """RAW bars as they come out of the landed-envelope scan."""
-    lines = lb.payload_lines_from_bars(bars(spark, data_dir))
-    return payloads.bars_from_payloads(payloads.parse_payload_lines(lines), lb.DERIVED_INGESTED_AT)
+    return payloads.bars_from_payloads(responses(spark, data_dir), lb.DERIVED_INGESTED_AT)
+
+
+def reference_history(spark: SparkSession, data_dir: str) -> DataFrame:
+    return lb.reference_history_from_lineitem(table(spark, data_dir, "lineitem"))
 
 
 def listings(spark: SparkSession, data_dir: str) -> DataFrame:

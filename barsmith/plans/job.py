@@ -10,6 +10,9 @@ the gate.  The valid partition is read once (four columns) into the
 de-duplicated ``valid_closes`` table, which is scanned once for the per-symbol
 anchors behind T1-T3 (also written) and once for T4's weeks.  The only values
 brought to the driver are one-row summaries for the report.
+
+All tables of a run lie in a folder of its own and are published as one when
+the last is written (:mod:`barsmith.plans.publish`).
 """
 from __future__ import annotations
 
@@ -23,6 +26,7 @@ from barsmith.functions.symbols import normalise_symbol
 from barsmith.operators import bars as bars_ops
 from barsmith.operators import quality, tickers
 from barsmith.plans import analytics, portfolio
+from barsmith.plans.publish import Folder, Run, published
 from barsmith.schemas import RAW_BARS, TICKER_REFERENCE, TICKER_VETTING
 from barsmith.sources import bar_store, company_list, payloads
 
@@ -51,14 +55,13 @@ class JobConfig:
     # one bar per (symbol, date) before the analytics (re-deliveries: latest wins)
     dedupe: bool = True
 
-    def path(self, name: str) -> str:
-        return f"{self.output_dir.rstrip('/')}/{name}"
-
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+def stored_raw(spark: SparkSession, root: str) -> str | None:
+    """The folder of the RAW bars: those of the published run, else a store that
+    was put at ``raw`` by hand."""
+    if path := published(spark, root).get("raw"):
+        return path
+    return f"{root.rstrip('/')}/raw" if Folder(spark, root).exists("raw") else None
 
 
 def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
@@ -67,7 +70,7 @@ def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ingest(spark: SparkSession, cfg: JobConfig) -> DataFrame:
+def ingest(spark: SparkSession, cfg: JobConfig, run_: Run) -> DataFrame:
     """Landed envelopes for the requested (optionally vetted) symbols -> RAW
     store; returns the store read back."""
     if not cfg.companies_path or not cfg.payloads_path:
@@ -78,8 +81,9 @@ def ingest(spark: SparkSession, cfg: JobConfig) -> DataFrame:
             raise JobError("--validate-tickers needs reference_path")
         reference = spark.read.schema(TICKER_REFERENCE).parquet(cfg.reference_path)
         vetting = _stored(spark, tickers.vet_tickers(companies, reference, as_of=cfg.start_date).select(*TICKER_VETTING.names),
-                          cfg.path("ticker_vetting"))
-        bar_store.write_result(tickers.report(vetting), cfg.path("ticker_report"))
+                          run_.path("ticker_vetting"))
+        bar_store.write_result(tickers.report(vetting), run_.path("ticker_report"))
+        bar_store.write_result(tickers.findings(vetting), run_.path("ticker_findings"))
         requested = tickers.valid_symbols(vetting)
         if requested.isEmpty():
             raise JobError("No valid tickers to fetch. Aborting.")
@@ -87,25 +91,31 @@ def ingest(spark: SparkSession, cfg: JobConfig) -> DataFrame:
         requested = (companies.select(normalise_symbol(F.col("symbol")).alias("symbol"))
                      .where(F.col("symbol") != "").distinct())
     stamp = cfg.ingested_at or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    landed = payloads.bars_from_payloads(payloads.read_payload_files(spark, cfg.payloads_path), stamp)
+    responses = payloads.read_payload_files(spark, cfg.payloads_path)
+    landed = payloads.bars_from_payloads(responses, stamp)
     # the requested range applies at the source, as a date-ranged fetch would
     landed = bars_ops.restrict_dates(landed, cfg.start_date, cfg.end_date)
     raw = bars_ops.for_symbols(landed, requested)
-    bar_store.write_bars(raw, cfg.path("raw"))
-    raw = bar_store.read_bars(spark, cfg.path("raw"), RAW_BARS)
-    bar_store.write_result(payloads.fetch_failures(requested, raw), cfg.path("fetch_failures"))
-    bar_store.write_result(payloads.bars_per_symbol(raw), cfg.path("bars_per_symbol"))
+    bar_store.write_bars(raw, run_.path("raw"))
+    raw = bar_store.read_bars(spark, run_.path("raw"), RAW_BARS)
+    bar_store.write_result(payloads.fetch_failures(requested, responses), run_.path("fetch_failures"))
+    bar_store.write_result(payloads.corrupt_responses(responses), run_.path("corrupt_responses"))
+    bar_store.write_result(payloads.bars_per_symbol(raw), run_.path("bars_per_symbol"))
     return raw
 
 
 def run(spark: SparkSession, cfg: JobConfig) -> dict:
-    """Run the whole job; returns the one-row summaries as plain values."""
+    """Run the whole job and publish its tables; returns the one-row summaries as
+    plain values."""
+    run_ = Run(spark, cfg.output_dir)
     if cfg.skip_ingestion:
-        if not _exists(spark, cfg.path("raw")):
-            raise JobError(f"--skip-ingestion was set but no raw data found at '{cfg.path('raw')}'")
-        raw = bar_store.read_bars(spark, cfg.path("raw"), RAW_BARS)
+        path = stored_raw(spark, cfg.output_dir)
+        if path is None:
+            raise JobError(f"--skip-ingestion was set but no raw data found below '{cfg.output_dir}'")
+        run_.tables["raw"] = path  # stays where an earlier run wrote it
+        raw = bar_store.read_bars(spark, path, RAW_BARS)
     else:
-        raw = ingest(spark, cfg)
+        raw = ingest(spark, cfg, run_)
 
     # one pass over RAW: every row lands in layer=valid or layer=quarantine, in
     # its month's folder, so that the analysis period prunes
@@ -113,12 +123,12 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
                .withColumn("layer", F.when(F.col(quality.REASON).isNull(), F.lit("valid")).otherwise(F.lit("quarantine")))
                .withColumn(bar_store.MONTH, bar_store.month_of()))
     (flagged.hint("rebalance", "layer", bar_store.MONTH)
-        .write.mode("overwrite").partitionBy("layer", bar_store.MONTH).parquet(cfg.path("gated")))
-    gated = spark.read.schema(flagged.schema).parquet(cfg.path("gated"))
+        .write.mode("overwrite").partitionBy("layer", bar_store.MONTH).parquet(run_.path("gated")))
+    gated = spark.read.schema(flagged.schema).parquet(run_.path("gated"))
     # reasons and metrics from one aggregate over the gated table
-    outcomes = _stored(spark, quality.outcome_counts(gated), cfg.path("gate_outcomes"))
-    bar_store.write_result(outcomes.where(F.col(quality.REASON).isNotNull()), cfg.path("quarantine_reasons"))
-    bar_store.write_result(quality.metrics_from_counts(outcomes), cfg.path("validation_metrics"))
+    outcomes = _stored(spark, quality.outcome_counts(gated), run_.path("gate_outcomes"))
+    bar_store.write_result(outcomes.where(F.col(quality.REASON).isNotNull()), run_.path("quarantine_reasons"))
+    bar_store.write_result(quality.metrics_from_counts(outcomes), run_.path("validation_metrics"))
     valid = valid_in_period(gated, cfg)
 
     if cfg.dedupe:
@@ -126,10 +136,10 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
         # first/last close arbitrary.  Only the columns the analytics read are
         # shuffled, and the result is written once for both consumers below.
         narrow = bars_ops.dedupe_bars(valid.select("symbol", "date", "close", "ingested_at"))
-        valid = _stored(spark, narrow, cfg.path("valid_closes"))
+        valid = _stored(spark, narrow, run_.path("valid_closes"))
 
     # one scan of VALID answers T1-T3: the per-symbol anchors are written once
-    anchors = _stored(spark, analytics.symbol_anchors(valid), cfg.path("symbol_anchors"))
+    anchors = _stored(spark, analytics.symbol_anchors(valid), run_.path("symbol_anchors"))
     allocation = portfolio.allocation_from_anchors(anchors, cfg.investment_per_stock)
     results = {
         "t1_relative_increase": analytics.relative_increase_from_anchors(anchors),
@@ -140,10 +150,12 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
         "t4_weekly_decrease": analytics.worst_weeks(valid, k=1),
     }
     for name, df in results.items():
-        bar_store.write_result(df, cfg.path(name))
+        # a ranked result's files come in rank order
+        (bar_store.write_ranked if "rank" in df.columns else bar_store.write_result)(df, run_.path(name))
+    run_.publish()
 
     def stored(name: str) -> DataFrame:
-        return spark.read.schema(results[name].schema).parquet(cfg.path(name))
+        return spark.read.schema(results[name].schema).parquet(run_.path(name))
 
     def one(df: DataFrame) -> dict | None:
         """The first row; of tied winners that of the first symbol."""

@@ -16,6 +16,7 @@ from barsmith.functions import names
 from barsmith.operators import bars as bars_ops
 from barsmith.operators import quality, tickers
 from barsmith.operators.anchors import first_last_window
+from barsmith.operators.asof import as_of
 from barsmith.plans import analytics, inputs, portfolio
 from barsmith.session import ensure_checkpoint_dir
 from barsmith.sources import bar_store, company_list, payloads
@@ -93,7 +94,11 @@ def q_bars_from_json(spark, d):
 
 
 def q_fetch_failures(spark, d):
-    return payloads.fetch_failures(inputs.company_list(spark, d), inputs.landed_bars(spark, d))
+    return payloads.fetch_failures(inputs.company_list(spark, d), inputs.responses(spark, d))
+
+
+def q_corrupt_responses(spark, d):
+    return payloads.corrupt_responses(inputs.responses(spark, d))
 
 
 def q_bars_per_symbol(spark, d):
@@ -140,6 +145,18 @@ def q_inspect_symbol(spark, d):
     return bars_ops.inspect_symbol(inputs.raw_bars(spark, d, "AAB"), "AAB", "1997-01-01", "1997-12-31")
 
 
+def q_store_slice(spark, d):
+    """Three symbols' bars out of a store clustered by symbol."""
+    path = _scratch(spark, "slices")
+    bar_store.write_clustered(inputs.raw_bars(spark, d), path)
+    return _kept(bar_store.read_slice(spark, path, ["AAB", "AAZ", "ABC"]).drop("ingested_at"), path)
+
+
+def q_bars_as_of_reference(spark, d):
+    """Every bar with the reference record known on its day."""
+    return as_of(inputs.bars(spark, d).select("symbol", "date", "close"), inputs.reference_history(spark, d), "symbol", "date", "as_of")
+
+
 def q_company_list(spark, d):
     path = _scratch(spark, "companies")
     company_list.write_company_list(inputs.company_list(spark, d), path)
@@ -150,6 +167,12 @@ def q_ticker_vetting(spark, d):
     return tickers.vet_tickers(inputs.listings(spark, d), inputs.ticker_reference(spark, d), as_of="1997-01-01")
 
 
+def q_ticker_vetting_as_listed(spark, d):
+    """Each listing vetted by what was known on its own date."""
+    dated = inputs.listings(spark, d).withColumn("listed_on", F.expr("date_add(date'1988-01-01', cast(position * 197 % 20000 as int))"))
+    return tickers.vet_tickers(dated, inputs.ticker_reference(spark, d), listed_on="listed_on")
+
+
 def q_ticker_duplicates(spark, d):
     return tickers.duplicates(inputs.listings(spark, d))
 
@@ -158,6 +181,10 @@ def q_ticker_report(spark, d):
     return tickers.report(q_ticker_vetting(spark, d))
 
 
+def q_ticker_findings(spark, d):
+    return tickers.findings(q_ticker_vetting(spark, d))
+
+
 def q_name_match(spark, d):
     """Expected (listing) vs actual (reference) name for every supplier."""
     companies = inputs.company_list(spark, d)
@@ -194,15 +221,20 @@ QUERIES: dict[str, Query] = {
     "portfolio_summary": q_portfolio_summary,
     "bars_from_json": q_bars_from_json,
     "fetch_failures": q_fetch_failures,
+    "corrupt_responses": q_corrupt_responses,
     "bars_per_symbol": q_bars_per_symbol,
     "raw_roundtrip": q_raw_roundtrip,
     "restrict_dates": q_restrict_dates,
     "dedupe_bars": q_dedupe_bars,
     "inspect_symbol": q_inspect_symbol,
+    "store_slice": q_store_slice,
+    "bars_as_of_reference": q_bars_as_of_reference,
     "company_list": q_company_list,
     "ticker_vetting": q_ticker_vetting,
+    "ticker_vetting_as_listed": q_ticker_vetting_as_listed,
     "ticker_duplicates": q_ticker_duplicates,
     "ticker_report": q_ticker_report,
+    "ticker_findings": q_ticker_findings,
     "name_match": q_name_match,
     "bars_for_valid_tickers": q_bars_for_valid_tickers,
     "validate_valid": q_validate_valid,

@@ -69,6 +69,47 @@ def read_bars(spark: SparkSession, path: str, schema=RAW_BARS,
     return df.select(*names)
 
 
+def write_clustered(df: DataFrame, path: str, files: int | None = None, row_group_bytes: int = 16 << 20, bloom_distinct: int = 100_000) -> None:
+    """Overwrite ``path`` with ``df`` laid out for symbol slices: range-clustered
+    by (symbol, date), so that a symbol lies in one run of neighbouring files,
+    which are sorted, with min/max statistics per row group and a bloom filter on
+    the symbol for those whose range covers a symbol they don't hold.
+
+    A symbol that holds a third of all bars is cut by date over many files."""
+    count = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartitionByRange(count, "symbol", "date").sortWithinPartitions("symbol", "date")
+        .write.mode("overwrite")
+        .option("parquet.block.size", row_group_bytes)
+        .option("parquet.bloom.filter.enabled#symbol", "true")
+        .option("parquet.bloom.filter.expected.ndv#symbol", bloom_distinct)
+        .parquet(path))
+
+
+def read_slice(spark: SparkSession, path: str, symbols: Sequence[str], date_from: str | None = None, date_to: str | None = None, schema=RAW_BARS) -> DataFrame:
+    """The bars of ``symbols`` from a clustered store.  The conditions reach the
+    reader, which skips row groups by statistics and bloom filter."""
+    out = spark.read.schema(schema).parquet(path).where(F.col("symbol").isin(*symbols))
+    if date_from is not None:
+        out = out.where(F.col("date") >= date_from)
+    if date_to is not None:
+        out = out.where(F.col("date") <= date_to)
+    return out
+
+
+def write_ranked(df: DataFrame, path: str, by: Sequence[str] = ("rank", "symbol"), files: int | None = None) -> None:
+    """Overwrite ``path`` with ``df`` in the order of ``by``: files are ranges,
+    numbered in that order by name (``part-00000`` first), and sorted inside."""
+    count = files or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1024)
+    df.repartitionByRange(count, *by).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
+
+
+def read_ranked(spark: SparkSession, path: str, schema: StructType, first: int | None = None, by: Sequence[str] = ("rank", "symbol")) -> DataFrame:
+    """A result that :func:`write_ranked` stored, in rank order: all rows, or
+    those ranked up to ``first``, for which only the first files are read."""
+    out = spark.read.schema(schema).parquet(path)
+    return (out if first is None else out.where(F.col(by[0]) <= first)).orderBy(*by)
+
+
 def write_result(df: DataFrame, path: str) -> None:
     """Overwrite one result folder (also when the result is empty)."""
     df.write.mode("overwrite").parquet(path)

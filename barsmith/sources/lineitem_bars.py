@@ -150,6 +150,8 @@ ERROR_ENVELOPE_LETTER = "C"  # status ERROR with a message
 NOT_JSON_LETTER = "D"  # the landed line is not JSON at all
 NO_RESULTS_LETTER = "E"  # status OK but ``results`` missing
 DELAYED_LETTER = "F"  # status DELAYED, with bars
+NEVER_LANDED_LETTER = "G"  # no response at all
+RECORD_LETTERS = ("D", "H")  # landed as a record of request and body
 
 
 def payload_lines_from_bars(bars: DataFrame) -> DataFrame:
@@ -170,16 +172,26 @@ def payload_lines_from_bars(bars: DataFrame) -> DataFrame:
     last = F.substring("symbol", -1, 1)
     ok = F.to_json(F.struct(F.col("symbol").alias("ticker"), F.when(last == DELAYED_LETTER, "DELAYED").otherwise("OK").alias("status"),
                             F.size("results").cast("long").alias("resultsCount"), "results"))
-    return grouped.select(
-        F.when(last == ERROR_ENVELOPE_LETTER,
-               F.to_json(F.struct(F.col("symbol").alias("ticker"), F.lit("ERROR").alias("status"),
-                                  F.lit("Unknown API Key").alias("error"))))
-        .when(last == NOT_JSON_LETTER, F.lit("<html>504 Gateway Time-out</html>"))
-        .when(last == NO_RESULTS_LETTER,
-              F.to_json(F.struct(F.col("symbol").alias("ticker"), F.lit("OK").alias("status"),
-                                 F.lit(0).cast("long").alias("resultsCount"))))
-        .otherwise(ok).alias("value")
-    )
+    body = (F.when(last == ERROR_ENVELOPE_LETTER,
+                   F.to_json(F.struct(F.col("symbol").alias("ticker"), F.lit("ERROR").alias("status"),
+                                      F.lit("Unknown API Key").alias("error"))))
+            .when(last == NOT_JSON_LETTER, F.lit("<html>504 Gateway Time-out</html>"))
+            .when(last == NO_RESULTS_LETTER,
+                  F.to_json(F.struct(F.col("symbol").alias("ticker"), F.lit("OK").alias("status"),
+                                     F.lit(0).cast("long").alias("resultsCount"))))
+            .otherwise(ok))
+    record = F.to_json(F.struct(F.col("symbol").alias("requested"), body.alias("body")))
+    return grouped.where(last != NEVER_LANDED_LETTER).select(F.when(last.isin(*RECORD_LETTERS), record).otherwise(body).alias("value"))
+
+
+def reference_history_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """A reference record a (supplier, ship month), known from a day in that
+    month on that depends on both, with a status that changes over time."""
+    months = lineitem.selectExpr("l_suppkey as k", "trunc(to_date(l_shipdate), 'month') as m").distinct()
+    return months.selectExpr(
+        f"{symbol_of('k')} as symbol", "date_add(m, cast((k * 7 + month(m) * 5) % 28 as int)) as as_of",
+        "cast(case (k + year(m) * 12 + month(m)) % 9 when 0 then 404 when 1 then null when 2 then 403 else 200 end as int) as http_status",
+        "case when (k + month(m)) % 5 = 0 then 'ETF' else 'CS' end as type")
 
 
 # Hand-made listing rows for the format / blank / duplicate

@@ -8,6 +8,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from barsmith.operators.bars import inspect_symbol  # noqa: E402
+from barsmith.plans.job import stored_raw  # noqa: E402
 from barsmith.schemas import RAW_BARS  # noqa: E402
 from barsmith.session import get_session  # noqa: E402
 from barsmith.sources.bar_store import read_bars  # noqa: E402
@@ -21,7 +22,7 @@ def main(argv=None) -> int:
     p.add_argument("--output", default="output")
     a = p.parse_args(argv)
     spark = get_session("barsmith-inspect")
-    raw = read_bars(spark, f"{a.output.rstrip('/')}/raw", RAW_BARS,
+    raw = read_bars(spark, stored_raw(spark, a.output) or f"{a.output.rstrip('/')}/raw", RAW_BARS,
                     month_from=a.date_from[:7], month_to=a.date_to[:7])
     inspect_symbol(raw, a.symbol, a.date_from, a.date_to).show(100, truncate=False)
     spark.stop()

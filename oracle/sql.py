@@ -183,12 +183,19 @@ ORACLE: dict[str, str] = {
                case when volume % 73 = 0 then 0.0::double else open end as open, high, low, close,
                case when volume % 79 = 0 then 0 else volume end as volume, case when volume % 3 = 1 then close end as vwap,
                case when volume % 83 = 0 then null else transactions end as transactions
-        from bars where right(symbol, 1) not in ('C', 'D', 'E')"""),
+        from bars where right(symbol, 1) not in ('C', 'D', 'E', 'G')"""),
     "fetch_failures": with_(BARS, f"""
-        select distinct {sym('s_suppkey')} as symbol from supplier
-        except select symbol from bars where right(symbol, 1) not in ('C', 'D', 'E')"""),
+        select s.symbol, count(distinct b.m) as n_responses, case when count(b.m) = 0 then 'never landed'
+            when right(s.symbol, 1) = 'C' then 'status ERROR: Unknown API Key'
+            when right(s.symbol, 1) = 'D' then 'not an envelope: <html>504 Gateway Time-out</html>' else 'no results' end as reason
+        from (select {sym('s_suppkey')} as symbol from supplier) s
+        left join (select symbol, date_trunc('month', date) as m from bars where right(symbol, 1) <> 'G') b using (symbol)
+        where s.symbol not in (select symbol from bars where right(symbol, 1) not in ('C', 'D', 'E', 'G')) group by s.symbol"""),
+    "corrupt_responses": with_(BARS, """
+        select distinct on (symbol, date_trunc('month', date)) symbol, '<html>504 Gateway Time-out</html>' as body
+        from bars where right(symbol, 1) = 'D'"""),
     "bars_per_symbol": with_(BARS, """
-        select symbol, count(*) as n_bars from bars where right(symbol, 1) not in ('C', 'D', 'E') group by symbol"""),
+        select symbol, count(*) as n_bars from bars where right(symbol, 1) not in ('C', 'D', 'E', 'G') group by symbol"""),
     "raw_roundtrip": with_(RAW, "select * exclude (ingested_at) from raw_bars"),
     "restrict_dates": with_(VALID, """
         select * exclude (ingested_at) from valid where date between date '1997-01-01' and date '1997-12-31'"""),
@@ -197,6 +204,14 @@ ORACLE: dict[str, str] = {
     "inspect_symbol": with_(RAW, """
         select symbol, date, open, high, low, close, volume from raw_bars
         where symbol = 'AAB' and date >= '1997-01-01' and date <= '1997-12-31' order by date"""),
+    "store_slice": with_(RAW, "select * exclude (ingested_at) from raw_bars where symbol in ('AAB', 'AAZ', 'ABC')"),
+    "bars_as_of_reference": with_(BARS, f"""
+        select b.symbol, b.date, b.close, h.as_of, h.http_status, h.type from bars b asof left join (
+          select {sym('k')} as symbol, cast(m + to_days(cast((k * 7 + month(m) * 5) % 28 as integer)) as date) as as_of,
+                 cast(case (k + year(m) * 12 + month(m)) % 9 when 0 then 404 when 1 then null when 2 then 403 else 200 end as integer) as http_status,
+                 case when (k + month(m)) % 5 = 0 then 'ETF' else 'CS' end as type
+          from (select distinct l_suppkey as k, cast(date_trunc('month', l_shipdate) as date) as m from lineitem)) h
+        on b.symbol = h.symbol and b.date >= h.as_of"""),
     "company_list": f"select s_name || ' Inc.' as company_name, {sym('s_suppkey')} as symbol from supplier",
     "validate_valid": with_(VALID, "select * exclude (ingested_at) from valid"),
     "validate_quarantine": with_(FLAGGED, """
@@ -291,8 +306,18 @@ vetting as (
   from (select *, {_case(0, "'valid'")} as outcome, {_case(1, 'null')} as reason, {_case(2, 'null')} as warning
         from vj))"""
 
+# each listing has a date; the reference has an older and a newer record a symbol
+AS_LISTED = VETTING.replace("\nlrows as (", """
+dated as (
+  select symbol, 500 as http_status, active, type, name, date '1990-01-01' as as_of from ref
+  union all select *, date '1995-01-01' from ref
+  union all select symbol, 404, active, type, name, date '2035-01-01' from ref),
+lrows as (""").replace("left join ref on r.symbol = ref.symbol)", """asof left join dated ref on r.symbol = ref.symbol
+    and cast(date '1988-01-01' + to_days(cast(r.position * 197 % 20000 as integer)) as date) >= ref.as_of)""")
+
 ORACLE.update({
     "ticker_vetting": with_(VETTING, "select * from vetting"),
+    "ticker_vetting_as_listed": with_(AS_LISTED, "select * from vetting"),
     "ticker_duplicates": with_(TICKERS, """
         select symbol, count(*) as n, min(position) as first_position from lrows where symbol <> ''
         group by symbol having count(*) > 1"""),
@@ -302,6 +327,9 @@ ORACLE.update({
                cast(count_if(outcome = 'invalid') as bigint) as invalid,
                cast(count_if(warning is not null) as bigint) as warnings
         from vetting"""),
+    "ticker_findings": with_(VETTING, """
+        select 'warning' as kind, position, symbol, warning as text from vetting where warning is not null
+        union all select 'invalid', position, symbol, reason from vetting where outcome = 'invalid'"""),
     "name_match": with_(TICKERS, f"""
         select c.symbol, array_to_string(list_sort({words('c.company_name')}), ' ') as expected_words,
                array_to_string(list_sort({words('ref.name')}), ' ') as actual_words,

@@ -51,7 +51,7 @@ def test_missing_timestamp_is_epoch_day(spark):
 def test_json_round_trip_equals_bars(spark):
     bars = inputs.bars(spark, SF0001)
     back = inputs.landed_bars(spark, SF0001)
-    kept = bars.where(~bars.symbol.substr(3, 1).isin("C", "D", "E"))
+    kept = bars.where(~bars.symbol.substr(3, 1).isin("C", "D", "E", "G"))
     expect = kept.selectExpr(
         "symbol", "case when volume % 71 = 0 then '1970-01-01' else date_format(date, 'yyyy-MM-dd') end as date",
         "case when volume % 73 = 0 then 0.0D else open end as open", "high", "low", "close",
@@ -66,8 +66,27 @@ def test_landed_files_scan_and_failures(spark, scratch):
     lb.payload_lines_from_bars(inputs.bars(spark, SF0001)).write.text(path)
     raw = payloads.bars_from_payloads(payloads.read_payload_files(spark, path), "2026-01-05 00:00:00")
     assert raw.count() == inputs.landed_bars(spark, SF0001).count()
-    failed = {r.symbol for r in payloads.fetch_failures(inputs.company_list(spark, SF0001), raw).collect()}
-    assert failed and all(s[-1] in "CDE" for s in failed)
+    failed = payloads.fetch_failures(inputs.company_list(spark, SF0001), payloads.read_payload_files(spark, path)).collect()
+    assert {r.symbol[-1]: r.reason for r in failed} == {
+        "C": "status ERROR: Unknown API Key", "D": "not an envelope: <html>504 Gateway Time-out</html>", "E": "no results", "G": "never landed"}
+    assert all((r.n_responses == 0) == (r.reason == "never landed") for r in failed)
+
+
+def test_reasons_of_failed_fetches(spark):
+    """One reason a symbol; a symbol with any bar did not fail."""
+    bar = '{"ticker": "%s", "status": "OK", "results": [{"t": 1, "c": 2.0}]}'
+    record = lambda s, b: json.dumps({"requested": s, "body": b})
+    landed = [bar % "GOOD", '{"ticker": "GOOD", "status": "ERROR", "error": "once"}', record(" wrapd ", bar % "wrapd"),
+              record("BOTH", "<oops>"), '{"ticker": "both", "status": "ERROR", "error": "later"}', '{"ticker": "BOTH", "status": "NOT_AUTHORIZED"}',
+              record("TEXT", "x" * 200), '{"ticker": "NULLS", "status": "OK", "results": [null]}', '{"ticker": "NOST"}', "not json, no symbol", "", '{"requested": "CUT', None]
+    parsed = payloads.parse_payload_lines(lines(spark, landed))
+    asked = spark.createDataFrame([(s,) for s in ("good", "WRAPD", "BOTH", "TEXT", "NULLS", "NOST", "GONE", "GONE ", "", None)], "symbol string")
+    got = {r.symbol: (r.n_responses, r.reason) for r in payloads.fetch_failures(asked, parsed).collect()}
+    assert got == {"BOTH": (3, "status ERROR: later"), "TEXT": (1, "not an envelope: " + "x" * payloads.QUOTED), "NULLS": (1, "no results"),
+                   "NOST": (1, "status missing"), "GONE": (0, "never landed")}
+    corrupt = sorted((str(r.symbol), r.body) for r in payloads.corrupt_responses(parsed).collect())
+    assert corrupt == sorted([("BOTH", "<oops>"), ("TEXT", "x" * 200), ("None", "not json, no symbol"), ("None", '{"requested": "CUT')])
+    assert sorted(r.symbol for r in payloads.bars_from_payloads(parsed, "2026-01-05 00:00:00").collect()) == ["GOOD", "WRAPD"]
 
 
 def test_partitioned_store_round_trip_keeps_string_symbols(spark, scratch):

@@ -36,3 +36,18 @@ def test_gate_stream_matches_batch(spark, scratch):
     q2 = start_gate_stream(spark, landing, out, os.path.join(scratch, "ckpt"))
     q2.awaitTermination(300)
     assert read_gated(spark, out, "valid").count() == before
+
+
+def test_a_batch_that_did_not_commit_is_not_read(spark, scratch):
+    """A batch folder without its row under ``committed`` is a write that died."""
+    landing, out = os.path.join(scratch, "landing"), os.path.join(scratch, "out")
+    bars = inputs.bars(spark, SF0001).where("date >= date'1997-01-01' and date < date'1997-03-01'")
+    lb.payload_lines_from_bars(bars).repartition(3).write.text(landing)
+    start_gate_stream(spark, landing, out, os.path.join(scratch, "ckpt"), max_files_per_trigger=1).awaitTermination(300)
+    whole = read_gated(spark, out).count()
+    batches = sorted(os.listdir(os.path.join(out, "committed")))
+    assert whole > 0 and len([b for b in batches if b.startswith("batch=")]) == 3  # a file a batch
+    import shutil
+    shutil.copytree(os.path.join(out, "gated", "batch=0"), os.path.join(out, "gated", "batch=99"))
+    assert read_gated(spark, out).count() == whole
+    assert [f.name for f in read_gated(spark, out).schema][:1] == ["batch"]

@@ -12,17 +12,21 @@ texts take few points.  What a level emits does not depend on the weight.
 Candidates.  Registers are banded; a band's bucket is searched without listing
 its pairs.  The member that shares most buckets, weighed by their size, lies
 nearest to its group and leads a bucket.  Each text is first held against one
-leader, the nearest of those of its buckets.  Then components are joined, and in
-buckets that still hold several, pairs across components are tested that the
-leader, then the first 16, 256, ... members are part of, until each bucket is one
-component or all its pairs across components are tested, but for those that two
-bounds show to be less similar.  A group that its leaders join costs a few tests
-a member.
+leader, the nearest of those of its buckets.  Then components are joined, and
+only buckets that still hold several go on.  Each of their members has a lot, a
+hash of its text.  In each round the members whose lot is low enough, four times
+as many as before, are held against those of higher lot, until all of a bucket
+have been.  So no member is numbered within its bucket, a pair comes up once, in
+the first bucket that both share, and texts that a round joins leave the next.  A
+group that its leaders join costs a few tests a member.
 
 Bounds.  Similar multisets of a and b shingles differ in at most a share
 ``APART`` of a + b.  They differ in |a - b| at least, and in as many as the bits
 that differ between their parities (of the shingles that fall on a bit, even or
-odd), as one more shingle flips one bit.  So no link that shares a bucket is lost.
+odd), as one more shingle flips one bit.  With 2,048 bits that comes close to the
+difference itself for texts of some hundred shingles.  Pairs that these bounds
+rule out are not tested, all others across components are: no link that shares a
+bucket is lost.
 
 Check.  A pair is a link if the exact multisets say so; links are joined to
 classes.  Equal texts are one node from the start.
@@ -46,16 +50,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from barsmith.llm.common import fresh, pieces, written
+from barsmith.llm.common import forget, fresh, pieces, written
 
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 28, 5
 REGISTERS = BANDS * ROWS
 #: numbers that hold the parities of a text's shingles, followed by one that counts
 #: them; and the share of both texts' shingles that similar ones may differ in
-PARITIES, APART = 8, (1 - SIMILAR) / (1 + SIMILAR)
+PARITIES, APART = 32, (1 - SIMILAR) / (1 + SIMILAR)
 SKETCH = PARITIES + 1
 BATCH_CHARS, MOST_WORDS = 2 << 20, 1 << 20
 
@@ -167,10 +170,13 @@ def bands_of(words: list[list[bytes]], hashes: Hashes) -> np.ndarray:
     keys = np.zeros((len(words), BANDS), np.uint64)
     for r in range(ROWS):
         keys = mix(keys + bits[:, r::ROWS] + np.uint64(r + 1))
+    # the bits that an odd number of shingles fall on
     width = 64 * PARITIES
-    place = doc * width + (element % np.uint64(width)).astype(np.int64)
-    odd = (np.bincount(place, minlength=len(words) * width) % 2).astype(np.uint8).reshape(len(words), width)
-    return np.hstack([mix(keys + np.arange(BANDS, dtype=np.uint64)[None]).view(np.int64), np.packbits(odd, axis=1).view(np.int64),
+    place, times = np.unique(doc * width + (element % np.uint64(width)).astype(np.int64), return_counts=True)
+    place = place[times % 2 == 1]
+    parity = np.zeros(len(words) * PARITIES, np.uint64)
+    np.bitwise_or.at(parity, place // 64, np.uint64(1) << (place % 64).astype(np.uint64))
+    return np.hstack([mix(keys + np.arange(BANDS, dtype=np.uint64)[None]).view(np.int64), parity.reshape(-1, PARITIES).view(np.int64),
                       np.bincount(doc, minlength=len(words))[:, None]])
 
 
@@ -236,15 +242,17 @@ def components(edges: DataFrame) -> DataFrame:
     """Written (a, b) -> (key, comp): the least key that each key is joined with.  Each
     round takes the least label around a key, then the label of that label."""
     both = edges.select(F.col("a").alias("key"), F.col("b").alias("to")).union(edges.select("b", "a"))
-    labels = written(both.groupBy("key").agg(F.least(F.min("to"), F.col("key")).alias("comp")), "labels")
+    held = labels = written(both.groupBy("key").agg(F.least(F.min("to"), F.col("key")).alias("comp")), "labels")
     while True:
         near = both.join(labels.select(F.col("key").alias("to"), "comp"), "to").groupBy("key").agg(F.min("comp").alias("near"))
         step = labels.join(near, "key").select("key", F.least("comp", "near").alias("next"), F.col("comp").alias("was"))
         jump = (step.join(labels.select(F.col("key").alias("next"), F.col("comp").alias("far")), "next", "left")
                 .select("key", F.least("next", F.coalesce("far", "next")).alias("comp"), "was"))
         jump = written(jump, "labels")
-        labels = jump.select("key", "comp")
+        forget(held)
+        held, labels = jump, jump.select("key", "comp")
         if jump.where("comp <> was").isEmpty():
+            labels.held = held  # what to delete with it
             return labels
 
 
@@ -253,6 +261,10 @@ def named(key: str, doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("string"), F.lit("")).alias(key)
 
 
+#: lots are below this; each round asks for so many times the members of the last one
+LOTS, STEP = 1 << 30, 4
+
+
 def classes(nodes: DataFrame, rows: DataFrame) -> DataFrame:
     """(key, id, bands) -> (key, comp) of the texts that have a link.
 
@@ -261,29 +273,73 @@ def classes(nodes: DataFrame, rows: DataFrame) -> DataFrame:
     """
     members = nodes.select("key", F.explode(F.slice("bands", 1, BANDS)).alias("band"))
     sizes = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    shared = members.join(sizes, "band").select("band", "n", "key")
+    shared = written(members.join(sizes, "band").select("band", "n", "key"), "shared")
     # the text nearest to the others of its group shares most buckets with them
-    sketches = nodes.select("key", *[F.col("bands")[BANDS + i].alias(f"bits_{i}") for i in range(SKETCH)])
-    shared = written(shared.join(shared.groupBy("key").agg(F.sum("n").alias("near")), "key").join(sketches, "key"), "buckets")
-    first = nodes.join(shared.select("key").distinct(), "key", "left_semi").select("key", named("own", F.col("id")))
+    near = shared.groupBy("key").agg(F.sum("n").alias("near"))
+    buckets = written(shared.join(near, "key"), "buckets")
+    forget(shared)
+    first = nodes.join(buckets.select("key").distinct(), "key", "left_semi").select("key", named("own", F.col("id")))
     texts = rows.select("key", named("own", F.col("id")), "text").join(first, ["key", "own"], "left_semi")
     texts = written(texts.groupBy("key").agg(F.first("text").alias("text")), "texts")
-    leaders = shared.groupBy("band").agg(F.max(F.struct("near", "key")).alias("lead"))
-    best = (shared.join(leaders, "band").groupBy("key").agg(F.max("lead").alias("lead"))
+    leaders = buckets.groupBy("band").agg(F.max(F.struct("near", "key")).alias("lead"))
+    best = (buckets.join(leaders, "band").groupBy("key").agg(F.max("lead").alias("lead"))
             .select(F.col("lead.key").alias("a"), F.col("key").alias("b")).where("a <> b"))
-    tested = written(best, "pairs")
-    labels = components(links(tested, texts))
-    heads = 1
+    led = written(best, "pairs")
+    labels = components(links(led, texts))
+    open_, heads = buckets.select("band", "n", "key"), 1
     while True:
-        open_, largest = untested(shared, labels, tested, heads)
-        if not open_.isEmpty():
-            labels = joined(labels, links(open_, texts))
-            tested = tested.union(open_)
-            heads *= 16
-        elif largest > heads:
-            heads = largest
-        else:
-            return labels
+        # components only grow, so a bucket that is one of them stays out
+        placed = open_.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+        split = placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band")
+        placed = written(placed.join(split, "band", "left_semi"), "split")
+        forget(*([buckets] if heads == 1 else [held]))
+        held, open_ = placed, placed.select("band", "n", "key")
+        largest = placed.agg(F.max("n")).first()[0]
+        if largest is None:
+            break
+        if heads == 1:
+            # what the bounds need of the texts that are left; later rounds ask for fewer
+            sketches = nodes.select("key", *[F.col("bands")[i].alias(f"k{i}") for i in range(BANDS)],
+                                    *[F.col("bands")[BANDS + i].alias(f"p{i}") for i in range(PARITIES)], F.col("bands")[BANDS + PARITIES].alias("total"))
+            sketches = written(sketches.join(placed.select("key").distinct(), "key", "left_semi"), "sketches")
+        pairs = untested(placed, sketches, led, heads)
+        if not pairs.isEmpty():
+            labels = joined(labels, links(pairs, texts))
+        forget(pairs)
+        if heads >= largest:
+            break
+        heads *= STEP
+    forget(held, texts, led)
+    return labels
+
+
+def untested(placed: DataFrame, sketches: DataFrame, led: DataFrame, heads: int) -> DataFrame:
+    """The pairs of this round: one of the two is among the ``heads`` expected of
+    its bucket by lot, but was not in the round before, the other has a higher
+    lot, they are in different components, no earlier bucket holds both, no bound
+    shows them to be less similar, and they are not a leader's pair."""
+    lots = F.pmod(F.xxhash64("key"), F.lit(LOTS))
+    # Spark splits a hot bucket of a join if it deals out both sides for it, so both are stored
+    all_ = written(placed.withColumn("lot", lots).join(sketches, "key"), "sketched")
+    drawn = lambda k: F.col("lot") * F.col("n") < F.lit(LOTS * k)
+    now = drawn(heads) if heads == 1 else drawn(heads) & ~drawn(heads // STEP)
+    columns = ["key", "comp", "lot", "total", *[f"k{i}" for i in range(BANDS)], *[f"p{i}" for i in range(PARITIES)]]
+    one = all_.where(now).select("band", *columns)
+    other = all_.select("band", *[F.col(c).alias(f"{c}_b") for c in columns])
+    most = APART * (F.col("total") + F.col("total_b")) + 1e-6
+    flips = reduce(Column.__add__, [F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"p{i}_b"))) for i in range(PARITIES)])
+    higher = (F.col("lot_b") > F.col("lot")) | ((F.col("lot_b") == F.col("lot")) & (F.col("key_b") > F.col("key")))
+    # the first bucket that both are in, of those in the order of the bands
+    shared = F.lit(None).cast("long")
+    for i in reversed(range(BANDS)):
+        shared = F.when(F.col(f"k{i}") == F.col(f"k{i}_b"), F.col(f"k{i}")).otherwise(shared)
+    pairs = (one.join(other, "band").where((F.col("comp") != F.col("comp_b")) & higher & (F.abs(F.col("total") - F.col("total_b")) <= most)
+                                           & (F.col("band") == shared) & (flips <= most))
+             .select(F.least("key", "key_b").alias("a"), F.greatest("key", "key_b").alias("b")))
+    old = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    out = written(pairs.join(old, ["a", "b"], "left_anti"), "open")
+    forget(all_)
+    return out
 
 
 def joined(labels: DataFrame, found: DataFrame) -> DataFrame:
@@ -294,29 +350,9 @@ def joined(labels: DataFrame, found: DataFrame) -> DataFrame:
     up = components(edges)
     new = up.select("key").join(labels, "key", "left_anti").select("key", F.col("key").alias("comp"))
     higher = up.select(F.col("key").alias("comp"), F.col("comp").alias("up"))
-    return written(labels.union(new).join(higher, "comp", "left").select("key", F.coalesce("up", "comp").alias("comp")), "labels")
-
-
-def untested(shared: DataFrame, labels: DataFrame, tested: DataFrame, heads: int) -> tuple[DataFrame, int]:
-    """Pairs of a bucket that are in different components, that no bound shows to
-    be less similar, and that have not been tested, one of the two among the
-    bucket's ``heads`` members nearest to the others; and the members of the
-    largest bucket of several components."""
-    placed = shared.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    split = placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band")
-    bits = [f"bits_{i}" for i in range(SKETCH)]
-    placed = written(placed.join(split, "band", "left_semi").select("band", "n", "near", "key", "comp", *bits), "split")
-    largest = placed.agg(F.max("n")).first()[0] or 0
-    nth = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("near"), "key"))
-    one = placed.withColumn("nth", nth).where(F.col("nth") <= heads).select("band", "comp", "key", *bits)
-    other = placed.select("band", F.col("comp").alias("comp_b"), F.col("key").alias("key_b"), *[F.col(b).alias(f"{b}_b") for b in bits])
-    *odd, count = bits
-    flips = reduce(Column.__add__, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}_b"))) for b in odd])
-    most = APART * (F.col(count) + F.col(f"{count}_b")) + 1e-6
-    pairs = (one.join(other, "band").where((F.col("comp") != F.col("comp_b")) & (F.abs(F.col(count) - F.col(f"{count}_b")) <= most) & (flips <= most))
-             .select(F.least("key", "key_b").alias("a"), F.greatest("key", "key_b").alias("b")).distinct())
-    old = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return written(pairs.join(old, ["a", "b"], "left_anti"), "open"), largest
+    out = written(labels.union(new).join(higher, "comp", "left").select("key", F.coalesce("up", "comp").alias("comp")), "labels")
+    forget(found, edges, up.held, labels.held if hasattr(labels, "held") else labels)
+    return out
 
 
 def class_table(df: DataFrame, doc_id: str, text: str) -> DataFrame:

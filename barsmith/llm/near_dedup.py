@@ -14,9 +14,9 @@ its pairs.  The member that shares most buckets, weighed by their size, lies
 nearest to its group and leads a bucket.  Each text is first held against one
 leader, the nearest of those of its buckets.  Then components are joined, and
 only buckets that still hold several go on.  Each of their members has a lot, a
-hash of its text.  In each round the members whose lot is low enough, four times
-as many as before, are held against those of higher lot, until all of a bucket
-have been.  So no member is numbered within its bucket, a pair comes up once, in
+hash of its text.  In each round the members whose lot is low enough (``HEADS`` of a
+bucket, then ``STEP`` times as many) are held against those of higher lot, until
+all of a bucket have been.  So no member is numbered within its bucket, a pair comes up once, in
 the first bucket that both share, and texts that a round joins leave the next.  A
 group that its leaders join costs a few tests a member.
 
@@ -46,6 +46,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,7 +61,7 @@ REGISTERS = BANDS * ROWS
 #: them; and the share of both texts' shingles that similar ones may differ in
 PARITIES, APART = 32, (1 - SIMILAR) / (1 + SIMILAR)
 SKETCH = PARITIES + 1
-BATCH_CHARS, MOST_WORDS = 2 << 20, 1 << 20
+BATCH_CHARS, MOST_WORDS = 1 << 20, 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -171,11 +172,9 @@ def bands_of(words: list[list[bytes]], hashes: Hashes) -> np.ndarray:
     for r in range(ROWS):
         keys = mix(keys + bits[:, r::ROWS] + np.uint64(r + 1))
     # the bits that an odd number of shingles fall on
-    width = 64 * PARITIES
-    place, times = np.unique(doc * width + (element % np.uint64(width)).astype(np.int64), return_counts=True)
-    place = place[times % 2 == 1]
+    odd, width = first[weight % 2 == 1], np.uint64(64 * PARITIES)
     parity = np.zeros(len(words) * PARITIES, np.uint64)
-    np.bitwise_or.at(parity, place // 64, np.uint64(1) << (place % 64).astype(np.uint64))
+    np.bitwise_xor.at(parity, doc[odd] * PARITIES + (element[odd] % width // np.uint64(64)).astype(np.int64), np.uint64(1) << element[odd] % np.uint64(64))
     return np.hstack([mix(keys + np.arange(BANDS, dtype=np.uint64)[None]).view(np.int64), parity.reshape(-1, PARITIES).view(np.int64),
                       np.bincount(doc, minlength=len(words))[:, None]])
 
@@ -184,13 +183,14 @@ def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, id, text) -> (key, id, bands); a text without words has none."""
     hashes = Hashes()
     for batch in batches:
-        words = [(t or "").encode().split() for t in batch.column(2).to_pylist()]  # at ASCII white space
-        for lo, hi in pieces([sum(map(len, w)) for w in words], BATCH_CHARS):
+        texts = batch.column(2)
+        for lo, hi in pieces(pc.binary_length(texts).fill_null(0).to_pylist(), BATCH_CHARS):
             if len(hashes) > MOST_WORDS:
                 hashes = Hashes()
-            own = [w for w in words[lo:hi] if w]
+            words = [(t or "").encode().split() for t in texts.slice(lo, hi - lo).to_pylist()]  # at ASCII white space
+            own = [w for w in words if w]
             keys = bands_of(own, hashes) if own else np.zeros((0, BANDS + SKETCH), np.int64)
-            counts = np.array([BANDS + SKETCH if w else 0 for w in words[lo:hi]])
+            counts = np.array([BANDS + SKETCH if w else 0 for w in words])
             offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
             part = batch.slice(lo, hi - lo)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1)))],
@@ -261,8 +261,9 @@ def named(key: str, doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("string"), F.lit("")).alias(key)
 
 
-#: lots are below this; each round asks for so many times the members of the last one
-LOTS, STEP = 1 << 30, 4
+#: lots are below this; the first round asks for so many members of each bucket, each
+#: other for so many times those of the last one
+LOTS, HEADS, STEP = 1 << 30, 16, 1024
 
 
 def classes(nodes: DataFrame, rows: DataFrame) -> DataFrame:
@@ -286,18 +287,18 @@ def classes(nodes: DataFrame, rows: DataFrame) -> DataFrame:
             .select(F.col("lead.key").alias("a"), F.col("key").alias("b")).where("a <> b"))
     led = written(best, "pairs")
     labels = components(links(led, texts))
-    open_, heads = buckets.select("band", "n", "key"), 1
+    held, heads, open_ = buckets, HEADS, buckets.select("band", "n", "key")
     while True:
         # components only grow, so a bucket that is one of them stays out
         placed = open_.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
         split = placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band")
         placed = written(placed.join(split, "band", "left_semi"), "split")
-        forget(*([buckets] if heads == 1 else [held]))
+        forget(held)
         held, open_ = placed, placed.select("band", "n", "key")
         largest = placed.agg(F.max("n")).first()[0]
         if largest is None:
             break
-        if heads == 1:
+        if heads == HEADS:
             # what the bounds need of the texts that are left; later rounds ask for fewer
             sketches = nodes.select("key", *[F.col("bands")[i].alias(f"k{i}") for i in range(BANDS)],
                                     *[F.col("bands")[BANDS + i].alias(f"p{i}") for i in range(PARITIES)], F.col("bands")[BANDS + PARITIES].alias("total"))
@@ -320,10 +321,12 @@ def untested(placed: DataFrame, sketches: DataFrame, led: DataFrame, heads: int)
     shows them to be less similar, and they are not a leader's pair."""
     lots = F.pmod(F.xxhash64("key"), F.lit(LOTS))
     # Spark splits a hot bucket of a join if it deals out both sides for it, so both are stored
-    all_ = written(placed.withColumn("lot", lots).join(sketches, "key"), "sketched")
+    # a component's 16 bytes as two numbers: these compare without a copy for each pair
+    halves = [F.conv(F.hex(F.substring("comp", 1 + 8 * i, 8)), 16, -10).cast("long").alias(f"c{i}") for i in range(2)]
+    all_ = written(placed.select("band", "n", "key", *halves, lots.alias("lot")).join(sketches, "key"), "sketched")
     drawn = lambda k: F.col("lot") * F.col("n") < F.lit(LOTS * k)
-    now = drawn(heads) if heads == 1 else drawn(heads) & ~drawn(heads // STEP)
-    columns = ["key", "comp", "lot", "total", *[f"k{i}" for i in range(BANDS)], *[f"p{i}" for i in range(PARITIES)]]
+    now = drawn(heads) if heads == HEADS else drawn(heads) & ~drawn(heads // STEP)
+    columns = ["key", "c0", "c1", "lot", "total", *[f"k{i}" for i in range(BANDS)], *[f"p{i}" for i in range(PARITIES)]]
     one = all_.where(now).select("band", *columns)
     other = all_.select("band", *[F.col(c).alias(f"{c}_b") for c in columns])
     most = APART * (F.col("total") + F.col("total_b")) + 1e-6
@@ -333,11 +336,19 @@ def untested(placed: DataFrame, sketches: DataFrame, led: DataFrame, heads: int)
     shared = F.lit(None).cast("long")
     for i in reversed(range(BANDS)):
         shared = F.when(F.col(f"k{i}") == F.col(f"k{i}_b"), F.col(f"k{i}")).otherwise(shared)
-    pairs = (one.join(other, "band").where((F.col("comp") != F.col("comp_b")) & higher & (F.abs(F.col("total") - F.col("total_b")) <= most)
+    apart = (F.col("c0") != F.col("c0_b")) | (F.col("c1") != F.col("c1_b"))
+    pairs = (one.join(other, "band").where(higher & apart & (F.abs(F.col("total") - F.col("total_b")) <= most)
                                            & (F.col("band") == shared) & (flips <= most))
              .select(F.least("key", "key_b").alias("a"), F.greatest("key", "key_b").alias("b")))
     old = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    out = written(pairs.join(old, ["a", "b"], "left_anti"), "open")
+    # as one method the condition is past the size that HotSpot compiles, and would run interpreted
+    conf, limit = placed.sparkSession.conf, "spark.sql.codegen.hugeMethodLimit"
+    before = conf.get(limit)
+    conf.set(limit, "8000")
+    try:
+        out = written(pairs.join(old, ["a", "b"], "left_anti"), "open")
+    finally:
+        conf.set(limit, before)
     forget(all_)
     return out
 

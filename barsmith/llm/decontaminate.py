@@ -1,8 +1,9 @@
-"""Benchmark decontamination: shared strings on near diagonals, exact edit check.
+"""Benchmark decontamination: CGK embedding, repeated sampling, exact edit check.
 
 A document is contaminated by an item if a part of it lies within
-``RATE * length`` edits of the item (UTF-8 bytes, ASCII case and the kinds of
-white space aside).
+``edits(length)`` edits of the item (UTF-8 bytes, ASCII case and the kinds of
+white space aside): ``RATE * length``, but 2 for items of 30 and 31 bytes, as
+three edits there may leave no shared string of Q bytes.
 
 Windows.  A part within k edits of an item of n bytes shares at least
 ``n - Q + 1 - k * Q`` of its Q-byte strings with it, at places that differ by k
@@ -12,8 +13,20 @@ could match is left out.  Of an item's strings the most frequent may be ignored
 if that many more hits are asked of the rest, which changes the work and not the
 windows that can match.
 
-Check.  Each window is decided by its exact edit distance, so nothing is lost to
-sampling, whatever an item's length and the kind of its edits.
+Embedding.  A CGK walk reads a string by a random coin a (step, byte): it stays on
+a byte or moves to the next, and writes the byte it stands on, so that few edits
+become few differing places.  Each item and each item-sized part of a window, at
+offsets ``k / 2`` apart, is walked ``WALKS`` times.
+
+Sampling.  A key is the bytes at a few random places of a walk.  A window that
+has a key in common with its item is checked at once.  The number of keys follows
+from the agreement that simulated pairs of the item's length show at the edit
+limit, for replaced, inserted and deleted bytes, so that ``RECALL`` of them share
+a key (measured by a test at each length and kind).
+
+The rest.  Windows without a common key are checked if the item has not been
+found in that text, in full as the others.  So sampling decides what is
+checked first and nothing is lost to it.
 
 The items are written once to the shared folder.  A task reads them from there in
 blocks of at most ``BLOCK_BYTES`` (one longer item alone), one after another for
@@ -27,6 +40,8 @@ all columns of the documents are kept and the added one takes an unused name.
 """
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +51,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from barsmith.llm.common import fresh, ragged, written
 
@@ -56,6 +72,97 @@ def edits(n: int) -> int:
     return min(int(RATE * n), (n - Q) // Q)
 
 
+#: walks a string; share of pairs at the limit that should have a key in common, and pairs
+#: simulated for each kind of edit; places that a key reads, the first number of these
+#: for which ``KEYS`` keys do, else the last one with as many keys as it takes
+WALKS, RECALL, TRIALS = 2, 0.98, 12
+PLACES, KEYS = (6, 5, 4, 3, 2), 600
+#: steps of a walk a byte of the item; what a walk writes past the end of its string
+STEPS, PAST = 3, 0
+#: bytes of walks held at once, a single window's aside
+WALK_BYTES = 16 << 20
+
+
+def coins(walk: np.ndarray, step: int, byte: np.ndarray) -> np.ndarray:
+    """0 or 1, a hash of (walk, step, byte): no table to hold."""
+    x = (walk.astype(np.uint64) << np.uint64(40)) + np.uint64(step << 8) + byte.astype(np.uint64)
+    x = (x + np.uint64(1)) * MIX
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x ^ (x >> np.uint64(32))) & np.uint64(1)).astype(np.int64)
+
+
+def walked(raw: np.ndarray, start: np.ndarray, end: np.ndarray, steps: int) -> np.ndarray:
+    """What each walk writes in ``steps`` steps over each ``raw[start:end]``:
+    strings x WALKS x steps."""
+    at, stop = (np.repeat(x, WALKS) for x in (start, end))
+    walk = np.tile(np.arange(WALKS), len(start))
+    out = np.zeros((len(at), steps), np.uint8)
+    last = max(len(raw) - 1, 0)
+    for j in range(steps if len(raw) else 0):
+        inside = at < stop
+        byte = np.where(inside, raw[np.minimum(at, last)], PAST)
+        out[:, j] = byte
+        at = at + (coins(walk, j, byte) & inside)
+    return out.reshape(len(start), WALKS, steps)
+
+
+def size_class(n: int) -> int:
+    """Lengths that share their keys: powers of the root of two, rounded up."""
+    return math.ceil(2 ** (math.ceil(2 * math.log2(n)) / 2))
+
+
+@functools.cache
+def places(size: int) -> np.ndarray:
+    """Places (keys x places a key) of a walk of items of this class: as many keys
+    as simulated pairs at the edit limit ask for."""
+    rnd = np.random.default_rng(size)
+    k, steps = edits(size), STEPS * size
+    agree = []
+    for kind in range(3):
+        pairs = []
+        for _ in range(TRIALS):
+            x = rnd.integers(97, 123, size)
+            where = np.sort(rnd.choice(size, k, replace=False))
+            y = x.copy()
+            if kind == 0:
+                y[where] = rnd.integers(97, 123, k)
+            else:
+                y = np.insert(x, where, rnd.integers(97, 123, k)) if kind == 1 else np.delete(x, where)
+            pairs += [x, y]
+        ends = np.cumsum([len(p) for p in pairs])
+        w = walked(np.concatenate(pairs).astype(np.uint8), ends - np.array([len(p) for p in pairs]), ends, steps)
+        # a pair needs one walk that agrees; the worst pairs of each kind count
+        agree.append(np.quantile((w[::2] == w[1::2]).mean(axis=2).max(axis=1), 0.05))
+    p = min(0.9, max(0.05, min(agree)))
+    asked = [(math.ceil(math.log(1 - RECALL) / math.log(1 - p ** m)), m) for m in PLACES]
+    return rnd.integers(0, steps, next((x for x in asked if x[0] <= KEYS), asked[-1]))
+
+
+def agreeing(raw: np.ndarray, item: np.ndarray, start: np.ndarray, end: np.ndarray, items: "Items") -> np.ndarray:
+    """Which windows [start, end) have a part with a key in common with their item."""
+    out = np.zeros(len(item), bool)
+    classes = items.size_class[item]
+    for size in np.unique(classes):
+        own = np.flatnonzero(classes == size)
+        at = places(int(size))
+        # some ten parts a window, a walk of STEPS * size bytes each
+        group = max(1, min(512, WALK_BYTES // (10 * WALKS * STEPS * int(size))))
+        for lo in range(0, len(own), group):
+            w = own[lo:lo + group]
+            n, k = items.size[item[w]], items.k[item[w]]
+            # item-sized parts of the window, so near each other that one starts within k / 4 of a match
+            apart = np.maximum(1, k // 2)
+            count = np.maximum(0, end[w] - start[w] - n + k) // apart + 1
+            of = np.repeat(np.arange(len(w)), count)
+            first = start[w][of] + ragged(np.zeros(len(w), np.int64), count) * apart[of]
+            made = walked(raw, first, np.minimum(first + n[of] + k[of], end[w][of]), STEPS * int(size))
+            held = np.stack([items.walk(int(i), int(size)) for i in item[w]])
+            same = made[:, :, at.reshape(-1)] == held[of][:, :, at.reshape(-1)]
+            hit = same.reshape(len(of), WALKS, *at.shape).all(axis=3).any(axis=(1, 2))
+            out[w[of[hit]]] = True
+    return out
+
+
 def distance(pattern: bytes, text: bytes) -> int:
     """Least edit distance of ``pattern`` to any part of ``text``; each column
     of the table is held as bits of two numbers."""
@@ -84,8 +191,9 @@ class Items:
     """The strings of a block of items."""
 
     def __init__(self, items: list[bytes]):
-        self.items, self.learnt = items, False
+        self.items, self.learnt, self.walks = items, False, {}
         self.size = np.array([len(x) for x in items], np.int64)
+        self.size_class = np.array([size_class(len(x)) for x in items], np.int64)
         self.k = np.array([edits(len(x)) for x in items], np.int64)
         self.need = self.size - Q + 1 - self.k * Q
         raw = np.frombuffer(b"".join(items), np.uint8)
@@ -99,6 +207,13 @@ class Items:
         self.least = self.need.copy()
         self.index(np.ones(len(self.gram), bool))
 
+    def walk(self, i: int, size: int) -> np.ndarray:
+        """The walks of an item, made when it first comes up."""
+        if i not in self.walks:
+            raw = np.frombuffer(self.items[i], np.uint8)
+            self.walks[i] = walked(raw, np.array([0]), np.array([len(raw)]), STEPS * size)[0]
+        return self.walks[i]
+
     def index(self, used: np.ndarray) -> None:
         self.g, first, count = np.unique(self.gram[used], return_index=True, return_counts=True)
         self.first, self.count = first, count
@@ -167,13 +282,21 @@ def searched(batch: pa.RecordBatch, column: int, items: Items) -> Iterator[tuple
         if not items.learnt:
             items.ignore_frequent(np.sort(grams(piece)))
             items.learnt = True
-        for i, start, end in zip(*(x.tolist() for x in items.windows(piece))):
-            start, end, k = max(0, start + lo), min(len(raw), end + lo), int(items.k[i])
-            # a window may hang over the border of its text
-            for d in range(int(np.searchsorted(offsets, start, side="right")) - 1, int(np.searchsorted(offsets, end))):
-                a, b = max(int(offsets[d]), start), min(int(offsets[d + 1]), end)
-                if b - a >= items.size[i] - k and (d, i) not in pairs and distance(items.items[i], whole[a:b]) <= k:
-                    pairs.add((d, i))
+        item, start, end = items.windows(piece)
+        start, end = np.maximum(0, start + lo), np.minimum(len(raw), end + lo)
+        # a window may hang over the border of its text: one for each text it touches
+        d0, d1 = np.searchsorted(offsets, start, side="right") - 1, np.searchsorted(offsets, end)
+        which = np.repeat(np.arange(len(item)), np.maximum(0, d1 - d0))
+        doc = ragged(d0, np.maximum(0, d1 - d0))
+        item, start, end = item[which], np.maximum(offsets[doc], start[which]), np.minimum(offsets[doc + 1], end[which])
+        fits = end - start >= items.size[item] - items.k[item]
+        doc, item, start, end = (x[fits] for x in (doc, item, start, end))
+        # those with a key in common first, then the rest
+        first = agreeing(raw, item, start, end, items)
+        order = np.argsort(~first, kind="stable")
+        for d, i, a, b in zip(*(x[order].tolist() for x in (doc, item, start, end))):
+            if (d, i) not in pairs and distance(items.items[i], whole[a:b]) <= items.k[i]:
+                pairs.add((d, i))
     yield from pairs
 
 
@@ -208,7 +331,7 @@ def grouped(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.Re
         yield held
 
 
-def tagged(batches: Iterator[pa.RecordBatch], column: int, name: str, files: list[str]) -> Iterator[pa.RecordBatch]:
+def tagged(batches: Iterator[pa.RecordBatch], column: int, name: str, files: list[str], kind: pa.DataType | None = None) -> Iterator[pa.RecordBatch]:
     """The batches with the ids of the items found in each text."""
     first = blocks(files)
     next(first, None)
@@ -223,15 +346,17 @@ def tagged(batches: Iterator[pa.RecordBatch], column: int, name: str, files: lis
             if not several:
                 only = ids, items
         for own, batch in zip(hits, group):
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.list_(pa.int64()))], names=[*batch.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.list_(kind or pa.int64()))], names=[*batch.schema.names, name])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", name: str = "items") -> DataFrame:
     """``docs`` with the ids of the items found in each text, sorted."""
-    held = written(items.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).where(F.octet_length("text") >= LEAST), "items")
+    held = written(items.select(F.col(item_id).alias("id"), F.col(item_text).alias("text")).where(F.octet_length("text") >= LEAST), "items")
     files = sorted(held.inputFiles())
     column, name = docs.columns.index(text), fresh(docs, name)
-    out = docs.mapInArrow(lambda b: tagged(b, column, name, files), T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.LongType()))]))
+    own = items.schema[item_id].dataType  # an id keeps its type
+    kind = to_arrow_type(own)
+    out = docs.mapInArrow(lambda b: tagged(b, column, name, files, kind), T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(own))]))
     return out.withColumn(name, F.sort_array(name))
 
 
@@ -244,5 +369,5 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
 def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.select("doc_id", F.size("items").cast("long").alias("n_items"), F.array_join(F.col("items").cast("array<string>"), ",").alias("items"),
+    return found.select("doc_id", F.size("items").cast("long").alias("n_items"), F.array_join(F.col("items").cast("array<string>"), ",", "null").alias("items"),
                         (F.size("items") > 0).alias("contaminated"))

@@ -334,6 +334,56 @@ def test_items_stay_off_the_driver_and_come_a_block_at_a_time(spark, scratch, mo
     assert len(most) > 20 and max(n for n, _ in most) == 3 and max(n for _, n in most) <= 2  # the last one goes as the next is made
 
 
+@pytest.mark.parametrize("n", [24, 30, 40, 64, 100, 200, 400, 1000, 2000])
+def test_sampling_reaches_its_recall_at_each_length_and_kind(n):
+    """Of pairs at the edit limit, which the exact check confirms, at least 0.9
+    have a key in common: replaced, inserted, deleted bytes and all of them mixed."""
+    rnd = np.random.default_rng(n)
+    texts = " ".join("".join(chr(97 + c) for c in rnd.integers(0, 26, rnd.integers(1, 10))) for _ in range(3000)).encode()
+    k = decontaminate.edits(n)
+    for kind in ("replace", "insert", "delete", "mixed"):
+        found = total = 0
+        for _ in range(40):
+            at = int(rnd.integers(0, len(texts) - n))
+            item, b = texts[at:at + n], bytearray(texts[at:at + n])
+            for place in sorted(rnd.choice(n, k, replace=False).tolist(), reverse=True):
+                how = kind if kind != "mixed" else ("replace", "insert", "delete")[int(rnd.integers(3))]
+                b[place:place + (how != "insert")] = b"" if how == "delete" else bytes([int(rnd.integers(97, 123))])
+            text = bytes(rnd.integers(97, 123, 3 * k + 2, np.uint8)) + bytes(b) + bytes(rnd.integers(97, 123, 3 * k + 2, np.uint8))
+            if decontaminate.distance(item, text) > k:
+                continue
+            items = decontaminate.Items([item])
+            raw = np.frombuffer(text, np.uint8)
+            total += 1
+            found += bool(decontaminate.agreeing(raw, np.array([0]), np.array([0]), np.array([len(raw)]), items)[0])
+        assert total >= 35 and found >= 0.9 * total, (kind, found, total)
+
+
+def test_sampling_tells_other_texts_apart():
+    """Keys do their work: windows of unrelated text seldom have one in common."""
+    rnd = np.random.default_rng(3)
+    raw = rnd.integers(97, 123, 40_000).astype(np.uint8)
+    items = decontaminate.Items([bytes(rnd.integers(97, 123, 120, np.uint8))])
+    start = np.arange(0, 39_000, 200)
+    hits = decontaminate.agreeing(raw, np.zeros(len(start), np.int64), start, start + 150, items)
+    assert hits.mean() < 0.2
+
+
+def test_what_sampling_misses_is_found_by_the_exact_check(spark, monkeypatch):
+    docs = [(1, "so we read that one passage that stands in a document here and there"), (2, "nothing at all")]
+    items = spark.createDataFrame([("a", "one passage that stands in a document")], "item_id string, text string")
+    monkeypatch.setattr(decontaminate, "agreeing", lambda raw, item, *a: np.zeros(len(item), bool))
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).orderBy("doc_id").collect()
+    assert [r["items"] for r in got] == [["a"], []]
+
+
+def test_item_ids_keep_their_type(spark):
+    items = spark.createDataFrame([("x7", "a passage of some length to look for"), (None, "quite another passage that is asked for")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "here a passage of some length to look for is"), (2, "and quite another passage that is asked for")], "doc_id long, text string")
+    got = decontaminate.contaminated(docs, items).orderBy("doc_id").collect()
+    assert [r["items"] for r in got] == [["x7"], [None]] and decontaminate.clean(docs, items).count() == 0
+
+
 def test_all_exact_passages_of_the_tables_are_found(spark):
     items = [(r.item_id, r.text.encode().translate(decontaminate.FOLD)) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()]
     got = {r.doc_id: set(r["items"].split(",")) for r in decontaminate.q_decontaminate(spark, SF001).collect()}

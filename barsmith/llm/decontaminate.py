@@ -16,7 +16,7 @@ windows that can match.
 Embedding.  A CGK walk reads a string by a random coin a (step, byte): it stays on
 a byte or moves to the next, and writes the byte it stands on, so that few edits
 become few differing places.  Each item and each item-sized part of a window, at
-offsets ``k / 2`` apart, is walked ``WALKS`` times.
+offsets ``k`` apart, is walked ``WALKS`` times.
 
 Sampling.  A key is the bytes at a few random places of a walk.  A window that
 has a key in common with its item is checked at once.  The number of keys follows
@@ -75,10 +75,11 @@ def edits(n: int) -> int:
 #: walks a string; share of pairs at the limit that should have a key in common, and pairs
 #: simulated for each kind of edit; places that a key reads, the first number of these
 #: for which ``KEYS`` keys do, else the last one with as many keys as it takes
-WALKS, RECALL, TRIALS = 2, 0.98, 12
-PLACES, KEYS = (6, 5, 4, 3, 2), 600
-#: steps of a walk a byte of the item; what a walk writes past the end of its string
-STEPS, PAST = 3, 0
+WALKS, RECALL, TRIALS = 2, 0.98, 24
+PLACES, KEYS = (4, 3, 2), 900
+#: steps of a walk a byte of the item, by when half of all walks have read it; what a walk
+#: writes past the end of an item and of a part, which so never agree there
+STEPS, PAST = 2, (0, 1)
 #: bytes of walks held at once, a single window's aside
 WALK_BYTES = 16 << 20
 
@@ -91,7 +92,7 @@ def coins(walk: np.ndarray, step: int, byte: np.ndarray) -> np.ndarray:
     return ((x ^ (x >> np.uint64(32))) & np.uint64(1)).astype(np.int64)
 
 
-def walked(raw: np.ndarray, start: np.ndarray, end: np.ndarray, steps: int) -> np.ndarray:
+def walked(raw: np.ndarray, start: np.ndarray, end: np.ndarray, steps: int, past: int) -> np.ndarray:
     """What each walk writes in ``steps`` steps over each ``raw[start:end]``:
     strings x WALKS x steps."""
     at, stop = (np.repeat(x, WALKS) for x in (start, end))
@@ -100,7 +101,7 @@ def walked(raw: np.ndarray, start: np.ndarray, end: np.ndarray, steps: int) -> n
     last = max(len(raw) - 1, 0)
     for j in range(steps if len(raw) else 0):
         inside = at < stop
-        byte = np.where(inside, raw[np.minimum(at, last)], PAST)
+        byte = np.where(inside, raw[np.minimum(at, last)], past)
         out[:, j] = byte
         at = at + (coins(walk, j, byte) & inside)
     return out.reshape(len(start), WALKS, steps)
@@ -130,9 +131,10 @@ def places(size: int) -> np.ndarray:
                 y = np.insert(x, where, rnd.integers(97, 123, k)) if kind == 1 else np.delete(x, where)
             pairs += [x, y]
         ends = np.cumsum([len(p) for p in pairs])
-        w = walked(np.concatenate(pairs).astype(np.uint8), ends - np.array([len(p) for p in pairs]), ends, steps)
+        raw, starts = np.concatenate(pairs).astype(np.uint8), ends - np.array([len(p) for p in pairs])
+        x, y = (walked(raw, starts[i::2], ends[i::2], steps, PAST[i]) for i in (0, 1))
         # a pair needs one walk that agrees; the worst pairs of each kind count
-        agree.append(np.quantile((w[::2] == w[1::2]).mean(axis=2).max(axis=1), 0.05))
+        agree.append(np.quantile((x == y).mean(axis=2).max(axis=1), 0.15))
     p = min(0.9, max(0.05, min(agree)))
     asked = [(math.ceil(math.log(1 - RECALL) / math.log(1 - p ** m)), m) for m in PLACES]
     return rnd.integers(0, steps, next((x for x in asked if x[0] <= KEYS), asked[-1]))
@@ -145,17 +147,17 @@ def agreeing(raw: np.ndarray, item: np.ndarray, start: np.ndarray, end: np.ndarr
     for size in np.unique(classes):
         own = np.flatnonzero(classes == size)
         at = places(int(size))
-        # some ten parts a window, a walk of STEPS * size bytes each
-        group = max(1, min(512, WALK_BYTES // (10 * WALKS * STEPS * int(size))))
+        # some five parts a window, a walk of STEPS * size bytes each
+        group = max(1, min(512, WALK_BYTES // (5 * WALKS * STEPS * int(size))))
         for lo in range(0, len(own), group):
             w = own[lo:lo + group]
             n, k = items.size[item[w]], items.k[item[w]]
-            # item-sized parts of the window, so near each other that one starts within k / 4 of a match
-            apart = np.maximum(1, k // 2)
+            # item-sized parts of the window, so near each other that one starts within k / 2 of a match
+            apart = np.maximum(1, k)
             count = np.maximum(0, end[w] - start[w] - n + k) // apart + 1
             of = np.repeat(np.arange(len(w)), count)
             first = start[w][of] + ragged(np.zeros(len(w), np.int64), count) * apart[of]
-            made = walked(raw, first, np.minimum(first + n[of] + k[of], end[w][of]), STEPS * int(size))
+            made = walked(raw, first, np.minimum(first + n[of] + k[of], end[w][of]), STEPS * int(size), PAST[1])
             held = np.stack([items.walk(int(i), int(size)) for i in item[w]])
             same = made[:, :, at.reshape(-1)] == held[of][:, :, at.reshape(-1)]
             hit = same.reshape(len(of), WALKS, *at.shape).all(axis=3).any(axis=(1, 2))
@@ -211,7 +213,7 @@ class Items:
         """The walks of an item, made when it first comes up."""
         if i not in self.walks:
             raw = np.frombuffer(self.items[i], np.uint8)
-            self.walks[i] = walked(raw, np.array([0]), np.array([len(raw)]), STEPS * size)[0]
+            self.walks[i] = walked(raw, np.array([0]), np.array([len(raw)]), STEPS * size, PAST[0])[0]
         return self.walks[i]
 
     def index(self, used: np.ndarray) -> None:

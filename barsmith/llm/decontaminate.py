@@ -81,7 +81,7 @@ PLACES, KEYS = (4, 3, 2), 900
 #: writes past the end of an item and of a part, which so never agree there
 STEPS, PAST = 2, (0, 1)
 #: bytes of walks held at once, a single window's aside
-WALK_BYTES = 16 << 20
+WALK_BYTES = 4 << 20
 
 
 def coins(walk: np.ndarray, step: int, byte: np.ndarray) -> np.ndarray:

@@ -61,7 +61,7 @@ REGISTERS = BANDS * ROWS
 #: them; and the share of both texts' shingles that similar ones may differ in
 PARITIES, APART = 32, (1 - SIMILAR) / (1 + SIMILAR)
 SKETCH = PARITIES + 1
-BATCH_CHARS, MOST_WORDS = 1 << 20, 1 << 18
+BATCH_CHARS, MOST_WORDS = 1 << 19, 1 << 17
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -41,6 +41,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from itertools import chain
 
@@ -220,7 +221,7 @@ def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: tuple[str, Counter] | None = None
     for batch in batches:
         keep = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+        for x, y in zip(*((t.as_py() for t in batch.column(i)) for i in (2, 3))):  # a pair at a time
             if held is None or held[0] != x:
                 held = (x, shingles(x))
             keep.append(similar(held[1], shingles(y)))
@@ -231,11 +232,27 @@ def key_of(text: str) -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting that holds for the tables written meanwhile."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+#: bytes of a batch of rows on its way to Python: pairs carry two whole texts each
+ARROW_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The (a, b) of ``pairs`` whose texts are similar, written."""
     both = (pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
             .join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a"))
-    return written(both.select("a", "b", "text_a", "text_b").mapInArrow(verified, pairs.select("a", "b").schema), "links")
+    with setting(pairs.sparkSession, *ARROW_BYTES):
+        return written(both.select("a", "b", "text_a", "text_b").mapInArrow(verified, pairs.select("a", "b").schema), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -342,13 +359,8 @@ def untested(placed: DataFrame, sketches: DataFrame, led: DataFrame, heads: int)
              .select(F.least("key", "key_b").alias("a"), F.greatest("key", "key_b").alias("b")))
     old = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     # as one method the condition is past the size that HotSpot compiles, and would run interpreted
-    conf, limit = placed.sparkSession.conf, "spark.sql.codegen.hugeMethodLimit"
-    before = conf.get(limit)
-    conf.set(limit, "8000")
-    try:
+    with setting(placed.sparkSession, "spark.sql.codegen.hugeMethodLimit", "8000"):
         out = written(pairs.join(old, ["a", "b"], "left_anti"), "open")
-    finally:
-        conf.set(limit, before)
     forget(all_)
     return out
 
@@ -373,7 +385,8 @@ def class_table(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     bands = rows.mapInArrow(banded, T.StructType([T.StructField("key", T.BinaryType()), T.StructField("id", df.schema[doc_id].dataType),
                                                   T.StructField("bands", T.ArrayType(T.LongType()))]))
     # copies become one node before anything is dealt out by content
-    nodes = written(bands.groupBy("key").agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "nodes")
+    with setting(df.sparkSession, *ARROW_BYTES):
+        nodes = written(bands.groupBy("key").agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "nodes")
     comps = classes(nodes.where(F.size("bands") > 0), rows)
     placed = (nodes.select("key", "id", (F.size("bands") == 0).alias("blank")).join(comps, "key", "left")
               .withColumn("comp", F.coalesce("comp", "key")))

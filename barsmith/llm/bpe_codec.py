@@ -42,7 +42,7 @@ LATIN_WORDS = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+").findall
 #: characters of text that are held as arrays at once, distinct words
 #: remembered, and bytes from which a word is merged by a heap
-BATCH_CHARS, MOST_WORDS, LONG = 4 << 20, 1 << 20, 512
+BATCH_CHARS, MOST_WORDS, LONG = 1 << 20, 1 << 18, 512
 #: what no word has: a letter between joined words, the start of an added token
 BREAK, MARK = "\u0100", "\0added:"
 

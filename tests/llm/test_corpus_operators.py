@@ -94,7 +94,7 @@ def test_warc_round_trip_and_revisits(spark, scratch):
     assert {r.refers_to for r in by[None] if r.payload_bytes > 1000} == {9} and by[6][0].refers_to == 7 and by[8][0].record_type == "response"
     assert all(r.record_type == "response" for r in by[3] + by[4] + by[5])
     assert all(hashlib.sha1(r.payload).hexdigest() == r.payload_digest for r in got.collect() if r.record_type == "response")
-    listed = json.load(open(f"{scratch}/a/manifest.json"))["files"]
+    listed = manifest(spark, f"{scratch}/a")
     assert len(listed) > 2 and sum(f["records"] for f in listed) == 12
     assert not [f for f in os.listdir(f"{scratch}/a") if f.startswith(".") and not f.endswith(".crc")]
     for f in listed:
@@ -104,10 +104,55 @@ def test_warc_round_trip_and_revisits(spark, scratch):
 def test_warc_files_are_the_same_from_any_partitioning(spark, scratch):
     for name, n in (("a", 1), ("b", 7)):
         warc.write_warc(pages(spark).repartition(n), f"file://{scratch}/{name}", file_bytes=400, shard_bytes=1500)
-    a, b = (json.load(open(f"{scratch}/{x}/manifest.json")) for x in "ab")
+    a, b = (manifest(spark, f"{scratch}/{x}") for x in "ab")
     assert a == b
 
 
+def manifest(spark, folder):
+    root = json.load(open(f"{folder}/manifest.json"))
+    files = [r.asDict() for r in warc.listed(spark, f"file://{folder}", root["parts"]).orderBy("file").collect()]
+    assert (len(files), sum(f["records"] for f in files), sum(f["bytes"] for f in files)) == (root["files"], root["records"], root["bytes"])
+    return files
+
+
+@pytest.mark.parametrize("ids", ["far", "dense", "null", "repeated"])
+def test_warc_shards_are_bounded(spark, scratch, ids):
+    limit, n = 5000, 400
+    html = [("same" if ids == "repeated" and i % 3 == 0 else f"{i} ") + "x" * (100 + (0 if ids == "repeated" else i * 7 % 300)) for i in range(n)]
+    page = {"far": lambda i: i if i else 1 << 62, "dense": lambda i: -5 - i, "null": lambda i: None if i % 3 else i, "repeated": lambda i: 7 if i % 3 == 0 else i}[ids]
+    df = spark.createDataFrame([(page(i), f"http://h/{i % 3}", html[i]) for i in range(n)], "page_id long, url string, html string").repartition(6)
+    warc.write_warc(df, f"file://{scratch}/a", shard_bytes=limit)
+    shards, held = defaultdict(list), Counter()
+    for f in manifest(spark, f"{scratch}/a"):
+        import gzip
+        import io
+        for h, block in warc.parsed(io.BytesIO(gzip.open(f"{scratch}/a/{f['file']}").read())):
+            if h["WARC-Type"] != "warcinfo":
+                shards[f["shard"]].append(h)
+                held[f["shard"]] += int(block.split(b"Content-Length: ")[1].split()[0])
+    total = sum(len(h.encode()) for h in html)
+    assert sum(held.values()) == total and sum(map(len, shards.values())) == n
+    assert max(held.values()) <= 2 * limit and len(held) >= total / limit
+    # ranges of ids follow each other
+    ends = [[-1 << 63 if h["X-Page-Id"] == "null" else int(h["X-Page-Id"]) for h in shards[k]] for k in sorted(shards)]
+    assert all(x == sorted(x) for x in ends) and all(x[-1] <= y[0] for x, y in zip(ends, ends[1:]))
+    assert warc.read_warc(spark, f"file://{scratch}/a").count() == n
+
+
+def test_warc_revisits_name_their_response(spark, scratch):
+    warc.write_warc(pages(spark), f"file://{scratch}/a", shard_bytes=2000)
+    import gzip
+    import io
+    heads = [h for f in manifest(spark, f"{scratch}/a") for h, _ in warc.parsed(io.BytesIO(gzip.open(f"{scratch}/a/{f['file']}").read()))]
+    ids = {h["WARC-Record-ID"]: h for h in heads if h["WARC-Type"] == "response"}
+    revisits = [h for h in heads if h["WARC-Type"] == "revisit"]
+    assert len(revisits) == 4 and sum(h["WARC-Type"] == "warcinfo" for h in heads) == len(os.listdir(f"{scratch}/a")) - sum("manifest" in f or f.endswith(".crc") for f in os.listdir(f"{scratch}/a"))
+    for h in revisits:
+        of = ids[h["WARC-Refers-To"]]
+        assert (of["X-Page-Id"], of["WARC-Target-URI"], of["WARC-Date"], of["WARC-Payload-Digest"]) == (
+            h["X-Refers-To-Page-Id"], h["WARC-Refers-To-Target-URI"], h["WARC-Refers-To-Date"], h["WARC-Payload-Digest"])
+
+
 def test_warc_empty_table_and_broken_file(spark, scratch):
     warc.write_warc(pages(spark).limit(0), f"file://{scratch}/none")
     assert warc.read_warc(spark, f"file://{scratch}/none").count() == 0
@@ -115,9 +160,11 @@ def test_warc_empty_table_and_broken_file(spark, scratch):
     import io
     data = warc.record(1, "http://x", b"payload", hashlib.sha1(b"payload").hexdigest(), None).replace(b"payload\r\n", b"paxload\r\n")
     import pyarrow as pa
-    batch = pa.RecordBatch.from_pydict({"path": ["p"], "content": [gzip.compress(data)]})
+    with gzip.open(f"{scratch}/broken.warc.gz", "wb") as f:
+        f.write(data)
+    batch = pa.RecordBatch.from_pydict({"file": ["broken.warc.gz"]})
     with pytest.raises(ValueError, match="digest"):
-        list(warc.read_files(iter([batch]), True))
+        list(warc.read_files(iter([batch]), f"file://{scratch}", True))
     assert len(list(warc.parsed(io.BytesIO(warc.record(1, "http://x", b"payload", "d", None))))) == 1
 
 

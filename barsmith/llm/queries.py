@@ -10,7 +10,7 @@ from barsmith.llm.grace_dedup import SQL_EXACT_DEDUP, q_exact_dedup
 from barsmith.llm.near_dedup import q_near_dedup
 from barsmith.llm.pii import q_pii
 from barsmith.llm.quality_rules import q_quality_rules
-from barsmith.llm.repeats import q_repeats
+from barsmith.llm.repeats import SQL_REPEATS, q_repeats
 from barsmith.llm.sharding import SQL_SHARDING, q_sharding
 from barsmith.llm.token_counts import q_token_counts
 from barsmith.llm.warc import SQL_WARC, q_warc
@@ -33,6 +33,7 @@ QUERIES = {
 
 ORACLE = {
     "op3_chat_format": SQL_CHAT_FORMAT,
+    "op4_repeats": SQL_REPEATS,
     "op5_warc": SQL_WARC,
     "op9_sharding": SQL_SHARDING,
     "op11_centroids": SQL_CENTROIDS,

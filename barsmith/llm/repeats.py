@@ -409,3 +409,24 @@ def q_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(docs).select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL_REPEATS = """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM texts),
+windows AS (SELECT doc_id, i, h[2 * i + 1:2 * i + 100] AS w FROM starts),
+covered AS (
+  SELECT doc_id, i FROM windows JOIN (SELECT w, min(doc_id) AS earliest FROM windows GROUP BY w) USING (w) WHERE earliest < doc_id
+),
+marked AS (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50, true) AS begins FROM covered),
+numbered AS (SELECT doc_id, i, sum(begins::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+runs AS (SELECT doc_id, run, min(i) AS b, max(i) + 50 AS e FROM numbered GROUP BY 1, 2),
+gaps AS (SELECT doc_id, b, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS a FROM runs),
+kept AS (
+  SELECT doc_id, sum(e - b)::BIGINT AS n_removed, count(*) AS n_spans, max(e) AS last, string_agg(h[2 * a + 1:2 * b], '' ORDER BY b) AS k
+  FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(k, '') || h[2 * coalesce(last, 0) + 1:])) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""

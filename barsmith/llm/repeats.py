@@ -413,8 +413,10 @@ def q_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_REPEATS = """
 WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-starts AS (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM texts),
-windows AS (SELECT doc_id, i, h[2 * i + 1:2 * i + 100] AS w FROM starts),
+cuts AS (SELECT doc_id, h, unnest(range(0, length(h) // 2, 500)) AS base FROM texts),
+parts AS (SELECT doc_id, base, substr(h, 2 * base + 1, 2 * 549) AS p FROM cuts),
+starts AS (SELECT doc_id, base, p, unnest(range(0, length(p) // 2 - 49)) AS j FROM parts),
+windows AS (SELECT doc_id, base + j AS i, substr(p, 2 * j + 1, 100) AS w FROM starts),
 covered AS (
   SELECT doc_id, i FROM windows JOIN (SELECT w, min(doc_id) AS earliest FROM windows GROUP BY w) USING (w) WHERE earliest < doc_id
 ),

@@ -49,14 +49,14 @@ def ticker_reference(spark: SparkSession, data_dir: str) -> DataFrame:
     return lb.ticker_reference_from_supplier(table(spark, data_dir, "supplier"))
 
 
-def responses(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Landed responses, read."""
-    return payloads.parse_payload_lines(lb.payload_lines_from_bars(bars(spark, data_dir)))
+def responses(spark: SparkSession, data_dir: str, never_landed: str | None = lb.NEVER_LANDED_LETTER) -> DataFrame:
+    """Landed responses, read; none came for symbols that end in ``never_landed``."""
+    return payloads.parse_payload_lines(lb.payload_lines_from_bars(bars(spark, data_dir), never_landed))
 
 
-def landed_bars(spark: SparkSession, data_dir: str) -> DataFrame:
+def landed_bars(spark: SparkSession, data_dir: str, never_landed: str | None = lb.NEVER_LANDED_LETTER) -> DataFrame:
     """RAW bars as they come out of the landed-envelope scan."""
-    return payloads.bars_from_payloads(responses(spark, data_dir), lb.DERIVED_INGESTED_AT)
+    return payloads.bars_from_payloads(responses(spark, data_dir, never_landed), lb.DERIVED_INGESTED_AT)
 
 
 def reference_history(spark: SparkSession, data_dir: str) -> DataFrame:

@@ -90,7 +90,7 @@ def q_validation_metrics(spark, d):
 
 
 def q_bars_from_json(spark, d):
-    return inputs.landed_bars(spark, d).drop("ingested_at")
+    return inputs.landed_bars(spark, d, never_landed=None).drop("ingested_at")
 
 
 def q_fetch_failures(spark, d):

@@ -154,11 +154,12 @@ NEVER_LANDED_LETTER = "G"  # no response at all
 RECORD_LETTERS = ("D", "H")  # landed as a record of request and body
 
 
-def payload_lines_from_bars(bars: DataFrame) -> DataFrame:
+def payload_lines_from_bars(bars: DataFrame, never_landed: str | None = NEVER_LANDED_LETTER) -> DataFrame:
     """Landed response lines (column ``value``): one envelope per
     (symbol, calendar month), so an envelope never holds more than 31 bars
     whatever the size of a symbol's history.  Some bars lack the time, the open
-    or the volume, and some have a zero ``vw`` or ``n`` (by their volume)."""
+    or the volume, and some have a zero ``vw`` or ``n`` (by their volume).  Symbols
+    that end in ``never_landed`` have no response; with None all symbols have."""
     month = F.date_trunc("month", F.col("date"))
     bar = F.struct(
         F.when(F.expr("volume % 71 <> 0"), date_to_epoch_ms(F.col("date"))).alias("t"),
@@ -181,7 +182,8 @@ def payload_lines_from_bars(bars: DataFrame) -> DataFrame:
                                      F.lit(0).cast("long").alias("resultsCount"))))
             .otherwise(ok))
     record = F.to_json(F.struct(F.col("symbol").alias("requested"), body.alias("body")))
-    return grouped.where(last != NEVER_LANDED_LETTER).select(F.when(last.isin(*RECORD_LETTERS), record).otherwise(body).alias("value"))
+    landed = grouped.where(last.isNotNull() if never_landed is None else last != never_landed)
+    return landed.select(F.when(last.isin(*RECORD_LETTERS), record).otherwise(body).alias("value"))
 
 
 def reference_history_from_lineitem(lineitem: DataFrame) -> DataFrame:

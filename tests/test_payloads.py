@@ -61,6 +61,17 @@ def test_json_round_trip_equals_bars(spark):
     assert expect.exceptAll(got).count() == 0 and got.exceptAll(expect).count() == 0
 
 
+@pytest.mark.parametrize("key", ["bars_from_json"])
+def test_every_symbol_that_answered_is_scanned(spark, key):
+    """No symbol is left out before its envelope is read."""
+    import __spark_entry__ as entry
+
+    want = inputs.bars(spark, SF0001).where("right(symbol, 1) not in ('C', 'D', 'E')").groupBy("symbol").count().collect()
+    got = entry.queries()[key](spark, SF0001)
+    got = got.groupBy("symbol").count() if key == "bars_from_json" else got
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want} and any(r.symbol.endswith("G") for r in want)
+
+
 def test_landed_files_scan_and_failures(spark, scratch):
     path = os.path.join(scratch, "landing")
     lb.payload_lines_from_bars(inputs.bars(spark, SF0001)).write.text(path)

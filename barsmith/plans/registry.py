@@ -102,7 +102,7 @@ def q_corrupt_responses(spark, d):
 
 
 def q_bars_per_symbol(spark, d):
-    return payloads.bars_per_symbol(inputs.landed_bars(spark, d))
+    return payloads.bars_per_symbol(inputs.landed_bars(spark, d, never_landed=None))
 
 
 def _scratch(spark, name):

@@ -61,7 +61,7 @@ def test_json_round_trip_equals_bars(spark):
     assert expect.exceptAll(got).count() == 0 and got.exceptAll(expect).count() == 0
 
 
-@pytest.mark.parametrize("key", ["bars_from_json"])
+@pytest.mark.parametrize("key", ["bars_from_json", "bars_per_symbol"])
 def test_every_symbol_that_answered_is_scanned(spark, key):
     """No symbol is left out before its envelope is read."""
     import __spark_entry__ as entry

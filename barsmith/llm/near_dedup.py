@@ -247,10 +247,22 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 ARROW_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
+#: a partition of fewer rows costs more to begin than to work on, and one of a bucket
+#: of fewer members more to split than to leave whole
+TASK_ROWS, SPLIT = 2_000, 4_096
+
+
+def gathered(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, made of so many rows, in no more partitions than hold TASK_ROWS of them
+    each, but four for each core."""
+    return df.coalesce(max(4 * df.sparkSession.sparkContext.defaultParallelism, rows // TASK_ROWS))
+
+
 def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` whose texts are similar, written."""
-    both = (pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a"))
+    """The (a, b) of written ``pairs`` whose texts are similar, written."""
+    rows = pairs.count()
+    both = gathered(pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b"), rows)
+    both = gathered(both.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a"), rows)
     with setting(pairs.sparkSession, *ARROW_BYTES):
         return written(both.select("a", "b", "text_a", "text_b").mapInArrow(verified, pairs.select("a", "b").schema), "links")
 
@@ -258,14 +270,15 @@ def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """Written (a, b) -> (key, comp): the least key that each key is joined with.  Each
     round takes the least label around a key, then the label of that label."""
+    rows = 2 * edges.count()
     both = edges.select(F.col("a").alias("key"), F.col("b").alias("to")).union(edges.select("b", "a"))
-    held = labels = written(both.groupBy("key").agg(F.least(F.min("to"), F.col("key")).alias("comp")), "labels")
+    held = labels = written(gathered(both.groupBy("key").agg(F.least(F.min("to"), F.col("key")).alias("comp")), rows), "labels")
     while True:
-        near = both.join(labels.select(F.col("key").alias("to"), "comp"), "to").groupBy("key").agg(F.min("comp").alias("near"))
-        step = labels.join(near, "key").select("key", F.least("comp", "near").alias("next"), F.col("comp").alias("was"))
+        near = gathered(both.join(labels.select(F.col("key").alias("to"), "comp"), "to"), rows).groupBy("key").agg(F.min("comp").alias("near"))
+        step = gathered(labels.join(near, "key").select("key", F.least("comp", "near").alias("next"), F.col("comp").alias("was")), rows)
         jump = (step.join(labels.select(F.col("key").alias("next"), F.col("comp").alias("far")), "next", "left")
                 .select("key", F.least("next", F.coalesce("far", "next")).alias("comp"), "was"))
-        jump = written(jump, "labels")
+        jump = written(gathered(jump, rows), "labels")
         forget(held)
         held, labels = jump, jump.select("key", "comp")
         if jump.where("comp <> was").isEmpty():
@@ -294,33 +307,34 @@ def classes(nodes: DataFrame, rows: DataFrame) -> DataFrame:
     shared = written(members.join(sizes, "band").select("band", "n", "key"), "shared")
     # the text nearest to the others of its group shares most buckets with them
     near = shared.groupBy("key").agg(F.sum("n").alias("near"))
-    buckets = written(shared.join(near, "key"), "buckets")
+    entries = shared.count()
+    buckets = written(gathered(shared.join(near, "key"), entries), "buckets")
     forget(shared)
     first = nodes.join(buckets.select("key").distinct(), "key", "left_semi").select("key", named("own", F.col("id")))
     texts = rows.select("key", named("own", F.col("id")), "text").join(first, ["key", "own"], "left_semi")
     texts = written(texts.groupBy("key").agg(F.first("text").alias("text")), "texts")
     leaders = buckets.groupBy("band").agg(F.max(F.struct("near", "key")).alias("lead"))
-    best = (buckets.join(leaders, "band").groupBy("key").agg(F.max("lead").alias("lead"))
+    best = (gathered(buckets.join(leaders, "band"), entries).groupBy("key").agg(F.max("lead").alias("lead"))
             .select(F.col("lead.key").alias("a"), F.col("key").alias("b")).where("a <> b"))
-    led = written(best, "pairs")
+    led = written(gathered(best, entries), "pairs")
     labels = components(links(led, texts))
     held, heads, open_ = buckets, HEADS, buckets.select("band", "n", "key")
     while True:
         # components only grow, so a bucket that is one of them stays out
-        placed = open_.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+        placed = gathered(open_.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key")), entries)
         split = placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band")
-        placed = written(placed.join(split, "band", "left_semi"), "split")
+        placed = written(gathered(placed.join(split, "band", "left_semi"), entries), "split")
         forget(held)
         held, open_ = placed, placed.select("band", "n", "key")
-        largest = placed.agg(F.max("n")).first()[0]
+        largest, entries = placed.agg(F.max("n"), F.count("*")).first()
         if largest is None:
             break
         if heads == HEADS:
             # what the bounds need of the texts that are left; later rounds ask for fewer
             sketches = nodes.select("key", *[F.col("bands")[i].alias(f"k{i}") for i in range(BANDS)],
                                     *[F.col("bands")[BANDS + i].alias(f"p{i}") for i in range(PARITIES)], F.col("bands")[BANDS + PARITIES].alias("total"))
-            sketches = written(sketches.join(placed.select("key").distinct(), "key", "left_semi"), "sketches")
-        pairs = untested(placed, sketches, led, heads)
+            sketches = written(gathered(sketches.join(placed.select("key").distinct(), "key", "left_semi"), entries), "sketches")
+        pairs = untested(placed, sketches, led, heads, largest, entries)
         if not pairs.isEmpty():
             labels = joined(labels, links(pairs, texts))
         forget(pairs)
@@ -331,7 +345,7 @@ def classes(nodes: DataFrame, rows: DataFrame) -> DataFrame:
     return labels
 
 
-def untested(placed: DataFrame, sketches: DataFrame, led: DataFrame, heads: int) -> DataFrame:
+def untested(placed: DataFrame, sketches: DataFrame, led: DataFrame, heads: int, largest: int, rows: int) -> DataFrame:
     """The pairs of this round: one of the two is among the ``heads`` expected of
     its bucket by lot, but was not in the round before, the other has a higher
     lot, they are in different components, no earlier bucket holds both, no bound
@@ -340,7 +354,7 @@ def untested(placed: DataFrame, sketches: DataFrame, led: DataFrame, heads: int)
     # Spark splits a hot bucket of a join if it deals out both sides for it, so both are stored
     # a component's 16 bytes as two numbers: these compare without a copy for each pair
     halves = [F.conv(F.hex(F.substring("comp", 1 + 8 * i, 8)), 16, -10).cast("long").alias(f"c{i}") for i in range(2)]
-    all_ = written(placed.select("band", "n", "key", *halves, lots.alias("lot")).join(sketches, "key"), "sketched")
+    all_ = written(gathered(placed.select("band", "n", "key", *halves, lots.alias("lot")).join(sketches, "key"), rows), "sketched")
     drawn = lambda k: F.col("lot") * F.col("n") < F.lit(LOTS * k)
     now = drawn(heads) if heads == HEADS else drawn(heads) & ~drawn(heads // STEP)
     columns = ["key", "c0", "c1", "lot", "total", *[f"k{i}" for i in range(BANDS)], *[f"p{i}" for i in range(PARITIES)]]
@@ -359,8 +373,9 @@ def untested(placed: DataFrame, sketches: DataFrame, led: DataFrame, heads: int)
              .select(F.least("key", "key_b").alias("a"), F.greatest("key", "key_b").alias("b")))
     old = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     # as one method the condition is past the size that HotSpot compiles, and would run interpreted
-    with setting(placed.sparkSession, "spark.sql.codegen.hugeMethodLimit", "8000"):
-        out = written(pairs.join(old, ["a", "b"], "left_anti"), "open")
+    with (setting(placed.sparkSession, "spark.sql.codegen.hugeMethodLimit", "8000"),
+          setting(placed.sparkSession, "spark.sql.adaptive.skewJoin.enabled", str(largest > SPLIT).lower())):
+        out = written(gathered(gathered(pairs, rows).join(old, ["a", "b"], "left_anti"), rows), "open")
     forget(all_)
     return out
 
@@ -368,8 +383,9 @@ def untested(placed: DataFrame, sketches: DataFrame, led: DataFrame, heads: int)
 def joined(labels: DataFrame, found: DataFrame) -> DataFrame:
     """The labels after more links; only components are looked at again."""
     a, b = (labels.select(F.col("key").alias(k), F.col("comp").alias(f"comp_{k}")) for k in ("a", "b"))
-    edges = written(found.join(a, "a", "left").join(b, "b", "left")
-                    .select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b")).where("a <> b").distinct(), "edges")
+    rows = found.count()
+    edges = gathered(found.join(a, "a", "left"), rows).join(b, "b", "left").select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b"))
+    edges = written(gathered(gathered(edges, rows).where("a <> b").distinct(), rows), "edges")
     up = components(edges)
     new = up.select("key").join(labels, "key", "left_anti").select("key", F.col("key").alias("comp"))
     higher = up.select(F.col("key").alias("comp"), F.col("comp").alias("up"))

@@ -238,6 +238,28 @@ def test_near_dedup_against_brute_force(spark):
     assert kept == {c for _, c in brute_classes(docs)}
 
 
+def test_near_dedup_works_on_few_pairs_in_few_tasks(spark, monkeypatch):
+    """However many partitions a shuffle has, few rows are not spread over all of them."""
+    words = [f"w{i}" for i in range(60)]
+    near = [words[:i] + [f"x{i}"] + words[i + 1:] for i in range(40)] + [words[:30] + [f"y{i}" for i in range(25)] for _ in range(2)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(near)], "doc_id long, text string")
+    tasks, real = {}, near_dedup.written
+
+    def counted(table, name):
+        out = real(table, name)
+        tasks[name] = max(tasks.get(name, 0), table.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(near_dedup, "written", counted)
+    many, cores = 4 * spark.sparkContext.defaultParallelism + 50, spark.sparkContext.defaultParallelism
+    with near_dedup.setting(spark, "spark.sql.shuffle.partitions", str(many)), near_dedup.setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"), \
+            near_dedup.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        got = {r.doc_id: r.class_id for r in near_dedup.classified(df).collect()}
+    assert got == {**{i: 0 for i in range(40)}, 40: 40, 41: 40}
+    assert {"buckets", "pairs", "links", "labels", "split"} <= set(tasks)
+    assert max(n for name, n in tasks.items() if name not in ("nodes", "shared", "texts", "classes")) <= 4 * cores
+
+
 def test_near_dedup_keeps_a_link_of_far_signatures(spark):
     """b is linked to a alone, which is 0.8 similar, by a bucket that c leads; a's and
     b's registers happen to agree in fewer bits than nearly all such pairs'."""

@@ -4,9 +4,10 @@ Every symbol gets ``budget`` and buys ``floor(budget / start_price)`` shares.
 The remainders form one pool that buys extra shares cheapest-first.  After the
 cheapest symbol takes ``floor(pool / price)`` shares the pool is below its
 price, hence below every other price, so only the cheapest symbol ever gets
-extra shares.  That closed form replaces a driver-side loop: the pool and the
-cheapest symbol are one global aggregate, read back as a scalar subquery (one
-value, no collect, no join), and every row is then priced independently.
+extra shares.  That closed form replaces a driver-side loop: the pool is
+one global aggregate and the cheapest symbol the first in order, each read back as
+a scalar subquery (one value, no collect, no join), and every row is then priced
+independently.
 
 Money is DECIMAL(20,6) and whole-share counts use exact integral division
 (``div``), so ``floor`` can never be pushed over an integer by rounding.
@@ -65,20 +66,20 @@ def allocation_from_anchors(anchors: DataFrame, budget: float = DEFAULT_BUDGET)
         _idiv(b, sp).alias("_base"),
     ).withColumn("_rem", b - F.col("_base") * F.col("_sp"))
 
-    # one global row -> scalar subquery: pool and the cheapest (price, symbol)
+    # one global row -> scalar subquery: the pool; a second one: the cheapest (price,
+    # symbol), the first in order, as a text is no buffer of a hash aggregate
     # (``max_end`` keeps the subquery's per-symbol aggregate identical to the
     # main one, so Spark reuses that exchange instead of recomputing it)
     run = base.agg(
         F.struct(
             F.sum("_rem").alias("pool"),
-            F.min(F.struct(F.col("_sp").alias("price"), F.col("symbol").alias("symbol"))).alias("cheapest"),
             F.max("_ep").alias("max_end"),
         )
     ).scalar()
     pool = run.getField("pool")
-    cheapest = run.getField("cheapest")
+    cheapest = base.orderBy("_sp", "symbol").limit(1).select("symbol").scalar()
 
-    is_cheapest = F.col("symbol") == cheapest.getField("symbol")
+    is_cheapest = F.col("symbol") == cheapest
     extra = F.when(is_cheapest, _idiv(pool, F.col("_sp"))).otherwise(F.lit(0)).cast("long")
     out = base.withColumn("_extra", extra).withColumn("shares_purchased", (F.col("_base") + F.col("_extra")).cast("long"))
     return out.select(
